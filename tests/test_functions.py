@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.functions import keys, lists, numbers, text
-from tillmark.functions.taxonomy import canonical_category
+from tillmark.functions.taxonomy import with_category
 from tillmark.functions.unit_price import canonical_unit, with_unit_price
 
 SUPPLIERS = (
@@ -225,7 +225,7 @@ def test_missing_sku_shares_one_product_key(evaluate):
     assert got == [hashlib.md5(b"IGA").hexdigest(), hashlib.md5(b"IGA|").hexdigest()]
 
 
-def test_canonical_category(evaluate):
+def test_canonical_category(spark):
     cases = [
         (("groceries", "health"), ("Health & Beauty", "Health")),
         (("fruit-vegetables", None), ("Fresh Food", "Fruit & Vegetables")),
@@ -240,8 +240,11 @@ def test_canonical_category(evaluate):
         (("  ", None), ("Other", "Other")),
         ((None, "pet"), ("Pet", "Pet")),
     ]
-    got = evaluate([given for given, _ in cases], canonical_category, ("a", "b"))
-    assert [tuple(pair) for pair in got] == [want for _, want in cases]
+    table = spark.createDataFrame([(i, *given) for i, (given, _) in enumerate(cases)], "id long, main string, sub string")
+    got = with_category(table, F.col("main"), F.col("sub")).orderBy("id").collect()
+    assert [(given, (row.canonical_l1, row.canonical_l2)) for (given, _), row in zip(cases, got)] == cases
+    alone = with_category(table.filter("sub is null"), F.col("main")).orderBy("id").collect()
+    assert [(row.canonical_l1, row.canonical_l2) for row in alone] == [want for (_, sub), want in cases if sub is None]
 
 
 def test_slug_category(evaluate):

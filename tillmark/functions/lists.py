@@ -28,8 +28,7 @@ def list_items(cell: Column) -> Column:
     """Stripped non-blank items; a cell that is no list is cut at its quoted commas."""
     text = strip(cell)
     loose = F.regexp_replace(F.trim(text, F.lit("[]")), _QUOTED_COMMA, _SEP)
-    loose_items = _cut(loose, " '\"")
-    items = F.when(is_list(text), _cut(_separated(text))).otherwise(loose_items)
+    items = F.when(is_list(text), _cut(_separated(text))).otherwise(_cut(loose, " '\""))
     empty = is_empty(text) | text.isin(*fixed.EMPTY_LISTS)
     return F.when(empty, _no_items()).otherwise(items)
 
@@ -58,17 +57,20 @@ def primary_department(cell: Column) -> Column:
 
 
 def is_list(text: Column) -> Column:
-    """True when brackets hold nothing but quoted texts, numbers and constants."""
-    return text.rlike(_BRACKETS) & (strip(F.regexp_replace(_inner(text), _ITEM, "")) == "")
+    """True when brackets hold nothing but quoted texts, numbers and constants.
 
+    Items are matched one right after the other from the start, so whatever is no item
+    is left behind the last separator.
+    """
+    return text.rlike(_BRACKETS) & (strip(F.substring_index(_joined(text), _SEP, -1)) == "")
 
-def _inner(text: Column) -> Column:
-    return F.regexp_replace(text, _BRACKETS, "$1$2")
+
+def _joined(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, _BRACKETS, "$1$2"), _ITEM, f"$1$2$3{_SEP}")
 
 
 def _separated(text: Column) -> Column:
-    joined = F.regexp_replace(_inner(text), _ITEM, f"$1$2$3{_SEP}")
-    return F.when(joined.contains("\\"), F.regexp_replace(joined, r"(?s)\\(.)", "$1")).otherwise(joined)
+    return F.regexp_replace(_joined(text), r"(?s)\\(.)", "$1")
 
 
 def _cut(separated: Column, around: str = fixed.WHITESPACE) -> Column:

@@ -29,15 +29,15 @@ def round_exact(value: Column, digits: int) -> Column:
 
     ``value * 10^digits`` is rounded once to a double; the part lost in that product is
     computed exactly by splitting the value in two halves, and decides apparent ties.
+    Pass a plain column: the expression mentions it often.
     """
     scale = F.lit(float(10**digits))
     scaled = value * scale
     head = value * _SPLITTER - (value * _SPLITTER - value)
     lost = (head * scale - scaled) + (value - head) * scale
-    below = F.floor(scaled).cast("double")
-    tie = scaled - below == 0.5
-    whole = F.when(tie & (lost > 0), below + 1.0).when(tie & (lost < 0), below).otherwise(F.rint(scaled))
-    return F.when(F.abs(scaled) < _LARGEST_FRACTION, whole / scale).otherwise(value)
+    beyond = scaled - F.rint(scaled)
+    step = F.when((beyond == 0.5) & (lost > 0), 1.0).when((beyond == -0.5) & (lost < 0), -1.0).otherwise(0.0)
+    return F.when(F.abs(scaled) < _LARGEST_FRACTION, (F.rint(scaled) + step) / scale).otherwise(value)
 
 
 def double_text(value: Column) -> Column:

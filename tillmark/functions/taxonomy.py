@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
@@ -11,27 +11,34 @@ from tillmark.functions.text import strip, title_case
 _CORRUPT = r"""^\p{Nd}|["'\[\]/]"""
 
 
-def canonical_category(main: Column, sub: Column | None = None) -> Column:
-    """Struct ``(l1, l2)``: the sub-category if known, else the main one, else its own title.
+def with_category(df: DataFrame, main: Column, sub: Column | None = None) -> DataFrame:
+    """Add ``canonical_l1`` and ``canonical_l2``: of the sub-category if known, else of the
+    main one, else the main text's own title for both.
 
     A text that starts with a digit or holds quotes, brackets or slashes is debris of
-    another field and counts as ``Other``.
+    another field and counts as ``Other``. Written in stages, so that every intermediate
+    text is computed once.
     """
-    known = [_known(text) for text in (sub, main) if text is not None]
-    plain = strip(main)
-    usable = (plain != "") & ~plain.rlike(_CORRUPT)
-    title = F.when(usable, title_case(plain)).otherwise(fixed.OTHER_CATEGORY)
-    return F.coalesce(*known, _pair(title, title))
-
-
-def _known(text: Column) -> Column:
-    key = F.lower(strip(text))
-    table = F.create_map(
-        *[part for token, l1, l2 in fixed.TAXONOMY for part in (F.lit(token), _pair(F.lit(l1), F.lit(l2)))]
+    kept = [F.col(f"`{name}`") for name in df.columns]
+    texts = [strip(main).alias("_main")] + ([strip(sub).alias("_sub")] if sub is not None else [])
+    plain = F.col("_main")
+    title = F.when((plain != "") & ~plain.rlike(_CORRUPT), title_case(plain)).otherwise(fixed.OTHER_CATEGORY)
+    tried = ["_main"] if sub is None else ["_sub", "_main"]
+    keys = [F.lower(F.col(name)).alias(f"{name}_key") for name in tried]
+    known = F.coalesce(*[found for name in tried for found in _lookups(F.col(f"{name}_key"))])
+    return (
+        df.select(*kept, *texts)
+        .select(*kept, title.alias("_title"), *keys)
+        .select(*kept, "_title", known.alias("_known"))
+        .select(
+            *kept,
+            F.coalesce("_known.l1", "_title").alias("canonical_l1"),
+            F.coalesce("_known.l2", "_title").alias("canonical_l2"),
+        )
     )
-    dashed = F.regexp_replace(key, r"\s+", "-")
-    return F.coalesce(F.try_element_at(table, key), F.try_element_at(table, dashed))
 
 
-def _pair(l1: Column, l2: Column) -> Column:
-    return F.struct(l1.alias("l1"), l2.alias("l2"))
+def _lookups(key: Column) -> list[Column]:
+    pairs = ((F.lit(token), F.struct(F.lit(l1).alias("l1"), F.lit(l2).alias("l2"))) for token, l1, l2 in fixed.TAXONOMY)
+    table = F.create_map(*[part for pair in pairs for part in pair])
+    return [F.try_element_at(table, key), F.try_element_at(table, F.regexp_replace(key, r"\s+", "-"))]

@@ -51,10 +51,12 @@ def with_unit_price(df: DataFrame, raw: Column | str, into: str) -> DataFrame:
     # a quantity such as "1.2.3" makes the whole cell unreadable
     quantity = F.when(F.col("_count") == "", 1.0).otherwise(F.col("_count").try_cast("double"))
     readable = (F.col("_word") == "") | F.col("_quantity").isNotNull()
-    amount = F.when(F.col("_cents"), round_exact(F.col("_amount") / 100.0, 4)).otherwise(F.col("_amount"))
-    parts = read.select(*kept, "_word", "_amount", "_cents", quantity.alias("_quantity")).select(
+    dollars = F.when(F.col("_cents"), F.col("_amount") / 100.0).otherwise(F.col("_amount"))
+    parts = read.select(*kept, "_word", "_cents", dollars.alias("_dollars"), quantity.alias("_quantity")).select(
         *kept,
-        F.when(readable, amount).alias("_value"),
+        F.when(readable & F.col("_cents"), round_exact(F.col("_dollars"), 4))
+        .when(readable, F.col("_dollars"))
+        .alias("_value"),
         F.col("_quantity").alias("_qty"),
         canonical_unit(F.col("_word")).alias("_unit"),
     )
@@ -67,12 +69,19 @@ def with_unit_price(df: DataFrame, raw: Column | str, into: str) -> DataFrame:
     base_name = F.when(each, "per_each").when(unit.isin("ml", "l"), "per_l").otherwise("per_kg")
     priced = value.isNotNull() & unit.isNotNull()
     comparable = priced & (qty != 0)
-    return parts.select(
+    shown = parts.select(
+        *kept,
+        "_value",
+        F.when(priced, F.concat(F.lit("per_"), shown_qty, unit)).alias("_measure"),
+        F.when(comparable, base).alias("_base"),
+        F.when(comparable, base_name).alias("_base_name"),
+    )
+    return shown.select(
         *kept,
         F.struct(
             value.alias("value"),
-            F.when(priced, F.concat(F.lit("per_"), shown_qty, unit)).alias("measure"),
-            F.when(comparable, round_exact(base, 4)).alias("norm_value"),
-            F.when(comparable, base_name).alias("norm_measure"),
+            F.col("_measure").alias("measure"),
+            round_exact(F.col("_base"), 4).alias("norm_value"),
+            F.col("_base_name").alias("norm_measure"),
         ).alias(into),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -17,11 +17,15 @@ PASS, QUARANTINE, DROP = "pass", "quarantine", "drop"
 
 @dataclass(frozen=True)
 class Rule:
-    """``action`` and ``reason`` for the rows for which ``fails`` is true (NULL counts as false)."""
+    """``action`` and ``reason`` for the rows for which ``fails`` is true (NULL counts as false).
+
+    ``given`` names values that are computed once, before the rules are applied.
+    """
 
     action: str
     fails: Column
     reason: Column
+    given: dict[str, Column] = field(default_factory=dict)
 
 
 def retailer_rule(retailer: Column) -> Rule:
@@ -50,10 +54,11 @@ def price_range_rule(price: Column) -> Rule:
 
 def price_unit_rule(price: Column, unit_price: Column, tolerance: float = fixed.UNIT_PRICE_TOLERANCE) -> Rule:
     """Price and unit price orders of magnitude apart; not judged without a positive unit price."""
-    ratio = F.when(unit_price > 0, F.try_divide(price, unit_price))
+    ratio = F.col("_ratio")
     shown = F.format_string("%.1f", round_exact(ratio, 1))
     apart = (ratio > tolerance) | (ratio < 1.0 / tolerance)
-    return Rule(QUARANTINE, apart, F.concat(F.lit("price_unit_mismatch:ratio="), shown))
+    given = {"_ratio": F.when(unit_price > 0, F.try_divide(price, unit_price))}
+    return Rule(QUARANTINE, apart, F.concat(F.lit("price_unit_mismatch:ratio="), shown), given)
 
 
 def unavailable_rule(price: Column, availability: Column) -> Rule:
@@ -82,7 +87,8 @@ def classify(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     ]
     passed = F.struct(F.lit(PASS).alias("action"), F.lit(None).cast("string").alias("reason"))
     kept = [F.col(f"`{name}`") for name in df.columns]
-    return df.select(*kept, F.coalesce(*verdicts, passed).alias("_verdict")).select(
+    given = {name: value for rule in rules for name, value in rule.given.items()}
+    return df.withColumns(given).select(*kept, F.coalesce(*verdicts, passed).alias("_verdict")).select(
         *kept, F.col("_verdict.action").alias("dq_action"), F.col("_verdict.reason").alias("dq_reason")
     )
 

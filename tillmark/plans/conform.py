@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import keys, lists, numbers, text
-from tillmark.functions.taxonomy import canonical_category
+from tillmark.functions.taxonomy import with_category
 from tillmark.functions.unit_price import UNIT_PRICE_TYPE, with_unit_price
 from tillmark.sources.feeds import LINEAGE, FeedSpec, column_or_null
 
@@ -35,7 +35,7 @@ def conform(df: DataFrame, feed: FeedSpec) -> DataFrame:
         fields = with_unit_price(fields, "unit_price", "unit")
     else:
         fields = fields.withColumn("unit", _null(UNIT_PRICE_TYPE))
-    derived = fields.withColumns({"category": canonical_category(F.col("main_category"), sub), "brand_text": brand})
+    derived = with_category(fields, F.col("main_category"), sub).withColumn("brand_text", brand)
     return derived.select(
         retailer.alias("retailer"),
         sku.alias("source_sku"),
@@ -54,8 +54,8 @@ def conform(df: DataFrame, feed: FeedSpec) -> DataFrame:
         supplier.alias("primary_supplier"),
         F.col("main_category").alias("raw_main_category"),
         F.col("sub_category").alias("raw_sub_category"),
-        F.col("category.l1").alias("canonical_l1"),
-        F.col("category.l2").alias("canonical_l2"),
+        "canonical_l1",
+        "canonical_l2",
         "product_url",
         text.match_key(F.col("brand_text"), name, size).alias("brand_product_size"),
         F.col("_snapshot_date").alias("snapshot_date"),

@@ -25,7 +25,7 @@ class From:
     clean: Callable[[Column], Column] | None = None
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class FeedSpec:
     """One retailer's feed.
 
