@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
-from tillmark.functions.text import strip, title_case
+from tillmark.functions.text import quoted, strip, title_case
 
 _CORRUPT = r"""^\p{Nd}|["'\[\]/]"""
 
@@ -39,6 +39,6 @@ def with_category(df: DataFrame, main: Column, sub: Column | None = None) -> Dat
 
 
 def _lookups(key: Column) -> list[Column]:
-    pairs = ((F.lit(token), F.struct(F.lit(l1).alias("l1"), F.lit(l2).alias("l2"))) for token, l1, l2 in fixed.TAXONOMY)
-    table = F.create_map(*[part for pair in pairs for part in pair])
+    rows = [(quoted(token), quoted(l1), quoted(l2)) for token, l1, l2 in fixed.TAXONOMY]
+    table = F.expr(f"map({', '.join(f'{token}, named_struct("l1", {l1}, "l2", {l2})' for token, l1, l2 in rows)})")
     return [F.try_element_at(table, key), F.try_element_at(table, F.regexp_replace(key, r"\s+", "-"))]

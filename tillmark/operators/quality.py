@@ -82,14 +82,14 @@ def price_rules() -> list[Rule]:
 def classify(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Add ``dq_action`` and ``dq_reason``: those of the first rule that fails, else a pass."""
     rules = price_rules() if rules is None else rules
-    verdicts = [
-        F.when(rule.fails, F.struct(F.lit(rule.action).alias("action"), rule.reason.alias("reason"))) for rule in rules
-    ]
-    passed = F.struct(F.lit(PASS).alias("action"), F.lit(None).cast("string").alias("reason"))
-    kept = [F.col(f"`{name}`") for name in df.columns]
+    # two separate columns: who needs the action alone does not pay for the reason texts
+    action, reason = F.lit(PASS), F.lit(None).cast("string")
+    for rule in reversed(rules):
+        action = F.when(rule.fails, rule.action).otherwise(action)
+        reason = F.when(rule.fails, rule.reason).otherwise(reason)
     given = {name: value for rule in rules for name, value in rule.given.items()}
-    return df.withColumns(given).select(*kept, F.coalesce(*verdicts, passed).alias("_verdict")).select(
-        *kept, F.col("_verdict.action").alias("dq_action"), F.col("_verdict.reason").alias("dq_reason")
+    return df.withColumns(given).select(
+        *[F.col(f"`{name}`") for name in df.columns], action.alias("dq_action"), reason.alias("dq_reason")
     )
 
 

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from tillmark.operators import quality
 from tillmark.plans.fact import with_keys
+from tillmark.session import spread
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

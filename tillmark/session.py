@@ -5,10 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# The Java runtime never compiles methods above this many bytes of bytecode. A long chain of
+# text expressions fused into one such method runs interpreted, many times slower than the
+# same chain in smaller methods, which Spark generates once the fused one passes the limit.
+TUNING = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def local_session(cores: str | int = "*", app: str = "tillmark", **settings) -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
@@ -22,13 +30,27 @@ def local_session(cores: str | int = "*", app: str = "tillmark", **settings) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in settings.items():
+    for key, value in (TUNING | settings).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings the text-heavy jobs want; results do not depend on them."""
+    for key, value in TUNING.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input of few partitions to all cores; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and intermediate tables of one run.
 
