@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.functions import keys, lists, numbers, text
+from tillmark.functions.staged import staged
 from tillmark.functions.taxonomy import with_category
 from tillmark.functions.unit_price import canonical_unit, with_unit_price
 
@@ -18,6 +19,13 @@ def check(evaluate, function, cases):
     assert list(zip([given for given, _ in cases], got)) == [(given, want) for given, want in cases]
 
 
+def check_steps(spark, steps, function, cases):
+    table = spark.createDataFrame([(i, given) for i, (given, _) in enumerate(cases)], "id long, cell string")
+    result = staged(table, steps(F.col("cell"), "parsed")).select("id", function(F.col("parsed")).alias("result"))
+    got = [row.result for row in result.orderBy("id").collect()]
+    assert list(zip([given for given, _ in cases], got)) == [(given, want) for given, want in cases]
+
+
 UNIT_PRICES = [
     ("$11.16 per 100g", (11.16, "per_100g", 111.6, "per_kg")),
     ("3c per tablet", (0.03, "per_each", 0.03, "per_each")),
@@ -66,7 +74,7 @@ def test_canonical_unit(evaluate):
     check(evaluate, canonical_unit, [("Litre", "l"), (" KG ", "kg"), ("pk", "each"), ("washes", "each"), ("x", None)])
 
 
-def test_list_items(evaluate):
+def test_list_items(spark):
     cases = [
         ("['Bakery']", ["Bakery"]),
         ("[]", []),
@@ -87,27 +95,36 @@ def test_list_items(evaluate):
         ("[ ]", []),
         ("['a']['b']", ["a']['b"]),
     ]
-    check(evaluate, lists.list_items, cases)
+    check_steps(spark, lists.item_steps, lists.items, cases)
 
 
-def test_supplier_list_with_mixed_quotes(evaluate):
-    (items,) = evaluate([(SUPPLIERS,)], lists.list_items)
+def test_supplier_list_with_mixed_quotes(spark):
+    items = lists.with_items(spark.createDataFrame([(SUPPLIERS,)], "cell string"), F.col("cell"), "items").first().items
     assert len(items) == 4
     assert items[0] == "97446 CARTER & SPENCER GROUP P/L"
     assert "635235 COSTA'S P/L (VIC DC)" in items
 
 
-def test_long_list_has_no_limit(evaluate):
+def test_long_list_has_no_limit(spark):
     cell = "[" + ", ".join(f"'item {i}'" for i in range(50_000)) + "]"
-    (items,) = evaluate([(cell,)], lists.list_items)
+    items = lists.with_items(spark.createDataFrame([(cell,)], "cell string"), F.col("cell"), "items").first().items
     assert len(items) == 50_000 and items[-1] == "item 49999"
 
 
-def test_first_item(evaluate):
-    check(evaluate, lists.first_item, [("[]", "unknown"), ("['Bakery']", "Bakery"), (None, "unknown")])
+def test_first_item(spark):
+    cases = [
+        ("[]", "unknown"),
+        ("['Bakery']", "Bakery"),
+        (None, "unknown"),
+        ("['', '  ', ' a b ', 'c']", "a b"),
+        ("x", "x"),
+        ("['LEO'S', 'x']", "LEO'S"),
+        (SUPPLIERS, "97446 CARTER & SPENCER GROUP P/L"),
+    ]
+    check_steps(spark, lists.item_steps, lists.first_item, cases)
 
 
-def test_primary_department(evaluate):
+def test_primary_department(spark):
     cases = [
         ("['Bakery']", "Bakery"),
         ("['Meat, Seafood & Deli', 'Dairy, Eggs & Fridge']", "Meat Seafood & Deli"),
@@ -122,7 +139,7 @@ def test_primary_department(evaluate):
         ("Bakery", "Bakery"),
         ("[\"Baker's\"]", "Bakers"),
     ]
-    check(evaluate, lists.primary_department, cases)
+    check_steps(spark, lists.department_steps, lists.primary_department, cases)
 
 
 def test_price_amount(evaluate):

@@ -1,18 +1,19 @@
 """List cells such as ``['Bakery', "Baker's Own"]`` as arrays of text.
 
-A cell is turned into one text with a separator after each item by a single regular
-expression, then split. That keeps the work inside generated code and has no limit on
-the number of items.
+A regular expression puts a separator after each item, one match after the other from the
+start of the list. That keeps the work inside generated code, has no limit on the number
+of items, and leaves whatever is no item behind the last separator.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
+from tillmark.functions.staged import Steps, staged
 from tillmark.functions.text import is_empty, strip
 
 _SEP = "\u0001"
@@ -20,65 +21,87 @@ _SINGLE = r"'([^'\\]*+(?:\\.[^'\\]*+)*+)'"
 _DOUBLE = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 _BARE = r"([+-]?\d+(?:\.\d*)?|[+-]?\.\d+|None|True|False)"
 _ITEM = rf"(?s)\G\s*(?:{_SINGLE}|{_DOUBLE}|{_BARE})\s*(?:,|$)"
-_BRACKETS = r"(?s)^(?:\[(.*)\]|\((.*)\))$"
 _QUOTED_COMMA = r"""['"],\s*['"]"""
+_QUOTES = " '\""
 
 
-def list_items(cell: Column) -> Column:
-    """Stripped non-blank items; a cell that is no list is cut at its quoted commas."""
-    text = strip(cell)
+def _charset(chars: str) -> str:
+    return "".join(f"\\x{{{ord(char):x}}}" for char in chars)
+
+
+_SPACE = _charset(fixed.WHITESPACE)
+_FIRST = rf"^[{_SPACE}{_SEP}]*+([^{_SEP}]*[^{_SPACE}{_SEP}])"
+
+
+def item_steps(cell: Column, into: str) -> Steps:
+    """Text ``into``: the items, each closed by a separator.
+
+    A cell that is no list is cut at its quoted commas.
+    """
+    text, joined = F.col(f"_{into}_text"), F.col(f"_{into}_joined")
     loose = F.regexp_replace(F.trim(text, F.lit("[]")), _QUOTED_COMMA, _SEP)
-    items = F.when(is_list(text), _cut(_separated(text))).otherwise(_cut(loose, " '\""))
-    empty = is_empty(text) | text.isin(*fixed.EMPTY_LISTS)
-    return F.when(empty, _no_items()).otherwise(items)
+    loose = F.regexp_replace(F.trim(loose, F.lit(_QUOTES)), f"[{_charset(_QUOTES)}]*{_SEP}[{_charset(_QUOTES)}]*", _SEP)
+    blank = is_empty(text) | text.isin(*fixed.EMPTY_LISTS)
+    return [
+        {f"_{into}_text": strip(cell)},
+        {f"_{into}_joined": _joined(text)},
+        {into: F.when(blank, "").when(_complete(joined), _unescaped(joined)).otherwise(loose)},
+    ]
 
 
-def first_item(cell: Column, default: str = "unknown") -> Column:
-    return F.coalesce(F.get(list_items(cell), F.lit(0)), F.lit(default))
+def department_steps(cell: Column, into: str) -> Steps:
+    """The same for departments, whose names may themselves carry a comma.
 
+    A cell that is no list is one department.
+    """
+    text, joined = F.col(f"_{into}_text"), F.col(f"_{into}_joined")
+    commas = fixed.COMMA_DEPARTMENTS.items()
+    named = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), commas, strip(cell))
+    listed = F.replace(_unescaped(joined), F.lit("'"), F.lit(""))
+    return [
+        {f"_{into}_text": F.coalesce(named, F.lit(""))},
+        {f"_{into}_joined": _joined(text)},
+        {into: F.when(_complete(joined), listed).otherwise(F.trim(text, F.lit("[]'\" ")))},
+    ]
 
-def departments(cell: Column) -> Column:
-    """Items of a department cell, whose names may themselves carry a comma."""
-    text = reduce(
-        lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])),
-        fixed.COMMA_DEPARTMENTS.items(),
-        strip(cell),
-    )
-    listed = _cut(F.replace(_separated(text), F.lit("'"), F.lit("")))
-    alone = F.array_remove(F.array(F.trim(text, F.lit("[]'\" "))), "")
-    items = F.when(is_list(text), listed).otherwise(alone)
-    return F.when(is_empty(cell) | (F.size(items) == 0), F.array(F.lit(fixed.NO_DEPARTMENT))).otherwise(items)
 
+def first_item(separated: Column, default: str = "unknown") -> Column:
+    """First non-blank item, stripped."""
+    return F.coalesce(F.nullif(F.regexp_extract(separated, _FIRST, 1), F.lit("")), F.lit(default))
 
-def primary_department(cell: Column) -> Column:
-    """First department that is in scope; NULL when all of them are out of scope."""
-    excluded = F.array(*[F.lit(name) for name in fixed.EXCLUDED_DEPARTMENTS])
-    return F.get(F.array_except(departments(cell), excluded), F.lit(0))
 
+def items(separated: Column) -> Column:
+    """All non-blank items, stripped, as an array."""
+    tight = F.regexp_replace(separated, f"[{_SPACE}]*{_SEP}[{_SPACE}]*", _SEP)
+    return F.array_remove(F.split(strip(tight), _SEP), "")
 
-def is_list(text: Column) -> Column:
-    """True when brackets hold nothing but quoted texts, numbers and constants.
 
-    Items are matched one right after the other from the start, so whatever is no item
-    is left behind the last separator.
-    """
-    return text.rlike(_BRACKETS) & (strip(F.substring_index(_joined(text), _SEP, -1)) == "")
+def primary_department(separated: Column) -> Column:
+    """First department that is in scope; NULL when all of them are out of scope."""
+    excluded = F.array(*[F.lit(name) for name in fixed.EXCLUDED_DEPARTMENTS])
+    listed = F.when(strip(F.replace(separated, F.lit(_SEP), F.lit(""))) == "", F.array(F.lit(fixed.NO_DEPARTMENT)))
+    return F.get(F.array_except(listed.otherwise(items(separated)), excluded), F.lit(0))
 
 
-def _joined(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, _BRACKETS, "$1$2"), _ITEM, f"$1$2$3{_SEP}")
+def with_items(df: DataFrame, cell: Column, into: str) -> DataFrame:
+    """Add array ``into`` of the items of a list cell."""
+    steps = item_steps(cell, f"_{into}_separated")
+    return staged(df, steps).select(
+        *[F.col(f"`{name}`") for name in df.columns], items(F.col(f"_{into}_separated")).alias(into)
+    )
 
 
-def _separated(text: Column) -> Column:
-    return F.regexp_replace(_joined(text), r"(?s)\\(.)", "$1")
+def _joined(text: Column) -> Column:
+    """Items with separators; NULL when the cell has no brackets."""
+    bracketed = (text.startswith("[") & text.endswith("]")) | (text.startswith("(") & text.endswith(")"))
+    inner = F.substring(text, F.lit(2), F.length(text) - 2)
+    return F.when(bracketed, F.regexp_replace(inner, _ITEM, f"$1$2$3{_SEP}"))
 
 
-def _cut(separated: Column, around: str = fixed.WHITESPACE) -> Column:
-    """Split at the separator and drop what surrounds each item, and blank items."""
-    loose = "".join(f"\\x{{{ord(char):x}}}" for char in around)
-    tight = F.regexp_replace(separated, f"[{loose}]*{_SEP}[{loose}]*", _SEP)
-    return F.array_remove(F.split(F.trim(tight, F.lit(around)), _SEP), "")
+def _complete(joined: Column) -> Column:
+    """True when nothing but items was found."""
+    return strip(F.substring_index(joined, _SEP, -1)) == ""
 
 
-def _no_items() -> Column:
-    return F.array().cast("array<string>")
+def _unescaped(joined: Column) -> Column:
+    return F.when(joined.contains("\\"), F.regexp_replace(joined, r"(?s)\\(.)", "$1")).otherwise(joined)

@@ -5,23 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillmark.functions.staged import Steps
 from tillmark.functions.text import strip
 
-_DECIMAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$|^[+-]?(?i:inf(?:inity)?)$"
+_DIGITS = r"\d(?:_?\d)*"
+_DECIMAL = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$|^[+-]?(?i:inf(?:inity)?)$"
 _LARGEST_FRACTION = float(2**52)
 _SPLITTER = float(2**27 + 1)
 
 
-def to_double(text: Column) -> Column:
-    """Number of a text, NULL when it is none; hex, suffixes and NaN are no numbers."""
-    plain = strip(text)
-    plain = F.when(plain.contains("_"), F.regexp_replace(plain, r"(?<=\d)_(?=\d)", "")).otherwise(plain)
-    return F.when(plain.rlike(_DECIMAL), plain.try_cast("double"))
+def to_double(plain: Column) -> Column:
+    """Number of a stripped text, NULL when it is none; hex, suffixes and NaN are no numbers."""
+    return F.when(plain.rlike(_DECIMAL), F.translate(plain, "_", "").try_cast("double"))
 
 
-def price_amount(text: Column) -> Column:
-    """Amount of a price cell, whatever dollar signs and thousands commas it carries."""
-    return to_double(F.translate(strip(text), "$,", ""))
+def price_text(cell: Column) -> Column:
+    """Price cell without dollar signs and thousands commas."""
+    return strip(F.translate(cell, "$,", ""))
+
+
+def price_amount(cell: Column) -> Column:
+    return to_double(price_text(cell))
+
+
+def price_steps(cell: Column, into: str) -> Steps:
+    return [{f"_{into}_text": price_text(cell)}, {into: to_double(F.col(f"_{into}_text"))}]
 
 
 def round_exact(value: Column, digits: int) -> Column:

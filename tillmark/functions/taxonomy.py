@@ -6,36 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
+from tillmark.functions.staged import Steps, staged
 from tillmark.functions.text import quoted, strip, title_case
 
 _CORRUPT = r"""^\p{Nd}|["'\[\]/]"""
 
 
-def with_category(df: DataFrame, main: Column, sub: Column | None = None) -> DataFrame:
-    """Add ``canonical_l1`` and ``canonical_l2``: of the sub-category if known, else of the
-    main one, else the main text's own title for both.
+def category_steps(main: Column, sub: Column | None = None, prefix: str = "canonical") -> Steps:
+    """``<prefix>_l1`` and ``<prefix>_l2``: of the sub-category if known, else of the main
+    one, else the main text's own title for both.
 
     A text that starts with a digit or holds quotes, brackets or slashes is debris of
-    another field and counts as ``Other``. Written in stages, so that every intermediate
-    text is computed once.
+    another field and counts as ``Other``.
     """
-    kept = [F.col(f"`{name}`") for name in df.columns]
-    texts = [strip(main).alias("_main")] + ([strip(sub).alias("_sub")] if sub is not None else [])
-    plain = F.col("_main")
+    plain, pair = F.col(f"_{prefix}_main"), F.col(f"_{prefix}_pair")
+    texts = {f"_{prefix}_main": strip(main)} | ({} if sub is None else {f"_{prefix}_sub": strip(sub)})
+    tried = [f"_{prefix}_main"] if sub is None else [f"_{prefix}_sub", f"_{prefix}_main"]
+    keys = {f"{name}_key": F.lower(F.col(name)) for name in tried}
+    known = [found for name in tried for found in _lookups(F.col(f"{name}_key"))]
     title = F.when((plain != "") & ~plain.rlike(_CORRUPT), title_case(plain)).otherwise(fixed.OTHER_CATEGORY)
-    tried = ["_main"] if sub is None else ["_sub", "_main"]
-    keys = [F.lower(F.col(name)).alias(f"{name}_key") for name in tried]
-    known = F.coalesce(*[found for name in tried for found in _lookups(F.col(f"{name}_key"))])
-    return (
-        df.select(*kept, *texts)
-        .select(*kept, title.alias("_title"), *keys)
-        .select(*kept, "_title", known.alias("_known"))
-        .select(
-            *kept,
-            F.coalesce("_known.l1", "_title").alias("canonical_l1"),
-            F.coalesce("_known.l2", "_title").alias("canonical_l2"),
-        )
-    )
+    own = F.struct(title.alias("l1"), F.lit(None).cast("string").alias("l2"))
+    return [
+        texts,
+        keys,
+        {f"_{prefix}_pair": F.coalesce(*known, own)},
+        {f"{prefix}_l1": pair["l1"], f"{prefix}_l2": F.coalesce(pair["l2"], pair["l1"])},
+    ]
+
+
+def with_category(df: DataFrame, main: Column, sub: Column | None = None, prefix: str = "canonical") -> DataFrame:
+    added = staged(df, category_steps(main, sub, prefix))
+    return added.select(*[F.col(f"`{name}`") for name in df.columns], f"{prefix}_l1", f"{prefix}_l2")
 
 
 def _lookups(key: Column) -> list[Column]:

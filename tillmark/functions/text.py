@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
 
-_CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
-_WORD_START = rf"(?<!{_CASED})(?={_CASED})"
+_CASED = r"a-z\p{Lu}\p{Ll}\p{Lt}"
+_INNER_START = rf"([^ {_CASED}])(?=[{_CASED}])"
 _MARK = "\u0001 "
 
 
@@ -24,10 +24,10 @@ def is_empty(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Capitalise every letter that follows a non-letter, lower-case the others.
 
-    ``initcap`` alone starts words at spaces only, so each word start first gets a
-    marked space, which is taken out again afterwards.
+    ``initcap`` starts words at spaces only, so a start after any other character first
+    gets a marked space, which is taken out again afterwards.
     """
-    marked = F.regexp_replace(F.lower(text), _WORD_START, _MARK)
+    marked = F.regexp_replace(F.lower(text), _INNER_START, f"$1{_MARK}")
     return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 
@@ -77,11 +77,8 @@ def slug_category(slug: Column) -> Column:
 
 def leading_brand(name: Column) -> Column:
     """The one or two capitalised all-letter words a name starts with, else its first word."""
-    plain = strip(name)
-    capitalised = F.regexp_extract(plain, r"^(\p{Lu}\p{L}*(?:\s+\p{Lu}\p{L}*)?)(?=\s|$)", 1)
-    first_word = F.regexp_extract(plain, r"^(\S+)", 1)
-    brand = F.when(capitalised != "", F.regexp_replace(capitalised, r"\s+", " ")).otherwise(first_word)
-    return F.when(brand != "", brand)
+    brand = F.regexp_extract(strip(name), r"^(\p{Lu}\p{L}*(?:\s+\p{Lu}\p{L}*)?(?=\s|$)|\S+)", 1)
+    return F.nullif(F.regexp_replace(brand, r"\s+", " "), F.lit(""))
 
 
 def availability(status: Column) -> Column:

@@ -1,8 +1,4 @@
-"""Unit prices such as ``$2.58 per 100mL`` or ``3c per tablet``.
-
-The parse is written as consecutive projections: each intermediate value is a column
-that Spark computes once per row, and the stages share one generated function.
-"""
+"""Unit prices such as ``$2.58 per 100mL`` or ``3c per tablet``."""
 
 from __future__ import annotations
 
@@ -11,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
 from tillmark.functions.numbers import round_exact
+from tillmark.functions.staged import Steps, staged
 from tillmark.functions.text import lookup, strip
 
 UNIT_PRICE_TYPE = "struct<value:double,measure:string,norm_value:double,norm_measure:string>"
@@ -20,6 +17,8 @@ _UNITS = (
     | {word: "ml" if millilitres == 1.0 else "l" for word, millilitres in fixed.VOLUME_UNITS.items()}
     | {word: "each" for word in fixed.COUNT_WORDS}
 )
+_PER = r"(?i)[\s\x{a0}]*(?:per|/)[\s\x{a0}]*"
+_AMOUNT = r"[\d.]+"
 _QUANTITY = r"^([\d.]+)?\s*([a-zA-Z]+)"
 
 
@@ -27,61 +26,60 @@ def canonical_unit(word: Column) -> Column:
     return lookup(_UNITS, F.lower(strip(word)))
 
 
-def with_unit_price(df: DataFrame, raw: Column | str, into: str) -> DataFrame:
-    """Add struct ``into``: value and measure as shown, and per kg, litre or piece."""
-    text = strip(F.col(raw) if isinstance(raw, str) else raw)
-    kept = [F.col(f"`{name}`") for name in df.columns]
-    value, qty, unit = F.col("_value"), F.col("_qty"), F.col("_unit")
+def unit_price_steps(raw: Column, into: str) -> Steps:
+    """Struct ``into``: value and measure as shown, and the value per kg, litre or piece.
 
-    # "<amount> per <quantity><unit>", cut at the first "per" or slash
-    cut = df.select(*kept, text.alias("_text")).select(
-        *kept,
-        F.col("_text").rlike("(?i)per|/").alias("_cut"),
-        strip(F.regexp_replace("_text", r"(?is)\s*(?:per|/).*$", "")).alias("_left"),
-        F.regexp_replace("_text", r"(?is)^.*?(?:per|/)\s*", "").alias("_right"),
-    )
-    in_cents = ~F.col("_left").contains("$") & F.col("_left").rlike(r"\dc\b|[cC]$")
-    read = cut.select(
-        *kept,
-        F.when(F.col("_cut"), F.regexp_extract("_left", r"[\d.]+", 0).try_cast("double")).alias("_amount"),
-        in_cents.alias("_cents"),
-        F.regexp_extract("_right", _QUANTITY, 1).alias("_count"),
-        F.regexp_extract("_right", _QUANTITY, 2).alias("_word"),
-    )
+    The cell reads "<amount> per <quantity><unit>", cut at its first "per" or slash.
+    """
+
+    def part(name: str) -> Column:
+        return F.col(f"_{into}_{name}")
+
+    left, right = F.get(part("halves"), F.lit(0)), F.get(part("halves"), F.lit(1))
+    amount, cents, count, word = part("amount"), part("cents"), part("count"), part("word")
+    value, qty, unit, base = part("value"), part("qty"), part("unit"), part("base")
+
+    dollars = F.when(cents, round_exact(amount / 100.0, 4)).otherwise(amount)
     # a quantity such as "1.2.3" makes the whole cell unreadable
-    quantity = F.when(F.col("_count") == "", 1.0).otherwise(F.col("_count").try_cast("double"))
-    readable = (F.col("_word") == "") | F.col("_quantity").isNotNull()
-    dollars = F.when(F.col("_cents"), F.col("_amount") / 100.0).otherwise(F.col("_amount"))
-    parts = read.select(*kept, "_word", "_cents", dollars.alias("_dollars"), quantity.alias("_quantity")).select(
-        *kept,
-        F.when(readable & F.col("_cents"), round_exact(F.col("_dollars"), 4))
-        .when(readable, F.col("_dollars"))
-        .alias("_value"),
-        F.col("_quantity").alias("_qty"),
-        canonical_unit(F.col("_word")).alias("_unit"),
-    )
+    readable = (word == "") | (count == "") | count.try_cast("double").isNotNull()
 
     whole = qty.try_cast("decimal(38,0)").cast("string")
     shown_qty = F.when(qty == 1.0, "").when(qty == F.rint(qty), whole).otherwise(qty.cast("string"))
-    per_thousand = F.when(unit == "mg", 0.001).when(unit.isin("kg", "l"), 1000.0).otherwise(1.0)
-    each = unit == "each"
-    base = F.when(each, F.try_divide(value, qty)).otherwise(F.try_divide(value, per_thousand * qty) * 1000.0)
-    base_name = F.when(each, "per_each").when(unit.isin("ml", "l"), "per_l").otherwise("per_kg")
     priced = value.isNotNull() & unit.isNotNull()
     comparable = priced & (qty != 0)
-    shown = parts.select(
-        *kept,
-        "_value",
-        F.when(priced, F.concat(F.lit("per_"), shown_qty, unit)).alias("_measure"),
-        F.when(comparable, base).alias("_base"),
-        F.when(comparable, base_name).alias("_base_name"),
-    )
-    return shown.select(
-        *kept,
-        F.struct(
-            value.alias("value"),
-            F.col("_measure").alias("measure"),
-            round_exact(F.col("_base"), 4).alias("norm_value"),
-            F.col("_base_name").alias("norm_measure"),
-        ).alias(into),
+    per_thousand = F.when(unit == "mg", 0.001).when(unit.isin("kg", "l"), 1000.0).otherwise(1.0)
+    per_base = F.when(unit == "each", F.try_divide(value, qty)).otherwise(
+        F.try_divide(value, per_thousand * qty) * 1000.0
     )
+    base_name = F.when(unit == "each", "per_each").when(unit.isin("ml", "l"), "per_l").otherwise("per_kg")
+    return [
+        {f"_{into}_halves": F.split(strip(raw), _PER, 2)},
+        {
+            f"_{into}_amount": F.when(right.isNotNull(), F.regexp_extract(left, _AMOUNT, 0)).try_cast("double"),
+            f"_{into}_cents": ~left.contains("$") & left.rlike(r"\dc\b|[cC]$"),
+            f"_{into}_count": F.regexp_extract(right, _QUANTITY, 1),
+            f"_{into}_word": F.regexp_extract(right, _QUANTITY, 2),
+        },
+        {
+            f"_{into}_value": F.when(readable, dollars),
+            f"_{into}_qty": F.when(count == "", 1.0).otherwise(count.try_cast("double")),
+            f"_{into}_unit": canonical_unit(word),
+        },
+        {
+            f"_{into}_measure": F.when(priced, F.concat(F.lit("per_"), shown_qty, unit)),
+            f"_{into}_base": F.when(comparable, per_base),
+            f"_{into}_base_name": F.when(comparable, base_name),
+        },
+        {
+            into: F.struct(
+                value.alias("value"),
+                part("measure").alias("measure"),
+                round_exact(base, 4).alias("norm_value"),
+                part("base_name").alias("norm_measure"),
+            )
+        },
+    ]
+
+
+def with_unit_price(df: DataFrame, raw: str, into: str) -> DataFrame:
+    return staged(df, unit_price_steps(F.col(raw), into)).select(*[F.col(f"`{name}`") for name in df.columns], into)

@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.functions import keys, lists, numbers, text
-from tillmark.functions.taxonomy import with_category
-from tillmark.functions.unit_price import UNIT_PRICE_TYPE, with_unit_price
-from tillmark.sources.feeds import LINEAGE, FeedSpec, column_or_null
+from tillmark.functions import keys, lists, text
+from tillmark.functions.numbers import price_steps
+from tillmark.functions.staged import staged
+from tillmark.functions.taxonomy import category_steps
+from tillmark.functions.unit_price import UNIT_PRICE_TYPE, unit_price_steps
+from tillmark.sources.feeds import LINEAGE, FeedSpec, From, column_or_null
 
 _FIELDS = (
     "product_name", "source_sku", "brand", "price", "previous_price", "unit_price", "package_size",
@@ -21,28 +23,28 @@ _FIELDS = (
 def conform(df: DataFrame, feed: FeedSpec) -> DataFrame:
     """Project a raw feed, batch or stream, onto the 24 columns of the common model."""
     fields = _cleaned_fields(df, feed)
-    if feed.keep is not None:
-        fields = fields.filter(feed.keep())
+    has = feed.columns.__contains__
 
     retailer, name, url = F.lit(feed.retailer), F.col("product_name"), F.col("product_url")
-    sub = F.col("sub_category") if "sub_category" in feed.columns else None
-    sku = F.col("source_sku") if "source_sku" in feed.columns else keys.surrogate_sku(retailer, name, url)
-    brand = F.col("brand") if "brand" in feed.columns else text.leading_brand(name)
-    supplier = lists.first_item(F.col("suppliers")) if "suppliers" in feed.columns else _null("string")
-    size = F.col("package_size") if "package_size" in feed.columns else F.lit("")
-
-    if "unit_price" in feed.columns:
-        fields = with_unit_price(fields, "unit_price", "unit")
-    else:
-        fields = fields.withColumn("unit", _null(UNIT_PRICE_TYPE))
-    derived = with_category(fields, F.col("main_category"), sub).withColumn("brand_text", brand)
-    return derived.select(
+    parsers = [
+        price_steps(F.col("price"), "price_aud"),
+        price_steps(F.col("previous_price"), "previous_price_aud"),
+        category_steps(F.col("main_category"), F.col("sub_category") if has("sub_category") else None),
+        unit_price_steps(F.col("unit_price"), "unit") if has("unit_price") else [{"unit": _null(UNIT_PRICE_TYPE)}],
+        [{"brand_text": F.col("brand") if has("brand") else text.leading_brand(name)}],
+    ]
+    if has("suppliers"):
+        parsers.append(lists.item_steps(F.col("suppliers"), "supplier_items"))
+    supplier = lists.first_item(F.col("supplier_items")) if has("suppliers") else _null("string")
+    sku = F.col("source_sku") if has("source_sku") else keys.surrogate_sku(retailer, name, url)
+    size = F.col("package_size") if has("package_size") else F.lit("")
+    return staged(fields, *parsers).select(
         retailer.alias("retailer"),
         sku.alias("source_sku"),
         "product_name",
         F.col("brand_text").alias("brand"),
-        numbers.price_amount(F.col("price")).alias("price_aud"),
-        numbers.price_amount(F.col("previous_price")).alias("previous_price_aud"),
+        "price_aud",
+        "previous_price_aud",
         F.col("unit.value").alias("unit_price_value"),
         F.col("unit.measure").alias("unit_price_measure"),
         F.col("unit.norm_value").alias("norm_unit_price"),
@@ -71,17 +73,23 @@ def conform_all(raw: dict[FeedSpec, DataFrame] | list[tuple[FeedSpec, DataFrame]
 
 
 def _cleaned_fields(df: DataFrame, feed: FeedSpec) -> DataFrame:
-    fields = []
-    for name in _FIELDS:
-        source = feed.columns.get(name)
-        if source is None:
-            value = _null("string")
-        else:
-            value = column_or_null(df, source.header)
-            value = source.clean(value) if source.clean else value
-        fields.append(value.alias(name))
+    """One column per field of the model, cleaned; rows the feed does not keep are gone."""
+    headers = {name: column_or_null(df, source.header) for name, source in feed.columns.items()}
     special = text.any_special(*[column_or_null(df, header) for header in feed.specials])
-    return df.select(*fields, special.alias("on_special"), *LINEAGE)
+    read = df.select(
+        *[headers.get(name, _null("string")).alias(name) for name in _FIELDS], special.alias("on_special"), *LINEAGE
+    )
+    parsed = staged(read, *[source.parse(F.col(name), f"_{name}") for name, source in feed.columns.items() if source.parse])
+    cleaned = parsed.select(
+        *[_clean(feed.columns.get(name), name).alias(name) for name in _FIELDS], "on_special", *LINEAGE
+    )
+    return cleaned if feed.keep is None else cleaned.filter(feed.keep())
+
+
+def _clean(source: From | None, name: str) -> Column:
+    if source is None or source.clean is None:
+        return F.col(name)
+    return source.clean(F.col(f"_{name}" if source.parse else name))
 
 
 def _null(kind: str) -> Column:

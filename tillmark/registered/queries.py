@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions import keys, lists, numbers, text
-from tillmark.functions.taxonomy import with_category
+from tillmark.functions.staged import staged
+from tillmark.functions.taxonomy import category_steps
 from tillmark.functions.unit_price import with_unit_price
 from tillmark.operators import quality
 from tillmark.operators.history import HistorySpec, scd2
@@ -34,24 +35,26 @@ def unit_price_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = inputs.observations(spark, sf_dir).selectExpr(*LINE, f"{inputs.PRICE_TEXT} as cell")
-    return cells.select(*LINE, numbers.price_amount(F.col("cell")).alias("price_aud"))
+    return staged(cells, numbers.price_steps(F.col("cell"), "price_aud")).select(*LINE, "price_aud")
 
 
 def supplier_list_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "lineitem")
     cells = lines.selectExpr(*LINE, f"{inputs.SUPPLIERS_TEXT} as cell")
-    items = cells.select(*LINE, lists.list_items(F.col("cell")).alias("items"))
-    return items.select(
+    split = staged(cells, lists.item_steps(F.col("cell"), "separated"))
+    listed = split.select(*LINE, "separated", lists.items(F.col("separated")).alias("items"))
+    return listed.select(
         *LINE,
         F.size("items").alias("n_suppliers"),
         F.get("items", F.lit(1)).alias("second_supplier"),
-        F.coalesce(F.get("items", F.lit(0)), F.lit("unknown")).alias("primary_supplier"),
+        lists.first_item(F.col("separated")).alias("primary_supplier"),
     )
 
 
 def primary_department(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = inputs.table(spark, sf_dir, "part").selectExpr("p_partkey", f"{inputs.DEPARTMENT_TEXT} as cell")
-    return cells.select("p_partkey", lists.primary_department(F.col("cell")).alias("department"))
+    split = staged(cells, lists.department_steps(F.col("cell"), "separated"))
+    return split.select("p_partkey", lists.primary_department(F.col("separated")).alias("department"))
 
 
 def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,10 +71,9 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.category_label(F.col("main")).alias("label"),
         text.slug_category(F.col("slug")).alias("slug_label"),
     )
-    by_slug = with_category(labelled, F.col("slug_label")).withColumnsRenamed(
-        {"canonical_l1": "slug_l1", "canonical_l2": "slug_l2"}
-    )
-    return with_category(by_slug, F.col("label"), F.col("sub")).drop("sub")
+    both = category_steps(F.col("label"), F.col("sub"))
+    found = staged(labelled, both, category_steps(F.col("slug_label"), prefix="slug"))
+    return found.select("p_partkey", "label", "slug_label", "canonical_l1", "canonical_l2", "slug_l1", "slug_l2")
 
 
 def label_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tillmark.functions import fixed_values as fixed
 from tillmark.functions import lists, text
+from tillmark.functions.staged import Steps
 
 LINEAGE = ("_source_file", "_ingest_ts", "_snapshot_date")
 RESCUED = "_rescued_data"
@@ -19,10 +20,11 @@ RESCUED = "_rescued_data"
 
 @dataclass(frozen=True)
 class From:
-    """A column of the feed and the clean-up it gets."""
+    """A column of the feed and the clean-up it gets, if need be after a parse in steps."""
 
     header: str
     clean: Callable[[Column], Column] | None = None
+    parse: Callable[[Column, str], Steps] | None = None
 
 
 @dataclass(frozen=True, eq=False)
@@ -151,7 +153,7 @@ WOOLWORTHS = FeedSpec(
         "package_size": From("Package Size", text.package_size_label),
         "availability": From("Availability"),
         "ratings": From("Ratings"),
-        "main_category": From("Department", lists.primary_department),
+        "main_category": From("Department", lists.primary_department, lists.department_steps),
         "product_url": From("Product URL"),
     },
     specials=("Specials",),
