@@ -147,23 +147,27 @@ _FEED_COLUMNS = {
 }
 
 
-def feed_text(spark: SparkSession, sf_dir: str, feed: FeedSpec, *more: str) -> DataFrame:
-    """One feed's native columns, as its files would hold them, and ``more`` expressions."""
-    rows = observations(spark, sf_dir).filter(F.col("retailer") == feed.retailer)
+def feed_text(rows: DataFrame, feed: FeedSpec, *more: str) -> DataFrame:
+    """Observations as one feed's native columns, the way its files would hold them, and
+    ``more`` expressions."""
     return rows.selectExpr(*[f"{sql} as `{header}`" for header, sql in _FEED_COLUMNS[feed].items()], *more)
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, feed: FeedSpec) -> DataFrame:
-    """One feed as a raw table: native columns and lineage."""
+def raw_feed(rows: DataFrame, feed: FeedSpec) -> DataFrame:
+    """Observations as one feed's raw table: native columns and lineage."""
     return feed_text(
-        spark,
-        sf_dir,
+        rows,
         feed,
-        "concat(retailer, '/date=', day) as _source_file",
+        f"concat('{feed.retailer}', '/date=', day) as _source_file",
         "timestamp'2021-06-01 00:00:00' as _ingest_ts",
         "day as _snapshot_date",
     )
 
 
+def by_feed(rows: DataFrame) -> list[tuple[FeedSpec, DataFrame]]:
+    """Every observation in the feed of its own retailer."""
+    return [(feed, rows.filter(F.col("retailer") == feed.retailer)) for feed in _FEED_COLUMNS]
+
+
 def raw_feeds(spark: SparkSession, sf_dir: str) -> list[tuple[FeedSpec, DataFrame]]:
-    return [(feed, raw_feed(spark, sf_dir, feed)) for feed in _FEED_COLUMNS]
+    return [(feed, raw_feed(rows, feed)) for feed, rows in by_feed(observations(spark, sf_dir))]

@@ -15,7 +15,15 @@ from tillmark.plans import dimensions, marts
 from tillmark.plans.conform import conform, conform_all
 from tillmark.plans.fact import fact_price, fact_price_quarantine
 from tillmark.registered import inputs
+from tillmark.session import work_folder
+from tillmark.sources import landing
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec
+from tillmark.sources.raw_files import list_files, read_feed
+from tillmark.sources.tables import latest, read_table
+from tillmark.streaming import facts as streamed
+from tillmark.streaming import ingest
+from tillmark.streaming.distinct import run_distinct
+from tillmark.streaming.history import run_history
 
 LINE = ("l_orderkey", "l_linenumber")
 EVENT_HISTORY = HistorySpec(keys=("user_id",), sequence="ts", tracked=("event_type",), leave_out=("props", "value"))
@@ -135,8 +143,10 @@ def availability_special_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- conform -------------------------------------------------------------------------
 def _conformed(feed: FeedSpec):
+    """All observations as rows of one feed."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return conform(inputs.raw_feed(spark, sf_dir, feed), feed).drop("_ingest_ts")
+        return conform(inputs.raw_feed(inputs.observations(spark, sf_dir), feed), feed).drop("_ingest_ts")
 
     return query
 
@@ -215,6 +225,88 @@ def event_history_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2(inputs.table(spark, sf_dir, "events"), EVENT_HISTORY, hot_rows=20)
 
 
+# ---- files and streams ---------------------------------------------------------------
+def _write_csv(rows: DataFrame, folder: str) -> None:
+    """CSV files in date folders, the way they are landed."""
+    writer = rows.hint("rebalance", "date").write.partitionBy("date")
+    writer.option("header", "true").option("quote", '"').option("escape", '"').csv(folder)
+
+
+def ingested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files through the ingestion stream, then conformed."""
+    work = work_folder(spark, "ingested")
+    _write_csv(inputs.feed_text(inputs.observations(spark, sf_dir), COLES, "day as date"), f"{work}/coles")
+    ingest.ingest(spark, COLES, f"{work}/coles", f"{work}/raw", f"{work}/checkpoint")
+    return conform(ingest.raw_table(spark, COLES, f"{work}/raw"), COLES).drop("_ingest_ts", "_source_file")
+
+
+def rescued_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two file layouts of one feed; what the feed does not know is rescued as JSON."""
+    folder = f"{work_folder(spark, 'rescued')}/aldi"
+    more = ("p_brand as Colour", "l_linenumber", "day as date")
+    rows = inputs.feed_text(inputs.observations(spark, sf_dir), ALDI, *more)
+    usual, other = rows.filter("l_linenumber % 2 = 0"), rows.filter("l_linenumber % 2 = 1")
+    _write_csv(usual.drop("Colour", "l_linenumber"), f"{folder}/usual")
+    _write_csv(other.select("Product Page", "Colour", "Product", "date"), f"{folder}/other")
+    raw = read_feed(spark, ALDI, list_files(spark, folder))
+    return raw.select("Product", "Product_Page", "Sub_Category", "_rescued_data", "_snapshot_date")
+
+
+def fact_price_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feeds as files, through ingestion and fact streams."""
+    work = work_folder(spark, "streamed")
+    for feed, rows in inputs.by_feed(inputs.observations(spark, sf_dir)):
+        _write_csv(inputs.feed_text(rows, feed, "day as date"), f"{work}/in/{feed.folder}")
+    raw = ingest.ingest_all(spark, f"{work}/in", f"{work}/tables", f"{work}/checkpoints")
+    streamed.run_fact(spark, raw, f"{work}/fact", f"{work}/checkpoints/fact")
+    fact = read_table(spark, f"{work}/fact", streamed.fact_schema(spark))
+    return fact.drop("_ingest_ts", "_source_file")
+
+
+def event_history_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in any order, a few files per micro-batch, into one history."""
+    work = work_folder(spark, "event-history")
+    events = inputs.table(spark, sf_dir, "events")
+    events.repartition(4, F.hash("event_id")).write.parquet(f"{work}/events")
+    run_history(spark, f"{work}/events", events.schema, f"{work}/dim", f"{work}/checkpoint", EVENT_HISTORY, 2)
+    return latest(spark, f"{work}/dim")
+
+
+def dim_product_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = work_folder(spark, "product-history")
+    facts = inputs.facts(spark, sf_dir)
+    facts.repartitionByRange(4, "snapshot_date").write.parquet(f"{work}/fact")
+    spec = dimensions.PRODUCT_HISTORY
+    run_history(spark, f"{work}/fact", facts.schema, f"{work}/dim", f"{work}/checkpoint", spec, 2)
+    return latest(spark, f"{work}/dim")
+
+
+def event_type_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = work_folder(spark, "distinct")
+    schema = inputs.table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    types = events.select("event_type", F.upper("event_type").alias("label"))
+    run_distinct(types, ["event_type"], f"{work}/types", f"{work}/checkpoint")
+    return latest(spark, f"{work}/types")
+
+
+def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One messy file name per order."""
+    return inputs.table(spark, sf_dir, "orders").selectExpr(
+        """concat('/in/', o_custkey % 3, '/', case when o_orderkey % 11 = 0 then '' else date_format(o_orderdate, 'yyyy-MM-dd') end,
+        element_at(array(' ALDI', ' Coles', ' iga', ' WOW', ' Woolworths', ' shop'), cast(o_custkey % 6 as int) + 1),
+        ' Data ', o_orderkey, '.csv') as path"""
+    )
+
+
+def landing_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.landing_plan(_file_names(spark, sf_dir), "raw")
+
+
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing_plan(spark, sf_dir).filter("target is null").select("source", "retailer", "date")
+
+
 QUERIES = {
     "unit_price_normalised": unit_price_normalised,
     "price_text_clean": price_text_clean,
@@ -247,4 +339,12 @@ QUERIES = {
     "dim_date": _on_fact(dimensions.dim_date),
     "event_history_scd2": event_history,
     "event_history_scd2_hot_keys": event_history_hot_keys,
+    "event_history_scd2_streamed": event_history_streamed,
+    "dim_product_scd2_streamed": dim_product_streamed,
+    "event_type_dedup_stream": event_type_dedup_stream,
+    "ingested_feed": ingested_feed,
+    "rescued_columns": rescued_columns,
+    "fact_price_streamed": fact_price_streamed,
+    "landing_plan": landing_plan,
+    "landing_rejects": landing_rejects,
 }

@@ -114,7 +114,7 @@ _FEEDS = {
 }
 
 
-def _feed_sql(retailer: str) -> str:
+def _feed_sql(retailer: str, rows: str = "true") -> str:
     f = _FEEDS[retailer]
     return f"""select '{retailer}' as retailer, {f["source_sku"]} as source_sku, {f["product_name"]} as product_name,
   {f["brand"]} as brand, {_PRICE} as price_aud, cast({f["previous"]} as double) as previous_price_aud, {_UNIT_COLUMNS},
@@ -124,10 +124,10 @@ def _feed_sql(retailer: str) -> str:
   {f["l1"]} as canonical_l1, {f["l2"]} as canonical_l2, {_URL} as product_url,
   concat_ws(' ', {f["brand"]}, {f["product_name"]}, cast({f["size"]} as varchar)) as brand_product_size,
   day as snapshot_date, '{retailer}/date=' || day as _source_file
-  from obs where retailer = '{retailer}' and {f["keep"]}"""
+  from obs where {rows} and {f["keep"]}"""
 
 
-_UNION = " union all ".join(_feed_sql(retailer) for retailer in _FEEDS)
+_UNION = " union all ".join(_feed_sql(retailer, f"retailer = '{retailer}'") for retailer in _FEEDS)
 
 _VERDICT = """case
   when retailer is null or retailer not in ('Aldi', 'Coles', 'IGA', 'Woolworths') then 'drop|invalid_retailer:''' || retailer || ''''
@@ -217,6 +217,16 @@ _UNCHECKED = f"""with {_OBS}, unchecked as (select l_orderkey, l_linenumber,
     case when gone and l_linenumber < 5 then 'unavailable' else 'available' end as availability,
     unit_cents / 100.0::double as unit_price_value from obs)"""
 
+_SLUG = _by_type("fresh product", "beauty", "laundry household", "freezer", "mystery-dept", "pantry")
+_NAMES = """with names as (select o_custkey % 6 as mark, o_orderkey % 11 = 0 as undated,
+    strftime(o_orderdate, '%Y-%m-%d') as stamp, '/in/' || (o_custkey % 3) || '/' ||
+    case when o_orderkey % 11 = 0 then '' else strftime(o_orderdate, '%Y-%m-%d') end ||
+    ([' ALDI', ' Coles', ' iga', ' WOW', ' Woolworths', ' shop'])[(o_custkey % 6) + 1] || ' Data ' || o_orderkey || '.csv'
+      as source from orders),
+  placed as (select *, 'raw/' || retailer || '/date=' || "date" || '/' || retailer || '_' || "date" || '.csv' as target
+    from (select source, (['aldi', 'coles', 'iga', 'woolworths', 'woolworths', null])[mark + 1] as retailer,
+      case when not undated then stamp end as "date" from names))"""
+
 EVENT_HISTORY = "with " + _islands("events", "user_id", "ts", "event_type", "event_id, ts, user_id, event_type")
 
 SQL = {
@@ -301,4 +311,17 @@ SQL = {
         from fact)""",
     "event_history_scd2": EVENT_HISTORY,
     "event_history_scd2_hot_keys": EVENT_HISTORY,
+    "event_history_scd2_streamed": EVENT_HISTORY,
+    "event_type_dedup_stream": "select distinct event_type, upper(event_type) as label from events",
+    "ingested_feed": f"with {_OBS} select * exclude (_source_file) from ({_feed_sql('Coles')})",
+    "rescued_columns": f"""with {_OBS} select {_NAME} as "Product", {_URL} as "Product_Page",
+        case when l_linenumber % 2 = 0 then {_SLUG} end as "Sub_Category",
+        case when l_linenumber % 2 = 1 then '{{"Colour":"' || p_brand || '"}}' end as _rescued_data,
+        day as _snapshot_date from obs""",
+    "landing_plan": f"""{_NAMES}, last as (select target, max(source) as source from placed group by all)
+        select source, retailer, "date", target, case when target is null then 'cannot classify'
+          when (target, source) not in (select (target, source) from last) then 'superseded' end as reason from placed""",
+    "landing_rejects": f"""{_NAMES} select source, retailer, "date" from placed where target is null""",
 }
+SQL["dim_product_scd2_streamed"] = SQL["dim_product_scd2"]
+SQL["fact_price_streamed"] = f"select * exclude (_source_file) from ({SQL['fact_price']})"

@@ -34,7 +34,6 @@ def landing_plan(files: DataFrame, prefix: str) -> DataFrame:
     name = F.substring_index("path", "/", -1)
     named = files.select(F.col("path").alias("source"), retailer_of(name).alias("retailer"), date_of(name).alias("date"))
     clear = F.col("retailer").isNotNull() & F.col("date").isNotNull()
-    # concat is NULL when one part is
     place = F.concat_ws(
         "/",
         F.lit(prefix.rstrip("/")),
@@ -43,9 +42,12 @@ def landing_plan(files: DataFrame, prefix: str) -> DataFrame:
         F.concat("retailer", F.lit("_"), "date", F.lit(".csv")),
     )
     planned = named.withColumn("target", F.when(clear, place))
-    last = planned.filter(clear).groupBy("target").agg(F.max("source").alias("_last"))
-    reason = F.when(F.col("target").isNull(), UNCLASSIFIED).when(F.col("source") != F.col("_last"), SUPERSEDED)
-    return planned.join(last, "target", "left").select("source", "retailer", "date", "target", reason.alias("reason"))
+    columns = ("source", "retailer", "date", "target")
+    unclear = planned.filter(~clear).select(*columns, F.lit(UNCLASSIFIED).alias("reason"))
+    placed = planned.filter(clear)
+    last = placed.groupBy("target").agg(F.max("source").alias("_last"))
+    superseded = F.when(F.col("source") != F.col("_last"), SUPERSEDED)
+    return placed.join(last, "target").select(*columns, superseded.alias("reason")).unionByName(unclear)
 
 
 def land(spark: SparkSession, folder: str, prefix: str, report: str) -> DataFrame:
