@@ -56,9 +56,10 @@ def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None, hot_r
     now = F.struct(*[F.col(name) for name in spec.tracked])
     marked = seen.select(*columns, now.alias("_now"), begin.alias("_begin"))
     ordinary, crowded = split_hot(marked, keys, spec.sequence, hot_rows)
-    return _paired(ordinary, spec, columns, neighbours).unionByName(
-        _paired(crowded, spec, [*columns, RANGE], ranged_neighbours).drop(RANGE)
-    )
+    result = _paired(ordinary, spec, columns, neighbours)
+    if crowded is None:
+        return result
+    return result.unionByName(_paired(crowded, spec, [*columns, RANGE], ranged_neighbours).drop(RANGE))
 
 
 def _paired(marked: DataFrame, spec: HistorySpec, columns: list[str], look: Callable) -> DataFrame:

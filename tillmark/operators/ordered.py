@@ -1,12 +1,12 @@
 """Previous and next row within a key, also when one key holds a large share of all rows.
 
 A plain window puts every row of a key into one task. So the keys above ``hot_rows`` rows
-are found first (a narrow, pre-aggregated pass). All other keys take the plain window:
-one shuffle, one sort. The rows of hot keys take a second path that spreads each key over
-many tasks; without hot keys that path is empty and adaptive execution drops it.
+are found first, in a narrow, pre-aggregated pass that runs when the query is built. As a
+rule there are none, and the plain window does: one shuffle, one sort. The rows of hot
+keys, if any, take a second path that spreads each key over many tasks.
 
-The list of hot keys is limited, so it can be broadcast. The limit only decides which
-keys get the second path, never which rows are kept.
+The list of hot keys is limited, so it can pass the driver and be broadcast. The limit only
+decides which keys get the second path, never which rows are kept.
 """
 
 from __future__ import annotations
@@ -23,24 +23,34 @@ COPIES_PER_TASK = 1_000_000
 RANGE = "_range"
 
 
-def hot_keys(df: DataFrame, keys: list[str], *extra: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys with more than ``hot_rows`` rows: columns ``_k0.._kn, _n`` and ``extra``."""
+def hot_keys(df: DataFrame, keys: list[str], sequence: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The largest keys with more than ``hot_rows`` rows, None if there are none.
+
+    Columns ``_k0.._kn`` (the key), ``_n`` (rows), ``_lo`` and ``_hi`` (span of the sequence).
+    """
     renamed = [F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)]
-    sizes = df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("_n"), *extra)
+    position = _position(df, sequence)
+    sizes = df.groupBy(*renamed).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi")
+    )
     largest = sizes.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    return F.broadcast(largest)
+    found = largest.collect()
+    return F.broadcast(df.sparkSession.createDataFrame(found, largest.schema)) if found else None
 
 
-def split_hot(df: DataFrame, keys: list[str], sequence: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+def split_hot(
+    df: DataFrame, keys: list[str], sequence: str, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys with the range of the key they fall in.
 
     A hot key is cut into equal ranges of its sequence, as many as its size calls for.
     """
-    position = _position(df, sequence)
-    hot = hot_keys(df, keys, F.min(position).alias("_lo"), F.max(position).alias("_hi"), hot_rows=hot_rows)
+    hot = hot_keys(df, keys, sequence, hot_rows)
+    if hot is None:
+        return df, None
     ordinary = df.join(hot, same_key(keys), "left_anti")
     ranges = F.ceil(F.col("_n") / hot_rows)
-    place = F.width_bucket(position, F.col("_lo"), F.col("_hi") + 1.0, ranges)
+    place = F.width_bucket(_position(df, sequence), F.col("_lo"), F.col("_hi") + 1.0, ranges)
     crowded = df.join(hot, same_key(keys)).select(*[F.col(f"`{name}`") for name in df.columns], place.alias(RANGE))
     return ordinary, crowded
 
@@ -105,7 +115,8 @@ def with_neighbours(
     """``neighbours`` for any distribution of the keys."""
     ordinary, crowded = split_hot(df, keys, sequence, hot_rows)
     wanted = (keys, sequence, previous or {}, following or {})
-    return neighbours(ordinary, *wanted).unionByName(ranged_neighbours(crowded, *wanted).drop(RANGE))
+    found = neighbours(ordinary, *wanted)
+    return found if crowded is None else found.unionByName(ranged_neighbours(crowded, *wanted).drop(RANGE))
 
 
 def with_previous_value(
@@ -117,8 +128,10 @@ def with_previous_value(
     not depend on how the rows arrive.
     """
     rest = sorted(name for name in df.columns if name not in (key, sequence, value))
-    hot = hot_keys(df, [key], hot_rows=hot_rows).select("_k0")
     window = Window.partitionBy(key).orderBy(sequence, value, *[F.col(f"`{name}`") for name in rest])
+    hot = hot_keys(df, [key], sequence, hot_rows)
+    if hot is None:
+        return df.withColumn(into, F.lag(value).over(window))
     ordinary = df.join(hot, same_key([key]), "left_anti").withColumn(into, F.lag(value).over(window))
     crowded = df.join(hot, same_key([key]), "left_semi")
     return ordinary.unionByName(_previous_value_by_levels(crowded, key, sequence, value, into, rest, hot_rows))

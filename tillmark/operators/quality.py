@@ -93,15 +93,19 @@ def classify(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     )
 
 
-def without_dropped(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """Rows that no drop rule rejects.
+def without_dropped(
+    df: DataFrame, rules: list[Rule] | None = None, into: Observation | str = "dropped"
+) -> DataFrame:
+    """Rows that no drop rule rejects; ``into`` receives the number of rows and of rejected ones.
 
-    Tested on the drop rules alone, before the verdict is built: the filter then reads
-    only the columns those rules need.
+    Tested on the drop rules alone, before the verdict is built, so that rejected rows
+    cost no more. The count also keeps the filter above the parsing: pushed below it,
+    every parsed column it mentions would be computed a second time.
     """
     rules = price_rules() if rules is None else rules
-    dropped = [F.coalesce(rule.fails, F.lit(False)) for rule in rules if rule.action == DROP]
-    return df.filter(~reduce(Column.__or__, dropped))
+    dropped = reduce(Column.__or__, [F.coalesce(rule.fails, F.lit(False)) for rule in rules if rule.action == DROP])
+    counted = df.observe(into, F.count(F.lit(1)).alias("rows"), F.count_if(dropped).alias("rows_dropped"))
+    return counted.filter(~dropped)
 
 
 def flag_quarantined(df: DataFrame) -> DataFrame:
