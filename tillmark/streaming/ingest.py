@@ -9,9 +9,12 @@ from tillmark.sources.feeds import FEEDS, FeedSpec
 from tillmark.sources.raw_files import new_files, read_feed
 from tillmark.streaming.runs import run_batches
 
+# Bounds the list of paths that one micro-batch passes through the driver.
+FILES_PER_BATCH = 10_000
+
 
 def ingest(
-    spark: SparkSession, feed: FeedSpec, folder: str, table: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, feed: FeedSpec, folder: str, table: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH
 ) -> StreamingQuery:
     """Read the files that are new since the last run into the raw table.
 
