@@ -13,7 +13,7 @@ from tillmark.plans.daily import daily_run
 from tillmark.session import work_folder
 from tillmark.sources import landing, raw_files, tables
 from tillmark.sources.feeds import ALDI, COLES, FEEDS, column_or_null, stored_name, with_stored_names
-from tillmark.streaming import distinct, history, ingest
+from tillmark.streaming import distinct, facts, history, ingest
 
 COLES_HEADER = ",".join(COLES.headers)
 
@@ -71,6 +71,29 @@ def test_layouts_are_read_by_name_and_extras_rescued(spark, tmp_path):
     ]
 
 
+def test_missing_feeds_and_expectation_counts(spark, tmp_path):
+    """One feed only; the counts of dropped rows and missed expectations are in the progress."""
+    body = coles_row("d", 1, 2.5) + coles_row("d", 2, "") + coles_row("d", 3, 4, name=" ") + coles_row("d", 4, 4, category="liquor")
+    put(tmp_path, "in/coles/date=2021-04-23/c.csv", COLES_HEADER + "\n" + body)
+    raw = ingest.ingest_all(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/c")
+    query = facts.run_fact(spark, raw, f"{tmp_path}/t/fact", f"{tmp_path}/c/fact")
+    seen = [p["observedMetrics"] for p in query.recentProgress if p["observedMetrics"]]
+    assert sum(m["dropped"]["rows"] for m in seen) == 3 and sum(m["dropped"]["rows_dropped"] for m in seen) == 2
+    assert sum(m["expectations"]["rows"] for m in seen) == 1
+    assert sum(m["expectations"]["has_product_name_failed"] for m in seen) == 0
+    fact = tables.read_table(spark, f"{tmp_path}/t/fact", facts.fact_schema(spark))
+    assert [r.source_sku for r in fact.collect()] == ["1"]
+
+
+def test_reset_starts_a_stream_over(spark, tmp_path):
+    put(tmp_path, "in/a.csv", COLES_HEADER + "\n" + coles_row("d", 1, 2.5))
+    where = (COLES, f"{tmp_path}/in", f"{tmp_path}/raw", f"{tmp_path}/check")
+    ingest.ingest(spark, *where)
+    tables.reset(spark, *where[2:])
+    ingest.ingest(spark, *where)
+    assert ingest.raw_table(spark, COLES, where[2]).count() == 1
+
+
 def test_landing(spark, tmp_path):
     names = {
         "a/2021-04-23 WOW Data.csv": "1", "a/2021-04-23 Coles Data.csv": "22", "b/2021-04-23 COLES Data.csv": "333",

@@ -1,4 +1,8 @@
-"""Small file helpers that run inside tasks, next to the data."""
+"""Small file helpers.
+
+``first_line`` and ``copy_file`` run inside tasks, next to the data, on paths with a scheme.
+The others run on the driver and see one folder each.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ import uuid
 from urllib.parse import quote
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
 def open_store(path: str) -> tuple[fs.FileSystem, str]:
@@ -50,18 +55,30 @@ def copy_file(source: str, target: str) -> int:
     return size
 
 
-def subfolders(path: str) -> list[str]:
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system spelled out, so that tasks need not know the default one."""
+    store, place = _spark_store(spark, path)
+    return store.makeQualified(place).toString()
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below a path; none if the path does not exist."""
-    store, name = open_store(path)
-    found = store.get_file_info(fs.FileSelector(name, allow_not_found=True))
-    return [entry.base_name for entry in found if entry.type == fs.FileType.Directory]
+    store, place = _spark_store(spark, path)
+    found = store.listStatus(place) if store.exists(place) else []
+    return [entry.getPath().getName() for entry in found if entry.isDirectory()]
 
 
-def exists(path: str) -> bool:
-    store, name = open_store(path)
-    return store.get_file_info(name).type != fs.FileType.NotFound
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _spark_store(spark, path)
+    return store.exists(place)
 
 
-def delete_folder(path: str) -> None:
-    store, name = open_store(path)
-    store.delete_dir(name)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    store, place = _spark_store(spark, path)
+    store.delete(place, True)
+
+
+def _spark_store(spark: SparkSession, path: str):
+    """The file system Spark itself uses for a path, with its settings and credentials."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
-from tillmark.sources.files import copy_file
+from tillmark.sources.files import copy_file, qualified
 from tillmark.sources.raw_files import list_files
 
 UNCLASSIFIED, SUPERSEDED = "cannot classify", "superseded"
@@ -56,9 +56,10 @@ def land(spark: SparkSession, folder: str, prefix: str, report: str) -> DataFram
     Tasks copy whole files, unchanged, so any size works. What was done is written to the
     table ``report``, and returned from there: the plan with the bytes copied.
     """
-    plan = landing_plan(list_files(spark, folder), prefix)
+    plan = landing_plan(list_files(spark, folder), qualified(spark, prefix))
     tasks = spark.sparkContext.defaultParallelism
-    copied = plan.repartition(tasks, "source").mapInPandas(_copy, "source string, retailer string, date string, target string, reason string, bytes long")
+    schema = "source string, retailer string, date string, target string, reason string, bytes long"
+    copied = plan.repartition(tasks, "source").mapInPandas(_copy, schema)
     copied.write.mode("overwrite").parquet(report)
     return spark.read.parquet(report)
 

@@ -51,20 +51,27 @@ def publish(df: DataFrame, path: str, version: int) -> None:
     The version before stays for readers that have begun, older ones go.
     """
     df.write.mode("overwrite").parquet(f"{path}/v={version}")
-    for old in _versions(path):
+    spark = df.sparkSession
+    for old in _versions(spark, path):
         if old < version - 1:
-            files.delete_folder(f"{path}/v={old}")
+            files.delete_folder(spark, f"{path}/v={old}")
+
+
+def reset(spark: SparkSession, *paths: str) -> None:
+    """Forget a stream's output and checkpoint, so that its next run starts over."""
+    for path in paths:
+        files.delete_folder(spark, path)
 
 
 def latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """The newest whole version, or the newest older than ``before``; None if there is none."""
-    found = [v for v in _versions(path) if before is None or v < before]
+    found = [v for v in _versions(spark, path) if before is None or v < before]
     return spark.read.parquet(f"{path}/v={max(found)}") if found else None
 
 
-def _versions(path: str) -> list[int]:
-    named = [name for name in files.subfolders(path) if name.startswith("v=")]
-    return [int(name[2:]) for name in named if files.exists(f"{path}/{name}/_SUCCESS")]
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    named = [name for name in files.subfolders(spark, path) if name.startswith("v=")]
+    return [int(name[2:]) for name in named if files.exists(spark, f"{path}/{name}/_SUCCESS")]
 
 
 def _literal(text: str) -> str:

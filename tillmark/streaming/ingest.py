@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.sources.feeds import FEEDS, FeedSpec
+from tillmark.sources.files import exists
 from tillmark.sources.raw_files import new_files, read_feed
 from tillmark.streaming.runs import run_batches
 
@@ -29,11 +30,17 @@ def ingest(
 
 
 def ingest_all(spark: SparkSession, root: str, tables: str, checkpoints: str) -> dict[str, str]:
-    """Ingest every feed below ``root``; returns the raw table of each feed."""
-    paths = {}
+    """Ingest every feed below ``root``; returns the raw table of each feed.
+
+    A feed that has not landed anything yet gets an empty raw table.
+    """
+    paths = {feed.folder: f"{tables}/raw_{feed.folder}" for feed in FEEDS}
     for feed in FEEDS:
-        paths[feed.folder] = f"{tables}/raw_{feed.folder}"
-        ingest(spark, feed, f"{root}/{feed.folder}", paths[feed.folder], f"{checkpoints}/raw_{feed.folder}")
+        folder, table = f"{root}/{feed.folder}", paths[feed.folder]
+        if exists(spark, folder):
+            ingest(spark, feed, folder, table, f"{checkpoints}/raw_{feed.folder}")
+        if not exists(spark, table):
+            spark.createDataFrame([], feed.stored_schema()).write.parquet(f"{table}/batch=none")
     return paths
 
 
