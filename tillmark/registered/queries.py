@@ -284,7 +284,8 @@ def dim_product_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_type_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_folder(spark, "distinct")
     schema = inputs.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    # a pattern finds the table whether it is one file or a folder of files
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     types = events.select("event_type", F.upper("event_type").alias("label"))
     run_distinct(types, ["event_type"], f"{work}/types", f"{work}/checkpoint")
     return latest(spark, f"{work}/types")
