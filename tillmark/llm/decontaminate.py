@@ -262,11 +262,11 @@ def merged_spans(spans):
 
 
 def contamination(
-    df: DataFrame, benchmark: DataFrame, column: str = "text", window: int = WINDOW, coverage: int = COVERAGE
+    df: DataFrame, benchmark: DataFrame, column: str = "text", window: int = WINDOW, coverage: int = COVERAGE, limit: int = AUTOMATON_WORDS
 ) -> DataFrame:
     """``matched`` with ``n_hit`` (hit words) and ``contaminated`` (hit words reach one in
     ``coverage``)."""
-    rows = matched(df, benchmark, column, window)
+    rows = matched(df, benchmark, column, window, limit)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda total, span: total + span[1] - span[0])
     rows = added(rows, ["n_hit", "contaminated"]).withColumn("n_hit", hit)
     return rows.withColumn("contaminated", F.expr(f"n_hit > 0 and {coverage} * n_hit >= n_words"))
