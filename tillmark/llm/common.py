@@ -14,8 +14,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows and characters that one output batch of a text pass holds at most (a single text may
 # be longer). Batches only bound memory; results do not depend on them.
-BATCH_ROWS = 2_000
-BATCH_CHARS = 8_000_000
+BATCH_ROWS = 500
+BATCH_CHARS = 1_000_000
+# Rows and bytes that Spark hands to Python at a time. With its defaults (10,000 rows, 64 MB)
+# the batches on both sides of the pipe outgrow small executors.
+SENT_ROWS, SENT_BYTES = 1_000, 4_000_000
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -32,6 +35,15 @@ def added(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*[df[column] for column in df.columns if column.lower() in clashing])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand bounded batches to Python; a session that asks for smaller ones keeps them."""
+    for name, most in (("maxRecordsPerBatch", SENT_ROWS), ("maxBytesPerBatch", SENT_BYTES)):
+        setting = f"spark.sql.execution.arrow.{name}"
+        now = int(str(spark.conf.get(setting)).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(setting, str(most))
+
+
 def text_pass(
     df: DataFrame, column: str, fields: T.StructType, start: Callable[[], Callable], beside: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -41,6 +53,7 @@ def text_pass(
     and one list for each column of ``beside``, to one sequence per field. Columns of ``df``
     named like a field are replaced, all others are passed on.
     """
+    small_batches(df.sparkSession)
     read, source = column, df
     if column.lower() in (name.lower() for name in fields.fieldNames()):
         read = fresh(df, "_text")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.llm.common import checkpointed, components, text_pass
+from tillmark.llm.common import checkpointed, components, small_batches, text_pass
 
 SHINGLE = 4
 DISTANCE = 4
@@ -36,8 +36,10 @@ BITS = 64
 SEED = 42
 # Rows of one leading part that are expected, and variants that a task holds at once.
 PART_ROWS = 4_000
-HELD_VARIANTS = 2_000_000
+HELD_VARIANTS = 1_000_000
 MOST_LEADING = 48
+# Shingles of one text that are hashed at a time.
+SHINGLE_BLOCK = 16_384
 
 FINGERPRINT = T.StructType([T.StructField("fingerprint", T.LongType())])
 
@@ -47,26 +49,29 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     words = text.encode("utf-8").lower().split() if text else []
     if not words:
         return 0
+    count = max(1, len(words) - shingle + 1)
+    set_bits = np.zeros(BITS, np.int64)
+    for start in range(0, count, SHINGLE_BLOCK):
+        some = words[start : min(start + SHINGLE_BLOCK, count) + shingle - 1]
+        set_bits += bit_counts(_hashes(some, shingle))
+    bits = np.packbits(2 * set_bits > count, bitorder="little")
+    return int(bits.view("<i8")[0])
+
+
+def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hashes of all shingles of some words; of all words together if they are fewer."""
     joined = b" ".join(words)
-    if len(words) <= shingle:
-        parts = [joined]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = [0, *ends[: len(words) - shingle].tolist()]
-        parts = [joined[start:end] for start, end in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = [0, *ends[: max(0, len(words) - shingle)].tolist()]
+    stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
     hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(part, SEED) for part in parts], np.uint64)
-    return majority(hashes)
+    return np.fromiter((hashed(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
 
 
-def majority(hashes: np.ndarray, block: int = 65_536) -> int:
-    """The bits that are set in over half of the hashes."""
-    counts = np.zeros(BITS, np.int64)
-    for start in range(0, len(hashes), block):
-        bits = np.unpackbits(hashes[start : start + block].astype("<u8").view(np.uint8), bitorder="little")
-        counts += bits.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes set each bit."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little")
+    return bits.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
 
 
 def with_fingerprint(df: DataFrame, column: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -116,6 +121,7 @@ def ball_links(fingerprints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 owners = np.broadcast_to(some, (len(some), len(leads))).view(np.int64).ravel()
                 yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(owners)], names=["part", "owner"])
 
+    small_batches(fingerprints.sparkSession)
     dealt = fingerprints.select(column).mapInArrow(emit, "part long, owner long")
     partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_parts = dealt.repartition(partitions, "part").sortWithinPartitions("part")
