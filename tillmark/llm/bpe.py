@@ -34,7 +34,7 @@ WORD_BPE = "word_bpe_49k.json"
 # A vocabulary is shipped whole to every executor: refuse files that are no vocabulary.
 MAX_VOCABULARY = 2_000_000
 # Words that one generation of a worker's memory may hold.
-MEMORY_ENTRIES = 300_000
+MEMORY_ENTRIES = 40_000
 MEMORY_TEXT = 64
 # Longer fragments are merged with a heap instead of a scan; the ids are the same.
 SHORT_FRAGMENT = 48

@@ -410,7 +410,10 @@ def training_texts(documents: DataFrame, count: int = SAMPLE_DOCUMENTS, length:
     at = F.greatest(F.regexp_instr("text", F.lit("[0-9@]")) - length // 2, F.lit(1))
     rows = documents.where("text is not null").select(F.xxhash64("text").alias("mixed"), at.alias("at"), F.substr("text", at, F.lit(length)).alias("text"))
     parts = [rows.where(f"{kind} (at > 1 or text rlike '[0-9@]')") for kind in ("", "not")]
-    picked = [part.groupBy("mixed").agg(F.min("text").alias("text")).orderBy("mixed").limit(count // 2).collect() for part in parts]
+    picked = []
+    for part in parts:  # hashes are shuffled, texts only once the sample is known
+        chosen = F.broadcast(part.select("mixed").distinct().orderBy("mixed").limit(count // 2))
+        picked.append(part.join(chosen, "mixed").groupBy("mixed").agg(F.min("text").alias("text")).orderBy("mixed").collect())
     return [row.text for some in picked for row in some]
 
 
