@@ -125,3 +125,29 @@ def test_history_of_timestamps(spark):
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, a string")
     assert multiset(scd2(df, spec, 6)) == multiset(scd2(df, spec))
     assert scd2(df, spec, 6).count() == 8
+
+
+@pytest.mark.parametrize("operator", ["history", "previous"])
+def test_null_sequences_alike_on_both_paths(spark, operator):
+    rows = [("a", None, 5.0), ("a", None, 6.0), ("a", None, 5.0), ("a", DAY, 7.0), ("a", DAY + dt.timedelta(1), 8.0)]
+    rows += [("a", DAY + dt.timedelta(9_000), 9.0), (None, None, 1.0), (None, DAY, 2.0), (None, DAY, 2.0)]
+    df = spark.createDataFrame(rows, "k string, day date, price double").repartition(3)
+    spec = HistorySpec(keys=("k",), sequence="day", tracked=("price",))
+    results = [
+        multiset(scd2(df, spec, hot) if operator == "history" else with_previous_value(df, "k", "day", "price", "was", hot))
+        for hot in (10**6, 2)
+    ]
+    assert results[0] == results[1]
+
+
+def test_streamed_history_keeps_null_keys_and_late_null_sequences(spark):
+    from tillmark.streaming.history import merged
+
+    schema = "k string, day date, price double"
+    spec = HistorySpec(keys=("k",), sequence="day", tracked=("price",))
+    first = spark.createDataFrame([(None, DAY, 1.0), ("a", DAY, 1.0)], schema)
+    fresh = spark.createDataFrame([(None, DAY + dt.timedelta(1), 2.0), ("a", None, 3.0)], schema)
+    both = first.unionByName(fresh)
+    got = merged(scd2(first, spec), fresh, both, spec)
+    whole = scd2(both, spec)
+    assert multiset(got.select(*whole.columns)) == multiset(whole)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
-from tillmark.functions.numbers import round_exact
+from tillmark.functions.numbers import double_text, round_exact
 from tillmark.functions.staged import Steps, staged
 from tillmark.functions.text import lookup, strip
 
@@ -44,7 +44,7 @@ def unit_price_steps(raw: Column, into: str) -> Steps:
     readable = (word == "") | (count == "") | count.try_cast("double").isNotNull()
 
     whole = qty.try_cast("decimal(38,0)").cast("string")
-    shown_qty = F.when(qty == 1.0, "").when(qty == F.rint(qty), whole).otherwise(qty.cast("string"))
+    shown_qty = F.when(qty == 1.0, "").when(qty == F.rint(qty), whole).otherwise(double_text(qty))
     priced = value.isNotNull() & unit.isNotNull()
     comparable = priced & (qty != 0)
     per_thousand = F.when(unit == "mg", 0.001).when(unit.isin("kg", "l"), 1000.0).otherwise(1.0)

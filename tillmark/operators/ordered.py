@@ -88,7 +88,7 @@ def ranged_neighbours(
     across = Window.partitionBy(*keys).orderBy(RANGE)
     borders = (
         df.groupBy(*keys, RANGE)
-        .agg(F.max_by(before, sequence).alias("_last"), F.min_by(after, sequence).alias("_first"))
+        .agg(F.max_by(before, F.struct(sequence)).alias("_last"), F.min_by(after, F.struct(sequence)).alias("_first"))
         .select(
             *[F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)],
             F.col(RANGE).alias("_border"),
@@ -96,7 +96,7 @@ def ranged_neighbours(
             F.lead("_first").over(across).alias("_range_after"),
         )
     )
-    joined = near.join(borders, same_key(keys) & (F.col(RANGE) == F.col("_border")))
+    joined = near.join(borders, same_key(keys) & F.col(RANGE).eqNullSafe(F.col("_border")))
     return joined.select(
         *[F.col(f"`{name}`") for name in df.columns],
         *[F.coalesce("_before", "_range_before")[out].alias(out) for out in previous],
@@ -158,7 +158,9 @@ def _previous_value_by_levels(
     within = Window.partitionBy(key, sequence).orderBy(value)
     lowest = F.row_number().over(within) == 1
     levels = levels.select("*", F.lag(value).over(within).alias("_value_before"), lowest.alias("_lowest"))
-    levels = levels.join(moments.select(key, sequence, "_top_before"), [key, sequence]).select(
+    tops = moments.select(F.col(key).alias("_mk"), F.col(sequence).alias("_ms"), "_top_before")
+    same_moment = F.col(key).eqNullSafe(F.col("_mk")) & F.col(sequence).eqNullSafe(F.col("_ms"))
+    levels = levels.join(tops, same_moment).select(
         F.col(key).alias("_lk"),
         F.col(sequence).alias("_ls"),
         F.col(value).alias("_lv"),
@@ -166,8 +168,8 @@ def _previous_value_by_levels(
         F.when(F.col("_lowest"), F.col("_top_before")).otherwise(F.col("_value_before")).alias("_found"),
     )
     first_of_level = (
-        (F.col(key) == F.col("_lk"))
-        & (F.col(sequence) == F.col("_ls"))
+        F.col(key).eqNullSafe(F.col("_lk"))
+        & F.col(sequence).eqNullSafe(F.col("_ls"))
         & F.col(value).eqNullSafe(F.col("_lv"))
         & (F.col("_tie") == F.col("_first"))
     )
@@ -177,11 +179,12 @@ def _previous_value_by_levels(
     last_block = F.floor((F.col("_copies") - 1) / COPIES_PER_TASK)
     blocks = placed.select(
         *columns,
+        "_tie",
         "_copies",
         "_found",
         F.col("_first").isNotNull().alias("_leads"),
         F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_block"),
-    ).repartition(F.col(key), F.col(sequence), F.col(value), F.col("_block"))
+    ).repartition(F.col(key), F.col(sequence), F.col(value), F.col("_tie"), F.col("_block"))
     start = F.col("_block") * COPIES_PER_TASK
     copy = F.explode(F.sequence(start + 1, F.least(F.col("_copies"), start + COPIES_PER_TASK)))
     rows = blocks.select(*columns, "_leads", "_found", copy.alias("_copy"))

@@ -191,8 +191,8 @@ def fact_price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_price_daily_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result with every product of more than 30 rows handled as a hot key."""
-    return marts.fact_price_daily(inputs.facts(spark, sf_dir), hot_rows=30)
+    """The same result with every product of more than 4 rows handled as a hot key."""
+    return marts.fact_price_daily(inputs.facts(spark, sf_dir), hot_rows=4)
 
 
 def _on_daily(mart):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.operators.history import END, START, HistorySpec, observations, versions
-from tillmark.operators.ordered import HOT_ROWS
+from tillmark.operators.ordered import HOT_ROWS, same_key
 from tillmark.sources.tables import latest, publish, read_table, read_table_stream
 from tillmark.streaming.runs import run_batches
 
@@ -52,20 +52,24 @@ def merged(
     keys = list(spec.keys)
     kept = fresh.columns
     still_open = before.filter(F.col(END).isNull())
-    seen = still_open.select(*keys, F.col(spec.sequence).alias("_seen"))
-    touched = fresh.groupBy(*keys).agg(F.min(spec.sequence).alias("_next")).join(seen, keys, "left")
-    is_late = F.coalesce(F.col("_next") <= F.col("_seen"), F.lit(False))
-    late, forward = touched.filter(is_late).select(*keys), touched.filter(~is_late).select(*keys)
+    names = [F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)]
+    seen = still_open.select(*names, F.col(spec.sequence).alias("_seen"), F.lit(True).alias("_known"))
+    # a null sequence comes before every other one: structs order it first, where min skips it
+    firsts = fresh.groupBy(*keys).agg(F.min(F.struct(F.col(spec.sequence).alias("_seen"))).alias("_next"))
+    touched = firsts.join(seen, same_key(keys), "left").select(*keys, "_next", "_seen", "_known")
+    is_late = F.coalesce(F.col("_known") & (F.col("_next") <= F.struct("_seen")), F.lit(False))
+    late, forward = (touched.filter(some).select(*names) for some in (is_late, ~is_late))
+    touched = touched.select(*names)
 
     # an open version stands for all its rows: it is its last row, with a known start
-    carried = still_open.join(forward, keys, "left_semi").select(*kept, F.col(START).alias("_start"))
-    added = fresh.join(forward, keys, "left_semi").withColumn("_start", F.lit(None).cast(fresh.schema[spec.sequence].dataType))
+    carried = still_open.join(forward, same_key(keys), "left_semi").select(*kept, F.col(START).alias("_start"))
+    added = fresh.join(forward, same_key(keys), "left_semi").withColumn("_start", F.lit(None).cast(fresh.schema[spec.sequence].dataType))
     moved = versions(carried.unionByName(added), spec, "_start", hot_rows)
 
     closed = before.filter(F.col(END).isNotNull())
-    idle = still_open.join(touched, keys, "left_anti")
+    idle = still_open.join(touched, same_key(keys), "left_anti")
     if late.isEmpty():
         return closed.unionByName(idle).unionByName(moved)
-    rebuilt = versions(observations(everything.join(late, keys, "left_semi"), spec), spec, hot_rows=hot_rows)
-    closed = closed.join(late, keys, "left_anti")
+    rebuilt = versions(observations(everything.join(late, same_key(keys), "left_semi"), spec), spec, hot_rows=hot_rows)
+    closed = closed.join(late, same_key(keys), "left_anti")
     return closed.unionByName(idle).unionByName(moved).unionByName(rebuilt)
