@@ -56,15 +56,18 @@ def test_trusted_filter_reaches_the_scan(fact):
     assert plan.count("Window [") + plan.count("(Window)") <= 2
 
 
-def test_daily_fact_takes_one_shuffle(fact):
-    assert len(re.findall(r"\(\d+\) Exchange", plan_of(marts.fact_price_daily(fact)))) == 1
+def test_daily_fact_shuffles_by_range_and_joins_nothing(fact):
+    """Copies are counted, rows dealt by range, then met inside and across ranges."""
+    plan = plan_of(marts.fact_price_daily(fact))
+    assert len(re.findall(r"\(\d+\) Exchange", plan)) == 4 and "rangepartitioning" in plan
+    assert "Join" not in plan and len(re.findall(r"\(\d+\) Scan", plan)) == 1
 
 
-def test_history_windows_share_one_shuffle_and_sort(fact):
+def test_history_looks_share_their_ranges(fact):
     seen = fact.select("product_sk", "snapshot_date", "brand")
     plan = plan_of(versions(seen, HistorySpec(("product_sk",), "snapshot_date", ("brand",))))
-    assert len(re.findall(r"\(\d+\) Exchange", plan)) == 1 and len(re.findall(r"\(\d+\) Sort", plan)) == 1
-    assert len(re.findall(r"\(\d+\) Window", plan)) == 2
+    assert plan.count("Arguments: rangepartitioning") == 1 and "Join" not in plan
+    assert len(re.findall(r"\(\d+\) Exchange", plan)) == 5
 
 
 @pytest.mark.parametrize("mart", [marts.mart_availability, marts.mart_dq_scorecard, dimensions.dim_category])

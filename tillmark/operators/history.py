@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.operators.ordered import HOT_ROWS, RANGE, neighbours, ranged_neighbours, split_hot
+from tillmark.operators.ordered import RANGE, neighbours, ranged
 
 START, END = "__START_AT", "__END_AT"
 
@@ -44,45 +43,34 @@ def observations(df: DataFrame, spec: HistorySpec) -> DataFrame:
     return chosen.select(*[F.col(name) if name in grain else F.col(f"_row.{name}").alias(name) for name in kept])
 
 
-def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None) -> DataFrame:
     """Versions of observations that are unique by key and sequence.
 
     ``start`` names a column with an earlier start of the version a row belongs to, for
     rows where that is known.
+
+    A row opens a version if the row before differs, and closes one if the row after
+    differs. Those two kinds of rows alternate, so a closing row finds its start right
+    before itself (or is it) and its end right after. Both looks use the same ranges.
     """
-    keys = list(spec.keys)
+    keys, order = list(spec.keys), [spec.sequence]
     columns = [name for name in seen.columns if name != start]
     begin = F.coalesce(F.col(start), F.col(spec.sequence)) if start else F.col(spec.sequence)
     now = F.struct(*[F.col(name) for name in spec.tracked])
     marked = seen.select(*columns, now.alias("_now"), begin.alias("_begin"))
-    ordinary, crowded = split_hot(marked, keys, spec.sequence, hot_rows)
-    result = _paired(ordinary, spec, columns, neighbours)
-    if crowded is None:
-        return result
-    return result.unionByName(_paired(crowded, spec, [*columns, RANGE], ranged_neighbours).drop(RANGE))
-
-
-def _paired(marked: DataFrame, spec: HistorySpec, columns: list[str], look: Callable) -> DataFrame:
-    """Pair the rows that open a version with those that close it.
-
-    A row opens a version if the row before differs, and closes one if the row after
-    differs. Those two kinds of rows alternate, so a closing row finds its start right
-    before itself (or is it) and its end right after. Both looks use the same
-    partitioning and order, hence one shuffle and one sort.
-    """
-    keys = list(spec.keys)
-    near = look(marked, keys, spec.sequence, {"_was": "_now"}, {"_will_be": "_now"})
+    marked = ranged(marked, keys, order)
+    near = neighbours(marked, keys, order, {"_was": "_now"}, {"_will_be": "_now"})
     opens, closes = ~_same("_was"), ~_same("_will_be")
-    borders = near.select(*columns, "_begin", opens.alias("_opens"), closes.alias("_closes"))
+    borders = near.select(*columns, RANGE, "_begin", opens.alias("_opens"), closes.alias("_closes"))
     borders = borders.filter(F.col("_opens") | F.col("_closes"))
-    paired = look(borders, keys, spec.sequence, {"_begin_before": "_begin"}, {"_next_begin": spec.sequence})
+    paired = neighbours(borders, keys, order, {"_begin_before": "_begin"}, {"_next_begin": spec.sequence})
     own_begin = F.when(F.col("_opens"), F.col("_begin")).otherwise(F.col("_begin_before"))
     return paired.filter("_closes").select(*columns, own_begin.alias(START), F.col("_next_begin").alias(END))
 
 
-def scd2(df: DataFrame, spec: HistorySpec, hot_rows: int = HOT_ROWS) -> DataFrame:
+def scd2(df: DataFrame, spec: HistorySpec) -> DataFrame:
     """Full history of a table; the order of its rows does not matter."""
-    return versions(observations(df, spec), spec, hot_rows=hot_rows)
+    return versions(observations(df, spec), spec)
 
 
 def _same(neighbour: str) -> Column:

@@ -1,12 +1,13 @@
-"""Previous and next row within a key, also when one key holds a large share of all rows.
+"""Previous and next row within a key, whatever share of all rows one key holds.
 
-A plain window puts every row of a key into one task. So the keys above ``hot_rows`` rows
-are found first, in a narrow, pre-aggregated pass that runs when the query is built. As a
-rule there are none, and the plain window does: one shuffle, one sort. The rows of hot
-keys, if any, take a second path that spreads each key over many tasks.
+A window over a key puts all its rows into one task. Here rows are dealt by ranges of (key,
+order) instead, with bounds that Spark samples when the query runs: a large key spans many
+ranges, small keys share one, and an outlier cannot crowd the others. A window over each range
+finds the neighbours inside it. The first and last row of a key in a range, two at most, find
+theirs by a second window over such rows alone; all other rows are dealt by hash in that step.
 
-The list of hot keys is limited, so it can pass the driver and be broadcast. The limit only
-decides which keys get the second path, never which rows are kept.
+Every row takes this one path, null keys and null order values (which come first) included,
+and nothing runs while the query is built.
 """
 
 from __future__ import annotations
@@ -15,89 +16,39 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-COPIES_PER_TASK = 1_000_000
 RANGE = "_range"
-
-
-def hot_keys(df: DataFrame, keys: list[str], sequence: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The largest keys with more than ``hot_rows`` rows, None if there are none.
-
-    Columns ``_k0.._kn`` (the key), ``_n`` (rows), ``_lo`` and ``_hi`` (span of the sequence).
-    """
-    renamed = [F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)]
-    position = _position(df, sequence)
-    sizes = df.groupBy(*renamed).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi")
-    )
-    largest = sizes.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    found = largest.collect()
-    return F.broadcast(df.sparkSession.createDataFrame(found, largest.schema)) if found else None
-
-
-def split_hot(
-    df: DataFrame, keys: list[str], sequence: str, hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of hot keys with the range of the key they fall in.
-
-    A hot key is cut into equal ranges of its sequence, as many as its size calls for.
-    """
-    hot = hot_keys(df, keys, sequence, hot_rows)
-    if hot is None:
-        return df, None
-    ordinary = df.join(hot, same_key(keys), "left_anti")
-    ranges = F.ceil(F.col("_n") / hot_rows)
-    place = F.width_bucket(_position(df, sequence), F.col("_lo"), F.col("_hi") + 1.0, ranges)
-    crowded = df.join(hot, same_key(keys)).select(*[F.col(f"`{name}`") for name in df.columns], place.alias(RANGE))
-    return ordinary, crowded
+# Copies of one row that travel as one counted row; only bounds what one task writes at a time.
+COPIES_PER_BLOCK = 1_000_000
 
 
 def same_key(keys: list[str]) -> Column:
     return reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(keys)])
 
 
-def neighbours(
-    df: DataFrame, keys: list[str], sequence: str, previous: dict[str, str], following: dict[str, str]
-) -> DataFrame:
-    """Add columns of the row before (``previous``) and after (``following``) per key.
-
-    Both map a new column to the column it is taken from. ``sequence`` is unique per key.
-    """
-    window = Window.partitionBy(*keys).orderBy(sequence)
-    return df.select(
-        "*",
-        *[F.lag(name).over(window).alias(out) for out, name in previous.items()],
-        *[F.lead(name).over(window).alias(out) for out, name in following.items()],
-    )
+def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows dealt by ranges of (key, order), with the number of their range."""
+    return df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id())
 
 
-def ranged_neighbours(
-    df: DataFrame, keys: list[str], sequence: str, previous: dict[str, str], following: dict[str, str]
+def neighbours(
+    df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], following: dict[str, str]
 ) -> DataFrame:
-    """``neighbours`` within the ranges of ``split_hot``.
+    """Add columns of the row before (``previous``) and after (``following``) per key.
 
-    The first and last row of each range, a small table, connect the ranges.
+    Both map a new column to the column it is taken from. ``df`` comes from ``ranged``, whole or
+    filtered, and ``order`` is unique per key.
     """
     before, after = _row(previous), _row(following)
-    local = Window.partitionBy(*keys, RANGE).orderBy(sequence)
-    near = df.select("*", F.lag(before).over(local).alias("_before"), F.lead(after).over(local).alias("_after"))
-
-    across = Window.partitionBy(*keys).orderBy(RANGE)
-    borders = (
-        df.groupBy(*keys, RANGE)
-        .agg(F.max_by(before, F.struct(sequence)).alias("_last"), F.min_by(after, F.struct(sequence)).alias("_first"))
-        .select(
-            *[F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)],
-            F.col(RANGE).alias("_border"),
-            F.lag("_last").over(across).alias("_range_before"),
-            F.lead("_first").over(across).alias("_range_after"),
-        )
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*order)
+    near = df.select("*", F.lag(before).over(inside).alias("_before"), F.lead(after).over(inside).alias("_after"))
+    at_border = F.col("_before").isNull() | F.col("_after").isNull()
+    slot = F.when(~at_border, F.xxhash64(RANGE, *keys, *order))
+    across = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    met = near.withColumn("_slot", slot).select(
+        "*", F.lag(before).over(across).alias("_range_before"), F.lead(after).over(across).alias("_range_after")
     )
-    joined = near.join(borders, same_key(keys) & F.col(RANGE).eqNullSafe(F.col("_border")))
-    return joined.select(
+    return met.select(
         *[F.col(f"`{name}`") for name in df.columns],
         *[F.coalesce("_before", "_range_before")[out].alias(out) for out in previous],
         *[F.coalesce("_after", "_range_after")[out].alias(out) for out in following],
@@ -107,100 +58,34 @@ def ranged_neighbours(
 def with_neighbours(
     df: DataFrame,
     keys: list[str],
-    sequence: str,
+    order: list[str],
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``neighbours`` for any distribution of the keys."""
-    ordinary, crowded = split_hot(df, keys, sequence, hot_rows)
-    wanted = (keys, sequence, previous or {}, following or {})
-    found = neighbours(ordinary, *wanted)
-    return found if crowded is None else found.unionByName(ranged_neighbours(crowded, *wanted).drop(RANGE))
+    """``neighbours`` of rows in any place."""
+    return neighbours(ranged(df, keys, order), keys, order, previous or {}, following or {}).drop(RANGE)
 
 
 def with_previous_value(
-    df: DataFrame, key: str, sequence: str, value: str, into: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, sequence: str, value: str, into: str, copies_per_block: int = COPIES_PER_BLOCK
 ) -> DataFrame:
     """Add ``value`` of the row before, per ``key``, ordered by ``sequence`` then ``value``.
 
-    Rows equal in both are ordered by their remaining columns, so that the result does
-    not depend on how the rows arrive.
-    """
-    rest = sorted(name for name in df.columns if name not in (key, sequence, value))
-    window = Window.partitionBy(key).orderBy(sequence, value, *[F.col(f"`{name}`") for name in rest])
-    hot = hot_keys(df, [key], sequence, hot_rows)
-    if hot is None:
-        return df.withColumn(into, F.lag(value).over(window))
-    ordinary = df.join(hot, same_key([key]), "left_anti").withColumn(into, F.lag(value).over(window))
-    crowded = df.join(hot, same_key([key]), "left_semi")
-    return ordinary.unionByName(_previous_value_by_levels(crowded, key, sequence, value, into, rest, hot_rows))
-
-
-def _previous_value_by_levels(
-    df: DataFrame, key: str, sequence: str, value: str, into: str, rest: list[str], hot_rows: int
-) -> DataFrame:
-    """The same without a window over rows.
-
-    Within a level (key, sequence, value) only the first row looks back to another value;
-    all others follow a row with their own value. So copies are counted first, levels are
-    pre-aggregated, the look-back runs over one row per (key, sequence), and what it finds
-    is joined to the first row of each level.
+    Rows equal in both are ordered by their remaining columns, so that the result does not
+    depend on how the rows arrive. Copies of a row are counted before the shuffle, travel as
+    blocks and are written out again at the end, where only the first one looks back.
     """
     columns = [F.col(f"`{name}`") for name in df.columns]
-    tie = F.struct(*[F.col(f"`{name}`") for name in rest])
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_tie", tie)
-    levels = df.groupBy(key, sequence, value).agg(F.min(tie).alias("_first"))
-
-    # the last value at a moment is the greatest one there
-    moments = df.groupBy(key, sequence).agg(F.max(value).alias("_top"))
-    moments = with_neighbours(moments, [key], sequence, previous={"_top_before": "_top"}, hot_rows=hot_rows)
-    within = Window.partitionBy(key, sequence).orderBy(value)
-    lowest = F.row_number().over(within) == 1
-    levels = levels.select("*", F.lag(value).over(within).alias("_value_before"), lowest.alias("_lowest"))
-    tops = moments.select(F.col(key).alias("_mk"), F.col(sequence).alias("_ms"), "_top_before")
-    same_moment = F.col(key).eqNullSafe(F.col("_mk")) & F.col(sequence).eqNullSafe(F.col("_ms"))
-    levels = levels.join(tops, same_moment).select(
-        F.col(key).alias("_lk"),
-        F.col(sequence).alias("_ls"),
-        F.col(value).alias("_lv"),
-        "_first",
-        F.when(F.col("_lowest"), F.col("_top_before")).otherwise(F.col("_value_before")).alias("_found"),
-    )
-    first_of_level = (
-        F.col(key).eqNullSafe(F.col("_lk"))
-        & F.col(sequence).eqNullSafe(F.col("_ls"))
-        & F.col(value).eqNullSafe(F.col("_lv"))
-        & (F.col("_tie") == F.col("_first"))
-    )
-    placed = counted.join(levels, first_of_level, "left")
-
-    # copies come back in blocks, so that many copies of one row spread over tasks
-    last_block = F.floor((F.col("_copies") - 1) / COPIES_PER_TASK)
-    blocks = placed.select(
-        *columns,
-        "_tie",
-        "_copies",
-        "_found",
-        F.col("_first").isNotNull().alias("_leads"),
-        F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_block"),
-    ).repartition(F.col(key), F.col(sequence), F.col(value), F.col("_tie"), F.col("_block"))
-    start = F.col("_block") * COPIES_PER_TASK
-    copy = F.explode(F.sequence(start + 1, F.least(F.col("_copies"), start + COPIES_PER_TASK)))
-    rows = blocks.select(*columns, "_leads", "_found", copy.alias("_copy"))
-    looks_back = F.col("_leads") & (F.col("_copy") == 1)
-    return rows.select(*columns, F.when(looks_back, F.col("_found")).otherwise(F.col(value)).alias(into))
+    rest = sorted(name for name in df.columns if name not in (key, sequence, value))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    last_block = F.floor((F.col("_copies") - 1) / copies_per_block)
+    blocks = counted.select(*columns, "_copies", F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_block"))
+    found = with_neighbours(blocks, [key], [sequence, value, *rest, "_block"], {"_found": value})
+    here = F.least(F.lit(copies_per_block).cast("long"), F.col("_copies") - F.col("_block") * copies_per_block)
+    rows = found.select(*columns, "_found", F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("_copy"))
+    return rows.select(*columns, F.when(F.col("_copy") == 1, F.col("_found")).otherwise(F.col(value)).alias(into))
 
 
 def _row(sources: dict[str, str]) -> Column:
     """Struct of the wanted columns; never NULL itself, so it tells "no row" from "NULL"."""
     return F.struct(F.lit(True).alias("_present"), *[F.col(name).alias(out) for out, name in sources.items()])
-
-
-def _position(df: DataFrame, sequence: str) -> Column:
-    kind = df.schema[sequence].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(sequence).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(sequence).cast("timestamp")).cast("double")
-    return F.col(sequence).cast("double")

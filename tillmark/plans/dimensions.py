@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tillmark.functions import fixed_values as fixed
 from tillmark.functions.keys import date_key, hash_key
 from tillmark.operators.history import HistorySpec, scd2
-from tillmark.operators.ordered import HOT_ROWS
 
 PRODUCT_HISTORY = HistorySpec(
     keys=("product_sk",),
@@ -22,8 +21,8 @@ PRODUCT_HISTORY = HistorySpec(
 )
 
 
-def dim_product(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return scd2(fact, PRODUCT_HISTORY, hot_rows)
+def dim_product(fact: DataFrame) -> DataFrame:
+    return scd2(fact, PRODUCT_HISTORY)
 
 
 def dim_category(fact: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.keys import date_key, hash_key
 from tillmark.operators import measures as m
-from tillmark.operators.ordered import HOT_ROWS, with_previous_value
+from tillmark.operators.ordered import with_previous_value
 from tillmark.operators.quality import trusted
 
 DAILY_COLUMNS = (
@@ -19,12 +19,12 @@ DAILY_COLUMNS = (
 _DERIVED = ("retailer_sk", "date_sk", "prev_day_price", "price_change_pct")
 
 
-def fact_price_daily(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fact_price_daily(fact: DataFrame) -> DataFrame:
     """Trusted prices with the change against the product's previous trusted price."""
     stored = [name for name in DAILY_COLUMNS if name not in _DERIVED]
     # the source file only settles the order of rows that are otherwise alike
     rows = trusted(fact).select(*stored, "_source_file")
-    rows = with_previous_value(rows, "product_sk", "snapshot_date", "price_aud", "prev_day_price", hot_rows)
+    rows = with_previous_value(rows, "product_sk", "snapshot_date", "price_aud", "prev_day_price")
     return rows.withColumns(
         {
             "price_change_pct": m.change_pct("price_aud", "prev_day_price"),

@@ -65,6 +65,32 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_keys(quality.flag_quarantined(quality.classify(quality.without_dropped(rows))))
 
 
+def crowded_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the even products as one product without a key: some rows without a date,
+    some on one far day, some twice."""
+    sku = "cast(source_sku as bigint)"
+    crowded = facts(spark, sf_dir).withColumns(
+        {
+            "product_sk": F.expr(f"case when {sku} % 2 = 1 then product_sk end"),
+            "snapshot_date": F.expr(
+                f"case when {sku} % 10 = 0 then null when {sku} % 50 = 2 then date'1999-01-01' else snapshot_date end"
+            ),
+            "_copy": F.expr(f"explode(sequence(1, case when {sku} % 4 = 0 then 2 else 1 end))"),
+        }
+    )
+    return crowded.drop("_copy")
+
+
+def crowded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which half have no user, some no time and some a time far before the others."""
+    return table(spark, sf_dir, "events").withColumns(
+        {
+            "user_id": F.expr("case when event_id % 2 = 1 then user_id end"),
+            "ts": F.expr("case when event_id % 97 = 0 then null when event_id % 1000 < 3 then ts - interval 20 years else ts end"),
+        }
+    )
+
+
 _DOLLARS = "concat(cents div 100, '.', lpad(cents % 100, 2, '0'))"
 _UNIT_DOLLARS = "concat(unit_cents div 100, '.', lpad(unit_cents % 100, 2, '0'))"
 PRICE_TEXT = f"""case when gone then ''

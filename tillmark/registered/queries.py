@@ -191,8 +191,8 @@ def fact_price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_price_daily_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result with every product of more than 4 rows handled as a hot key."""
-    return marts.fact_price_daily(inputs.facts(spark, sf_dir), hot_rows=4)
+    """The same over a fact in which one product without a key holds about half of all rows."""
+    return marts.fact_price_daily(inputs.crowded_facts(spark, sf_dir))
 
 
 def _on_daily(mart):
@@ -221,8 +221,8 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_history_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result with every user of more than 20 events handled as a hot key."""
-    return scd2(inputs.table(spark, sf_dir, "events"), EVENT_HISTORY, hot_rows=20)
+    """The same over events of which half have no user, some no time and some a far one."""
+    return scd2(inputs.crowded_events(spark, sf_dir), EVENT_HISTORY)
 
 
 # ---- files and streams ---------------------------------------------------------------

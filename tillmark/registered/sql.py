@@ -174,14 +174,25 @@ _DAILY_TIES = sorted(
     )
 )
 _DAILY_ORDER = ", ".join(f"{name} nulls first" for name in ("snapshot_date", "price_aud", *_DAILY_TIES))
-_DAILY = f"""{_FACT}, lagged as (
+
+
+def _daily(fact: str, source: str) -> str:
+    return f"""{fact}, lagged as (
     select *, lag(price_aud) over (partition by product_sk order by {_DAILY_ORDER}) as prev_day_price
-    from fact where not is_quarantined),
+    from {source} where not is_quarantined),
   daily as (select {", ".join(c for c in DAILY_COLUMNS if c not in ("retailer_sk", "date_sk", "price_change_pct"))},
     md5(retailer) as retailer_sk, cast(strftime(snapshot_date, '%Y%m%d') as int) as date_sk,
     case when prev_day_price <> 0 then round((price_aud - prev_day_price) / prev_day_price * 100, 2) end as price_change_pct
     from lagged)"""
 
+
+_DAILY = _daily(_FACT, "fact")
+_CROWDED_FACT = f"""{_FACT}, one_key as (select * replace (
+    case when source_sku::bigint % 2 = 1 then product_sk end as product_sk,
+    case when source_sku::bigint % 10 = 0 then null when source_sku::bigint % 50 = 2 then date '1999-01-01'
+      else snapshot_date end as snapshot_date) from fact),
+  crowded as (select * from one_key union all select * from one_key where source_sku::bigint % 4 = 0)"""
+
 # mean of values with four decimals, half up to cents, in whole numbers
 _MEAN = """((2 * sum(cast(round(norm_unit_price * 10000) as hugeint)) + 100 * count(*)) // (200 * count(*))) / 100.0::double"""
 
@@ -229,6 +240,17 @@ _NAMES = """with names as (select o_custkey % 6 as mark, o_orderkey % 11 = 0 as
 
 EVENT_HISTORY = "with " + _islands("events", "user_id", "ts", "event_type", "event_id, ts, user_id, event_type")
 
+# no time comes before every other one
+_NO_TIME = "timestamp '0001-01-01'"
+_CROWDED_HISTORY = f"""select event_id, nullif(ts, {_NO_TIME}) as ts, user_id, event_type,
+    nullif("__START_AT", {_NO_TIME}) as "__START_AT", "__END_AT" from (
+  with crowded as (select event_id, event_type, case when event_id % 2 = 1 then user_id end as user_id,
+      case when event_id % 97 = 0 then {_NO_TIME} when event_id % 1000 < 3 then ts - interval 20 years else ts end as ts
+      from events),
+    best as (select * from (select *, row_number() over (
+      partition by user_id, ts order by event_id desc, event_type desc) as pick from crowded) where pick = 1),
+    {_islands("best", "user_id", "ts", "event_type", "event_id, ts, user_id, event_type")})"""
+
 SQL = {
     "unit_price_normalised": f"with {_OBS} select l_orderkey, l_linenumber, {_UNIT_COLUMNS} from obs",
     "price_text_clean": f"with {_OBS} select l_orderkey, l_linenumber, {_PRICE} as price_aud from obs",
@@ -275,7 +297,7 @@ SQL = {
         )
     ),
     "fact_price_daily": f"{_DAILY} select * from daily",
-    "fact_price_daily_hot_keys": f"{_DAILY} select * from daily",
+    "fact_price_daily_hot_keys": f"{_daily(_CROWDED_FACT, 'crowded')} select * from daily",
     "mart_price_comparison": f"""{_DAILY} select *, price_rank = 1 as is_cheapest from (select *,
         cast(rank() over (partition by snapshot_date, canonical_l1, canonical_l2, norm_unit_measure
           order by avg_norm_unit_price) as int) as price_rank from (select snapshot_date, canonical_l1, canonical_l2,
@@ -310,7 +332,7 @@ SQL = {
         select cast(unnest(generate_series(min(snapshot_date), max(snapshot_date), interval 1 day)) as date) as date_day
         from fact)""",
     "event_history_scd2": EVENT_HISTORY,
-    "event_history_scd2_hot_keys": EVENT_HISTORY,
+    "event_history_scd2_hot_keys": _CROWDED_HISTORY,
     "event_history_scd2_streamed": EVENT_HISTORY,
     "event_type_dedup_stream": "select distinct event_type, upper(event_type) as label from events",
     "ingested_feed": f"with {_OBS} select * exclude (_source_file) from ({_feed_sql('Coles')})",

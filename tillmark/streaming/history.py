@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.operators.history import END, START, HistorySpec, observations, versions
-from tillmark.operators.ordered import HOT_ROWS, same_key
+from tillmark.operators.ordered import same_key
 from tillmark.sources.tables import latest, publish, read_table, read_table_stream
 from tillmark.streaming.runs import run_batches
 
@@ -21,7 +21,6 @@ def run_history(
     checkpoint: str,
     spec: HistorySpec,
     files_per_batch: int | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> StreamingQuery:
     """Bring the versions at ``history`` up to date with the stored table.
 
@@ -31,18 +30,18 @@ def run_history(
     def update(batch: DataFrame, number: int) -> None:
         before = latest(spark, history, before=number)
         fresh = observations(batch, spec).persist()
-        if before is None:
-            publish(versions(fresh, spec, hot_rows=hot_rows), history, number)
-        else:
-            publish(merged(before, fresh, read_table(spark, table, schema), spec, hot_rows), history, number)
-        fresh.unpersist()
+        try:
+            if before is None:
+                publish(versions(fresh, spec), history, number)
+            else:
+                publish(merged(before, fresh, read_table(spark, table, schema), spec), history, number)
+        finally:
+            fresh.unpersist()
 
     return run_batches(read_table_stream(spark, table, schema, files_per_batch), update, checkpoint)
 
 
-def merged(
-    before: DataFrame, fresh: DataFrame, everything: DataFrame, spec: HistorySpec, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def merged(before: DataFrame, fresh: DataFrame, everything: DataFrame, spec: HistorySpec) -> DataFrame:
     """History ``before`` brought up to date with the observations ``fresh``.
 
     Most keys only move forward: their open version and the new rows are all it takes.
@@ -64,12 +63,12 @@ def merged(
     # an open version stands for all its rows: it is its last row, with a known start
     carried = still_open.join(forward, same_key(keys), "left_semi").select(*kept, F.col(START).alias("_start"))
     added = fresh.join(forward, same_key(keys), "left_semi").withColumn("_start", F.lit(None).cast(fresh.schema[spec.sequence].dataType))
-    moved = versions(carried.unionByName(added), spec, "_start", hot_rows)
+    moved = versions(carried.unionByName(added), spec, "_start")
 
     closed = before.filter(F.col(END).isNotNull())
     idle = still_open.join(touched, same_key(keys), "left_anti")
     if late.isEmpty():
         return closed.unionByName(idle).unionByName(moved)
-    rebuilt = versions(observations(everything.join(late, same_key(keys), "left_semi"), spec), spec, hot_rows=hot_rows)
+    rebuilt = versions(observations(everything.join(late, same_key(keys), "left_semi"), spec), spec)
     closed = closed.join(late, same_key(keys), "left_anti")
     return closed.unionByName(idle).unionByName(moved).unionByName(rebuilt)
