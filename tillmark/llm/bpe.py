@@ -193,8 +193,9 @@ def prepared(shipped, build: Callable):
 class Splitter:
     """Normalises a text and splits it into pre-tokens, as the tokenizer file says.
 
-    Ordinary texts are split by one pattern over fixed character ranges. Texts with other code
-    points are left to the library's normaliser and splitter, whose Unicode tables decide.
+    Ordinary texts are split by one pattern over fixed character ranges. Texts that hold other
+    code points, as given or once normalised, are left to the library's normaliser and
+    splitter, whose Unicode tables decide.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -208,14 +209,22 @@ class Splitter:
         self.bytes = {symbol: byte for byte, symbol in enumerate(symbols)}
 
     def __call__(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.words.findall(text.lower())
         if self.unusual.search(text):
-            normal = self.library.normalizer.normalize_str(text)
-            pieces = self.library.pre_tokenizer.pre_tokenize_str(normal)
-            return [bytes(self.bytes[symbol] for symbol in piece).decode("utf-8") for piece, _ in pieces]
+            return self._by_library(text)
         # The library lower-cases letter by letter, so a final sigma is no special case.
         normal = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # Composing and lower-casing may lead out of the ranges, which the pattern would drop.
+        if self.unusual.search(normal):
+            return self._by_library(text)
         return self.words.findall(normal)
 
+    def _by_library(self, text: str) -> list[str]:
+        normal = self.library.normalizer.normalize_str(text)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [bytes(self.bytes[symbol] for symbol in piece).decode("utf-8") for piece, _ in pieces]
+
 
 class Encoder:
     """Encodes and decodes texts of one task."""
