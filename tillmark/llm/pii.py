@@ -3,8 +3,9 @@
 The base patterns give e-mail addresses, IP addresses, card and phone numbers. A bidirectional
 LSTM over characters with a linear-chain CRF on top, trained in numpy from labelled spans,
 adds spans that the patterns miss (other separators, blanks, missing prefixes). Texts are read
-in overlapping windows; each window is decoded by itself, spans cut by a window's edge are left
-to the neighbouring window that holds them whole, and what all windows of a text found is
+in overlapping windows; each window is decoded by itself. A span cut by a window's edge is left
+to the neighbouring window that holds it whole; where none does, the window is grown and read
+again until no edge cuts a span, however long it is. What all windows of a text found is
 reconciled over the whole text: base spans stay, then the surest span wins an overlap.
 
 A span must hold a digit or an at sign, so windows without either cannot give one and are not
@@ -16,7 +17,10 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -134,7 +138,7 @@ class Tagger:
             values = {name: value.astype(np.float32) for name, value in values.items()}
         self.values = values
 
-    def _lstm(self, x: np.ndarray, side: str) -> tuple[np.ndarray, list]:
+    def _lstm(self, x: np.ndarray, side: str, keep: bool = True) -> tuple[np.ndarray, list]:
         wide, deep = self.values[f"x{side}"], self.values[f"h{side}"]
         hidden = cell = np.zeros((x.shape[1], HIDDEN), np.float32)
         states, kept = np.empty((len(x), x.shape[1], HIDDEN), np.float32), []
@@ -148,7 +152,8 @@ class Tagger:
             flat = np.tanh(cell)
             hidden = o * flat
             states[at] = hidden
-            kept.append((at, i, f, o, g, before, flat, last))
+            if keep:
+                kept.append((at, i, f, o, g, before, flat, last))
         return states, kept
 
     def _lstm_slopes(self, x: np.ndarray, side: str, kept: list, slope: np.ndarray, slopes: dict) -> None:
@@ -166,9 +171,10 @@ class Tagger:
             hidden_slope, cell_slope = gates @ deep.T, cell_slope * f
         slopes[f"x{side}"], slopes[f"h{side}"] = wide_slope, deep_slope
 
-    def scores(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        ahead, kept_ahead = self._lstm(x, "f")
-        back, kept_back = self._lstm(x, "b")
+    def scores(self, x: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
+        """Tag scores and, if kept, what the slopes need."""
+        ahead, kept_ahead = self._lstm(x, "f", keep)
+        back, kept_back = self._lstm(x, "b", keep)
         both = np.concatenate([ahead, back], axis=2)
         return both @ self.values["out"] + self.values["bias"], (both, kept_ahead, kept_back)
 
@@ -243,7 +249,7 @@ def triggered(text: str) -> list[int]:
 
 def padded(classes: list[np.ndarray]) -> np.ndarray:
     """Windows as columns, filled up with padding."""
-    made = np.zeros((WINDOW, len(classes)), np.uint8)
+    made = np.zeros((max([WINDOW, *map(len, classes)]), len(classes)), np.uint8)
     for column, window in enumerate(classes):
         made[: len(window), column] = window
     return made
@@ -267,34 +273,82 @@ class Model:
     confidence: float
 
 
-def added_spans(texts: list[str], tagger: Tagger, batch: int = 256) -> list[list[tuple[float, Span]]]:
-    """What the network finds in whole texts: sureness and span, windows put together."""
-    places = [(number, start) for number, text in enumerate(texts) if text for start in triggered(text)]
-    found: list[dict[Span, float]] = [{} for _ in texts]
+# A stretch of a text: its number, start and end.
+Place = tuple[int, int, int]
+
+
+def read_spans(texts: list[str], tagger: Tagger, places: list[Place], batch: int) -> Iterator[tuple[Place, float, Span]]:
+    """Spans that hold a digit or an at sign, with their sureness, of every stretch."""
     classes: dict[int, np.ndarray] = {}
-    for at in range(0, len(places), batch):
-        some = places[at : at + batch]
-        wanted = {number for number, _ in some}
+    at = 0
+    while at < len(places):
+        # long stretches are read in smaller batches
+        some = places[at : at + max(1, batch * WINDOW // max(WINDOW, places[at][2] - places[at][1]))]
+        at += len(some)
+        wanted = {number for number, *_ in some}
         classes = {number: classes[number] if number in classes else CHARACTERS.of(texts[number]) for number in wanted}
-        scores, _ = tagger.scores(padded([classes[number][start : start + WINDOW] for number, start in some]))
+        scores, _ = tagger.scores(padded([classes[number][start:end] for number, start, end in some]), keep=False)
         path = tagger.decode(scores)
         busy = np.flatnonzero((path > 0).any(axis=0))
         sure = tagger.marginals(scores[:, busy])
         for column, place in enumerate(busy.tolist()):
-            number, start = some[place]
-            text = texts[number]
+            number, start, stop = some[place]
             for kind, first, end in path_spans(path[:, place]):
-                cut = (first == 0 and start > 0) or (end == WINDOW and start + end < len(text))
-                end = min(end, len(text) - start)
-                if cut or end <= first or not TRIGGER.search(text, start + first, start + end):
+                end = min(end, stop - start)
+                if end <= first or not TRIGGER.search(texts[number], start + first, start + end):
                     continue
                 tags = path[first:end, place].astype(np.int64)
-                level = float(sure[np.arange(first, end), column, tags].min())
-                span = (kind, start + first, start + end)
-                found[number][span] = max(level, found[number].get(span, 0.0))
+                yield some[place], float(sure[np.arange(first, end), column, tags].min()), (kind, start + first, start + end)
+
+
+def added_spans(texts: list[str], tagger: Tagger, batch: int = 256) -> list[list[tuple[float, Span]]]:
+    """What the network finds in whole texts: sureness and span, windows put together."""
+    places = [(number, start, min(start + WINDOW, len(text))) for number, text in enumerate(texts) if text for start in triggered(text)]
+    found: list[dict[Span, float]] = [{} for _ in texts]
+    grown = False
+    while places:
+        cut: list[tuple[Place, Span]] = []
+        whole: list[tuple[int, float, Span]] = []
+        for place, level, span in read_spans(texts, tagger, places, batch):
+            number, start, end = place
+            if (span[1] == start and start > 0) or (span[2] == end and end < len(texts[number])):
+                cut.append((place, span))
+            else:
+                whole.append((number, level, span))
+        if grown:  # pieces of a span that is now whole
+            for number, _, (_, start, end) in whole:
+                inside = [span for span in found[number] if start <= span[1] and span[2] <= end and end - start > span[2] - span[1]]
+                for span in inside:
+                    del found[number][span]
+        for number, level, span in whole:
+            found[number][span] = max(level, found[number].get(span, 0.0))
+        places, grown = larger(texts, found, cut), True
     return [sorted(((level, span) for span, level in spans.items()), key=lambda one: (-one[0], one[1][1:], one[1][0])) for spans in found]
 
 
+def larger(texts: list[str], found: list[dict[Span, float]], cut: list[tuple[Place, Span]]) -> list[Place]:
+    """Stretches grown to the sides where they cut a span that no found span holds, joined
+    where they overlap; the longest first. Each grows by its own length, so that reading all of
+    a long one costs a few times its length."""
+    made: list[Place] = []
+    held = {number: sorted(span[1:] for span in found[number]) for number in {place[0] for place, _ in cut}}
+    reach = {number: list(accumulate((end for _, end in spans), max)) for number, spans in held.items()}
+    for (number, start, end), (_, first, last) in cut:
+        before = bisect_right(held[number], (first, len(texts[number])))
+        if before and reach[number][before - 1] >= last:
+            continue
+        size = end - start
+        left = max(0, start - size) if first == start else start
+        made.append((number, left, min(len(texts[number]), end + size) if last == end else end))
+    joined: list[Place] = []
+    for number, start, end in sorted(made):
+        if joined and joined[-1][0] == number and start < joined[-1][2]:
+            joined[-1] = (number, joined[-1][1], max(end, joined[-1][2]))
+        else:
+            joined.append((number, start, end))
+    return sorted(joined, key=lambda place: (place[1] - place[2], place))
+
+
 def reconciled(base: list[Span], added: list[tuple[float, Span]], confidence: float) -> list[Span]:
     """Base spans and, surest first, added spans that overlap nothing taken before."""
     taken = sorted((start, end) for _, start, end in base)
