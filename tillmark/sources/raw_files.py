@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,11 @@ from tillmark.sources.files import first_line
 # The binary file source lists files; nobody selects the content, so it is never read.
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
+# The line of a row that has more or fewer cells than its header, and one cell of a line.
+_LINE = "_line"
+_CELL = r'(?:^|,)("(?:[^"]++|"")*+"[^,]*+|[^,]*+)'
+_QUOTED = r'^"((?:[^"]++|"")*+)".*$'
+
 
 def source_root(spark: SparkSession, default: str) -> str:
     """Root of the raw files, from the session's ``source.root`` if set."""
@@ -70,7 +75,10 @@ def _with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _read_layout(spark: SparkSession, feed: FeedSpec, header: list[str], paths: list[str]) -> DataFrame:
     positions = [f"_c{i}" for i in range(len(header))]
     rows = (
-        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in positions]))
+        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in [*positions, _LINE]]))
+        .option("columnNameOfCorruptRecord", _LINE)
+        # a pruned reader does not count the cells of a row
+        .option("columnPruning", "false")
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
@@ -87,7 +95,10 @@ def _read_layout(spark: SparkSession, feed: FeedSpec, header: list[str], paths:
     taken = {by_name[name] for name in feed.stored_headers if name in by_name}
     extra = [F.col(p).alias(name) for p, name in zip(positions, header) if p not in taken]
     # fields that are NULL are left out, so a row without extras gives "{}"
-    rescued = F.nullif(F.to_json(F.struct(*extra)), F.lit("{}")) if extra else F.lit(None).cast("string")
+    named = F.to_json(F.struct(*extra)) if extra else F.lit("{}")
+    rescued = F.nullif(_joined_json(named, F.coalesce(_surplus(F.col(_LINE), len(header)), F.lit("{}"))), F.lit("{}"))
+    if not extra:  # Spark refuses to read the line alone, so the first cell is asked for as well
+        rescued = F.when(F.col(_LINE).isNotNull() | F.col(positions[0]).isNotNull(), rescued)
     path = F.col("_metadata.file_path")
     return rows.select(
         *known,
@@ -96,3 +107,23 @@ def _read_layout(spark: SparkSession, feed: FeedSpec, header: list[str], paths:
         F.current_timestamp().alias("_ingest_ts"),
         F.try_to_date(F.regexp_extract(path, fixed.FOLDER_DATE, 1)).alias("_snapshot_date"),
     )
+
+
+def _surplus(line: Column, width: int) -> Column:
+    """The cells of a line beyond its header as JSON, named by position; empty ones are NULL
+    and left out."""
+
+    def entry(cell: Column, place: Column) -> Column:
+        inner = F.replace(F.regexp_extract(cell, _QUOTED, 1), F.lit('""'), F.lit('"'))
+        value = F.when(cell.rlike(_QUOTED), inner).otherwise(F.nullif(cell, F.lit("")))
+        return F.struct(F.concat(F.lit("_c"), (place + width).cast("string")).alias("key"), value.alias("value"))
+
+    cells = F.regexp_extract_all(line, F.lit(_CELL), F.lit(1))
+    beyond = F.transform(F.slice(cells, F.lit(width + 1), F.greatest(F.size(cells) - width, F.lit(0))), entry)
+    return F.to_json(F.map_from_entries(F.filter(beyond, lambda one: one["value"].isNotNull())))
+
+
+def _joined_json(left: Column, right: Column) -> Column:
+    """The fields of two JSON objects in one."""
+    both = F.concat(F.left(left, F.length(left) - 1), F.lit(","), F.substr(right, F.lit(2)))
+    return F.when(left == "{}", right).when(right == "{}", left).otherwise(both)
