@@ -12,10 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmark.llm import preferences, url_filter
+from tillmark.llm import phrases, preferences, url_filter
 from tillmark.llm.bpe import encoding_digests
 from tillmark.llm.decontaminate import contamination_digests
 from tillmark.llm.embeddings import near_duplicates
+from tillmark.llm.main_text import page_texts
 from tillmark.llm.pii import personal_data
 from tillmark.llm.quality import quality_scores
 from tillmark.llm.secrets import secret_findings
@@ -43,6 +44,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": over(quality_scores, "documents", "labels"),
     "op9_url_filter": over(url_filter.judged_urls, "pages", "labels"),
     "op10_preferences": over(preferences.preference_pairs, "conversations"),
+    "op11_main_text": over(page_texts, "pages"),
+    "op12_collocations": over(phrases.collocations, "documents"),
 }
 
-SQL = {"op9_url_filter": url_filter.SQL, "op10_preferences": preferences.SQL}
+SQL = {
+    "op9_url_filter": url_filter.SQL,
+    "op10_preferences": preferences.SQL,
+    "op12_collocations": phrases.SQL,
+}
