@@ -21,6 +21,7 @@ from tillmark.llm.pii import personal_data
 from tillmark.llm.quality import quality_scores
 from tillmark.llm.secrets import secret_findings
 from tillmark.llm.simhash import fingerprint_groups
+from tillmark.llm.spelling import spelling_groups
 from tillmark.llm.token_counts import document_counts
 
 
@@ -46,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_preferences": over(preferences.preference_pairs, "conversations"),
     "op11_main_text": over(page_texts, "pages"),
     "op12_collocations": over(phrases.collocations, "documents"),
+    "op13_spelling": over(spelling_groups, "documents"),
 }
 
 SQL = {
