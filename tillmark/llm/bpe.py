@@ -18,7 +18,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -33,8 +33,11 @@ from tillmark.llm.common import text_pass
 WORD_BPE = "word_bpe_49k.json"
 # A vocabulary is shipped whole to every executor: refuse files that are no vocabulary.
 MAX_VOCABULARY = 2_000_000
-# Words that one generation of a worker's memory may hold.
-MEMORY_ENTRIES = 40_000
+# Bytes that one generation of a worker's memory of words, and of one of fragments, may take; two
+# generations are held. Remembering only saves work, results do not depend on it.
+MEMORY_BYTES = 60_000_000
+# What an entry takes besides its text: table slot, two objects' heads, the value.
+ENTRY_BYTES = 220
 MEMORY_TEXT = 64
 # Longer fragments are merged with a heap instead of a scan; the ids are the same.
 SHORT_FRAGMENT = 48
@@ -158,21 +161,23 @@ class Vocabulary:
 
 
 class Memory(dict):
-    """Results by word, in two generations: a full one becomes the old one, and what is asked
-    for again moves back. Long words are not kept."""
+    """Results by word or fragment, in two generations: a full one becomes the old one, and what
+    is asked for again moves back. Long words are not kept."""
 
-    def __init__(self, compute: Callable):
+    def __init__(self, compute: Callable, size: int = MEMORY_BYTES):
         super().__init__()
-        self.compute, self.old = compute, {}
+        self.compute, self.old, self.size, self.held = compute, {}, size, 0
 
-    def __missing__(self, word: str):
+    def __missing__(self, word):
         value = self.old.get(word)
         if value is None:
             value = self.compute(word)
         if len(word) <= MEMORY_TEXT:
-            if len(self) >= MEMORY_ENTRIES:
+            self.held += ENTRY_BYTES + 4 * len(word)
+            if self.held > self.size:
                 self.old = dict(self)
                 self.clear()
+                self.held = 0
             self[word] = value
         return value
 
@@ -233,30 +238,35 @@ class Encoder:
         self.vocabulary = vocabulary
         self.split = Splitter(vocabulary)
         self.word_ids = Memory(self._word)
+        self.fragment_ids = Memory(self._fragment, MEMORY_BYTES // 4)
         self.special = re.compile("|".join(map(re.escape, vocabulary.special)) or r"(?!)")
-        self.tokens = {number: token for token, number in (vocabulary.special | vocabulary.ids).items()}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        vocabulary = self.vocabulary
-        parts = vocabulary.fragments(vocabulary.symbols(word))
-        return tuple(vocabulary.merged(parts[0]) if len(parts) == 1 else chain.from_iterable(map(vocabulary.merged, parts)))
-
-    def _plain(self, text: str):
-        return chain.from_iterable(map(self.word_ids.__getitem__, self.split(text)))
-
-    def encode(self, text: str) -> array.array:
-        ids, start = array.array("i"), 0
-        for found in self.special.finditer(text):
-            ids.extend(self._plain(text[start : found.start()]))
-            ids.append(self.vocabulary.special[found.group()])
-            start = found.end()
-        ids.extend(self._plain(text[start:] if start else text))
-        return ids
-
-    def decode(self, ids) -> str:
+        by_number = {number: token for token, number in (vocabulary.special | vocabulary.ids).items()}
+        self.tokens = [by_number.get(number) for number in range(max(by_number) + 1)]
+
+    def _fragment(self, symbols: tuple[int, ...]) -> bytes:
+        return array.array("i", self.vocabulary.merged(symbols)).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        parts = self.vocabulary.fragments(self.vocabulary.symbols(word))
+        if len(parts) == 1:
+            return self._fragment(parts[0])
+        return b"".join([self.fragment_ids[tuple(part)] for part in parts])
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.word_ids.__getitem__, self.split(text)))
+
+    def encode(self, text: str) -> np.ndarray:
+        found, start = [], 0
+        for special in self.special.finditer(text):
+            found.append(self._plain(text[start : special.start()]))
+            found.append(array.array("i", [self.vocabulary.special[special.group()]]).tobytes())
+            start = special.end()
+        found.append(self._plain(text[start:] if start else text))
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def decode(self, ids: np.ndarray) -> str:
         """The file names no decoder: tokens are joined by one space, as the library does."""
-        tokens = self.tokens
-        return " ".join([tokens[number] for number in ids])
+        return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 def vocabulary_of(df: DataFrame, path: str):
@@ -285,7 +295,7 @@ def encoded(df: DataFrame, column: str = "text", path: str = public_tokenizers.p
             rows = [encoder.encode(text or "") for text in texts]
             offsets = np.zeros(len(rows) + 1, np.int32)
             np.cumsum([len(row) for row in rows], out=offsets[1:])
-            flat = np.frombuffer(b"".join(row.tobytes() for row in rows), np.int32)
+            flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
             return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), [encoder.decode(row) for row in rows]]
 
         return work

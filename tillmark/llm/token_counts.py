@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.llm.bpe import CONTRACTIONS, Memory, Vocabulary, byte_symbols, prepared, same_classes, unusual_text
+from tillmark.llm.bpe import CONTRACTIONS, MEMORY_BYTES, Memory, Vocabulary, byte_symbols, prepared, same_classes, unusual_text
 from tillmark.llm.common import text_pass
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -54,10 +54,16 @@ class Counter:
         self.special = re.compile("|".join(map(re.escape, self.vocabulary.special)) or r"(?!)")
         self.byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
         self.merged = Memory(self._word)
+        self.fragment_counts = Memory(self._fragment, MEMORY_BYTES // 4)
+
+    def _fragment(self, symbols: tuple[int, ...]) -> int:
+        return len(self.vocabulary.merged(symbols))
 
     def _word(self, word: str) -> int:
-        vocabulary = self.vocabulary
-        return sum(map(len, map(vocabulary.merged, vocabulary.fragments(vocabulary.symbols(word)))))
+        parts = self.vocabulary.fragments(self.vocabulary.symbols(word))
+        if len(parts) == 1:
+            return self._fragment(parts[0])
+        return sum([self.fragment_counts[tuple(part)] for part in parts])
 
     def _plain(self, text: str) -> int:
         if self.unusual.search(text):
