@@ -176,14 +176,14 @@ def test_text_sequences(spark):
     assert multiset(scd2(df, spec)) == Counter([("k", "a", 2, "a", "b"), ("k", "c", 1, "b", None)])
 
 
-def test_streamed_history_keeps_null_keys_and_late_null_sequences(spark):
-    from tillmark.streaming.history import merged
+def test_streamed_history_keeps_null_keys_and_late_null_sequences(spark, tmp_path):
+    from tillmark.streaming import history
 
     schema = "k string, day date, price double"
     spec = HistorySpec(keys=("k",), sequence="day", tracked=("price",))
     first = spark.createDataFrame([(None, DAY, 1.0), ("a", DAY, 1.0)], schema)
     fresh = spark.createDataFrame([(None, DAY + dt.timedelta(1), 2.0), ("a", None, 3.0)], schema)
-    both = first.unionByName(fresh)
-    got = merged(scd2(first, spec), fresh, both, spec)
-    whole = scd2(both, spec)
-    assert multiset(got.select(*whole.columns)) == multiset(whole)
+    for number, batch in enumerate((first, fresh)):
+        history.bring_up_to_date(batch, f"{tmp_path}/h", number, spec, buckets=2)
+    whole = scd2(first.unionByName(fresh), spec)
+    assert multiset(history.current(spark, f"{tmp_path}/h", first.schema, spec)) == multiset(whole)

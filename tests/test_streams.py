@@ -134,23 +134,20 @@ def test_history_stream_equals_batch(spark, tmp_path, shuffled):
         cut = rows[part * 125 : (part + 1) * 125]
         spark.createDataFrame(cut, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(table)
         schema = spark.read.parquet(table).schema
-        history.run_history(spark, table, schema, f"{tmp_path}/dim", f"{tmp_path}/check", SPEC, 1)
-        got = tables.latest(spark, f"{tmp_path}/dim")
+        history.run_history(spark, table, schema, f"{tmp_path}/dim", f"{tmp_path}/check", SPEC, 1, buckets=3)
+        got = history.current(spark, f"{tmp_path}/dim", schema, SPEC)
         assert multiset(got) == brute_history(rows[: (part + 1) * 125])
-    history.run_history(spark, table, schema, f"{tmp_path}/dim", f"{tmp_path}/check", SPEC)
-    assert multiset(tables.latest(spark, f"{tmp_path}/dim")) == brute_history(rows)
+    history.run_history(spark, table, schema, f"{tmp_path}/dim", f"{tmp_path}/check", SPEC, buckets=3)
+    assert multiset(history.current(spark, f"{tmp_path}/dim", schema, SPEC)) == brute_history(rows)
 
 
 def test_repeated_batch_gives_the_same_version(spark, tmp_path):
     rows = history_rows(seed=6)
     first, second = (spark.createDataFrame(part, HISTORY_SCHEMA) for part in (rows[:250], rows[250:]))
-    everything = first.unionByName(second)
-    tables.publish(history.versions(history.observations(first, SPEC), SPEC), f"{tmp_path}/dim", 0)
-    for _ in range(2):
-        before = tables.latest(spark, f"{tmp_path}/dim", before=1)
-        fresh = history.observations(second, SPEC)
-        tables.publish(history.merged(before, fresh, everything, SPEC), f"{tmp_path}/dim", 1)
-    assert multiset(tables.latest(spark, f"{tmp_path}/dim")) == brute_history(rows)
+    where = f"{tmp_path}/dim"
+    for batch, number in ((first, 0), (first, 0), (second, 1), (second, 1)):
+        history.bring_up_to_date(batch, where, number, SPEC, buckets=3)
+    assert multiset(history.current(spark, where, first.schema, SPEC)) == brute_history(rows)
 
 
 def test_old_versions_go(spark, tmp_path):

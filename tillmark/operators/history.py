@@ -30,15 +30,17 @@ class HistorySpec:
     def kept(self, columns: list[str]) -> list[str]:
         return [name for name in columns if name not in self.leave_out]
 
+    def stored(self, columns: list[str]) -> list[str]:
+        """What must be stored of an observation, so that a later one can be compared with it."""
+        return [name for name in columns if name not in self.leave_out or name in self.prefer]
 
-def observations(df: DataFrame, spec: HistorySpec) -> DataFrame:
+
+def observations(df: DataFrame, spec: HistorySpec, kept: list[str] | None = None) -> DataFrame:
     """One row per key and sequence, pre-aggregated before the shuffle."""
     grain = [*spec.keys, spec.sequence]
-    kept = spec.kept(df.columns)
-    rest = [name for name in kept if name not in grain]
-    ranked = F.struct(
-        *[F.col(name).alias(f"_by{i}") for i, name in enumerate(spec.prefer)], *[F.col(name) for name in rest]
-    )
+    kept = spec.kept(df.columns) if kept is None else kept
+    rest = [name for name in spec.stored(df.columns) if name not in (*grain, *spec.prefer)]
+    ranked = F.struct(*[F.col(name) for name in (*spec.prefer, *rest)])
     chosen = df.groupBy(*grain).agg(F.max(ranked).alias("_row"))
     return chosen.select(*[F.col(name) if name in grain else F.col(f"_row.{name}").alias(name) for name in kept])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,15 +16,29 @@ def count_where(condition: Column) -> Column:
     return F.sum(F.coalesce(condition, F.lit(False)).cast("int"))
 
 
-def mean_2dp(column: str) -> Column:
-    """Mean rounded half up to cents, the same whatever the order of summation.
+def exact_sum(column: str) -> Column:
+    """Sum of values with four decimals as a decimal: the same in any order, and mergeable.
 
-    Values carry four decimals, so their sum is exact as a decimal. A group with a value
-    too large for that type falls back to the mean of doubles.
+    One type for all values: a value of 10^19 or more, or one that is no number, makes it NULL.
     """
-    exact = F.col(column).try_cast("decimal(18,4)")
-    mean = F.round(F.try_divide(F.sum(exact), F.count(exact)), 2).cast("double")
-    return F.when(F.count(exact) == F.count(column), mean).otherwise(F.round(F.avg(column), 2))
+    exact = F.col(column).try_cast("decimal(23,4)")
+    odd = F.max(F.col(column).isNotNull() & exact.isNull())
+    return F.when(~odd, F.sum(exact)).cast("decimal(33,4)")
+
+
+def mean_of(total: str | Column, count: str | Column) -> Column:
+    """Mean of an exact sum that is not negative, rounded half up to cents."""
+    total, count = (F.col(one) if isinstance(one, str) else one for one in (total, count))
+    # a quotient just below half a cent may have been rounded up to it before
+    mean = F.round(F.try_divide(total, count), 2)
+    half, cent = F.lit(Decimal("0.005")), F.lit(Decimal("0.01"))
+    return F.when((mean - half) * count > total, mean - cent).otherwise(mean).cast("double")
+
+
+def mean_2dp(column: str) -> Column:
+    """Mean rounded half up to cents, the same whatever the order of summation; NULL where
+    ``exact_sum`` is."""
+    return mean_of(exact_sum(column), F.count(column))
 
 
 def share_pct(part: str, whole: str) -> Column:
@@ -44,5 +60,9 @@ def with_rank(df: DataFrame, within: list[str], by: str) -> DataFrame:
 def with_base_index(df: DataFrame, within: list[str], over: str, value: str) -> DataFrame:
     """Add ``base_price``, the first value of each group in ``over`` order, and the index to it."""
     window = Window.partitionBy(*within).orderBy(over)
-    index = F.round(F.try_divide(F.col(value), F.col("base_price")) * 100, 1)
-    return df.withColumn("base_price", F.first(value).over(window)).withColumn("price_index", index)
+    based = df.withColumn("base_price", F.first(value).over(window))
+    return based.withColumn("price_index", index_of(value, "base_price"))
+
+
+def index_of(value: str, base: str) -> Column:
+    return F.round(F.try_divide(F.col(value), F.col(base)) * 100, 1)

@@ -4,44 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmark.plans import dimensions, marts
+from tillmark.plans import dimensions
+from tillmark.sources.raw_files import source_root
 from tillmark.sources.tables import latest, read_table, read_table_stream, write_table
-from tillmark.streaming import distinct, facts, history, ingest
+from tillmark.streaming import daily, distinct, facts, history, ingest
+from tillmark.streaming import marts as kept
 
 
-def daily_run(spark: SparkSession, root: str, tables: str, checkpoints: str) -> dict[str, DataFrame]:
-    """Process what is new below ``root``; returns every table by name.
+def daily_run(spark: SparkSession, root: str | None, tables: str, checkpoints: str) -> dict[str, DataFrame]:
+    """Process what is new below ``root`` (None: the session's ``source.root``); returns every
+    table by name.
 
-    Run it again after new files have landed: streams go on where they stopped, marts are
-    recomputed from the stored fact.
+    Run it again after new files have landed: every table goes on where it stopped. The fact
+    grows, the history, the daily fact and the marts rewrite the parts that new rows touch.
+    Only the calendar and the retailers, a few rows, are written whole.
     """
-    raw = ingest.ingest_all(spark, root, tables, checkpoints)
+    raw = ingest.ingest_all(spark, root or source_root(spark), tables, checkpoints)
     fact_path, schema = f"{tables}/fact_price", facts.fact_schema(spark)
     facts.run_fact(spark, raw, fact_path, f"{checkpoints}/fact_price")
     facts.run_quarantine(spark, fact_path, f"{tables}/fact_price_quarantine", f"{checkpoints}/fact_price_quarantine")
-    history.run_history(
-        spark, fact_path, schema, f"{tables}/dim_product", f"{checkpoints}/dim_product", dimensions.PRODUCT_HISTORY
-    )
+    spec = dimensions.PRODUCT_HISTORY
+    history.run_history(spark, fact_path, schema, f"{tables}/dim_product", f"{checkpoints}/dim_product", spec)
     distinct.run_categories(
         read_table_stream(spark, fact_path, schema), f"{tables}/dim_category", f"{checkpoints}/dim_category"
     )
+    daily.run_daily(spark, fact_path, schema, f"{tables}/fact_price_daily", f"{checkpoints}/fact_price_daily")
+    for name, mart in kept.KEPT_MARTS.items():
+        kept.run_mart(spark, mart, fact_path, schema, f"{tables}/{name}", f"{checkpoints}/{name}")
 
     fact = read_table(spark, fact_path, schema)
-    daily = write_table(marts.fact_price_daily(fact), f"{tables}/fact_price_daily", partition_by="snapshot_date")
-    batch = {
-        "dim_retailer": dimensions.dim_retailer(spark),
-        "dim_date": dimensions.dim_date(fact),
-        "mart_price_comparison": marts.mart_price_comparison(daily),
-        "mart_specials_penetration": marts.mart_specials_penetration(daily),
-        "mart_category_price_index": marts.mart_category_price_index(daily),
-        "mart_availability": marts.mart_availability(fact),
-        "mart_dq_scorecard": marts.mart_dq_scorecard(fact),
-    }
-    stored = {name: write_table(df, f"{tables}/{name}") for name, df in batch.items()}
-    return stored | {
+    small = {"dim_retailer": dimensions.dim_retailer(spark), "dim_date": dimensions.dim_date(fact)}
+    marts = {name: kept.current(spark, mart, f"{tables}/{name}", schema) for name, mart in kept.KEPT_MARTS.items()}
+    return marts | {name: write_table(df, f"{tables}/{name}") for name, df in small.items()} | {
         "fact_price": fact,
         "fact_price_quarantine": read_table(spark, f"{tables}/fact_price_quarantine", schema),
-        "fact_price_daily": daily,
-        "dim_product": latest(spark, f"{tables}/dim_product"),
+        "fact_price_daily": daily.current(spark, f"{tables}/fact_price_daily", schema),
+        "dim_product": history.current(spark, f"{tables}/dim_product", schema, spec),
         "dim_category": latest(spark, f"{tables}/dim_category"),
     }

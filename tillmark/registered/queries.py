@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +22,19 @@ from tillmark.sources import landing
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec
 from tillmark.sources.raw_files import list_files, read_feed
 from tillmark.sources.tables import latest, read_table
+from tillmark.streaming import daily, history, ingest
 from tillmark.streaming import facts as streamed
-from tillmark.streaming import ingest
+from tillmark.streaming import marts as kept
 from tillmark.streaming.distinct import run_distinct
 from tillmark.streaming.history import run_history
 
 LINE = ("l_orderkey", "l_linenumber")
+# Parts of the bucketed tables: the test tables are small.
+BUCKETS = 16
+MART_INPUTS = (
+    "source_sku", "snapshot_date", "retailer", "canonical_l1", "canonical_l2", "norm_unit_price", "norm_unit_measure",
+    "on_special", "availability", "price_aud", "is_quarantined",
+)
 EVENT_HISTORY = HistorySpec(keys=("user_id",), sequence="ts", tracked=("event_type",), leave_out=("props", "value"))
 
 
@@ -263,22 +272,62 @@ def fact_price_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.drop("_ingest_ts", "_source_file")
 
 
-def event_history_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in any order, a few files per micro-batch, into one history."""
-    work = work_folder(spark, "event-history")
-    events = inputs.table(spark, sf_dir, "events")
-    events.repartition(4, F.hash("event_id")).write.parquet(f"{work}/events")
-    run_history(spark, f"{work}/events", events.schema, f"{work}/dim", f"{work}/checkpoint", EVENT_HISTORY, 2)
-    return latest(spark, f"{work}/dim")
+def _in_two_runs(rows: DataFrame, later: str, table: str, run: Callable[[], object]) -> None:
+    """Store the rows for which ``later`` does not hold, run a stream over the table, then store
+    the others and run it again."""
+    comes_later = F.coalesce(F.expr(later), F.lit(False))
+    for part in (~comes_later, comes_later):
+        rows.filter(part).write.mode("append").parquet(table)
+        run()
+
+
+# The second half of the days, and products with some days of the first half that come late.
+LATER = """snapshot_date >= date'2021-05-07' or (cast(source_sku as bigint) % 20 = 0 and day(snapshot_date) % 3 = 0)
+    or (canonical_l1 = 'PROMO' and snapshot_date = date'2021-04-23')"""
+
+
+def _event_history(rows: Callable[[SparkSession, str], DataFrame]):
+    """Events in two runs, half of all users' events late, into one history."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work, events = work_folder(spark, "event-history"), rows(spark, sf_dir)
+        where = (f"{work}/events", events.schema, f"{work}/dim", f"{work}/checkpoint", EVENT_HISTORY)
+        _in_two_runs(events, "hash(event_id) % 2 = 0", where[0], lambda: run_history(spark, *where, buckets=BUCKETS))
+        return history.current(spark, where[2], events.schema, EVENT_HISTORY)
+
+    return query
 
 
 def dim_product_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = work_folder(spark, "product-history")
-    facts = inputs.facts(spark, sf_dir)
-    facts.repartitionByRange(4, "snapshot_date").write.parquet(f"{work}/fact")
-    spec = dimensions.PRODUCT_HISTORY
-    run_history(spark, f"{work}/fact", facts.schema, f"{work}/dim", f"{work}/checkpoint", spec, 2)
-    return latest(spark, f"{work}/dim")
+    """Product versions from a fact that arrives in two runs, some rows late."""
+    work, facts = work_folder(spark, "product-history"), inputs.facts(spark, sf_dir)
+    where = (f"{work}/fact", facts.schema, f"{work}/dim", f"{work}/checkpoint", dimensions.PRODUCT_HISTORY)
+    _in_two_runs(facts, LATER, where[0], lambda: run_history(spark, *where, buckets=BUCKETS))
+    return history.current(spark, where[2], facts.schema, dimensions.PRODUCT_HISTORY)
+
+
+def _daily_streamed(rows: Callable[[SparkSession, str], DataFrame]):
+    """The daily fact kept up over two runs."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work, facts = work_folder(spark, "daily"), rows(spark, sf_dir)
+        where = (f"{work}/fact", facts.schema, f"{work}/daily", f"{work}/checkpoint")
+        _in_two_runs(facts, LATER, where[0], lambda: daily.run_daily(spark, *where, buckets=BUCKETS))
+        return daily.current(spark, where[2], facts.schema)
+
+    return query
+
+
+def _mart_streamed(mart: kept.KeptMart):
+    """A mart kept up over two runs."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work, facts = work_folder(spark, "mart"), inputs.facts(spark, sf_dir).select(*MART_INPUTS)
+        where = (f"{work}/fact", facts.schema, f"{work}/mart", f"{work}/checkpoint")
+        _in_two_runs(facts, LATER, where[0], lambda: kept.run_mart(spark, mart, *where))
+        return kept.current(spark, mart, where[2], facts.schema)
+
+    return query
 
 
 def event_type_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,8 +389,12 @@ QUERIES = {
     "dim_date": _on_fact(dimensions.dim_date),
     "event_history_scd2": event_history,
     "event_history_scd2_hot_keys": event_history_hot_keys,
-    "event_history_scd2_streamed": event_history_streamed,
+    "event_history_scd2_streamed": _event_history(lambda spark, sf_dir: inputs.table(spark, sf_dir, "events")),
+    "event_history_scd2_streamed_hot_keys": _event_history(inputs.crowded_events),
     "dim_product_scd2_streamed": dim_product_streamed,
+    "fact_price_daily_streamed": _daily_streamed(inputs.facts),
+    "fact_price_daily_streamed_hot_keys": _daily_streamed(inputs.crowded_facts),
+    **{f"{name}_streamed": _mart_streamed(mart) for name, mart in kept.KEPT_MARTS.items()},
     "event_type_dedup_stream": event_type_dedup_stream,
     "ingested_feed": ingested_feed,
     "rescued_columns": rescued_columns,

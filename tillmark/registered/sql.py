@@ -345,5 +345,11 @@ SQL = {
           when (target, source) not in (select (target, source) from last) then 'superseded' end as reason from placed""",
     "landing_rejects": f"""{_NAMES} select source, retailer, "date" from placed where target is null""",
 }
-SQL["dim_product_scd2_streamed"] = SQL["dim_product_scd2"]
+for _name in (
+    "dim_product_scd2", "fact_price_daily", "mart_price_comparison", "mart_specials_penetration", "mart_category_price_index",
+    "mart_availability", "mart_dq_scorecard",
+):
+    SQL[f"{_name}_streamed"] = SQL[_name]
+SQL["fact_price_daily_streamed_hot_keys"] = SQL["fact_price_daily_hot_keys"]
+SQL["event_history_scd2_streamed_hot_keys"] = SQL["event_history_scd2_hot_keys"]
 SQL["fact_price_streamed"] = f"select * exclude (_source_file) from ({SQL['fact_price']})"

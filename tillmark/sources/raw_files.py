@@ -26,9 +26,12 @@ _CELL = r'(?:^|,)("(?:[^"]++|"")*+"[^,]*+|[^,]*+)'
 _QUOTED = r'^"((?:[^"]++|"")*+)".*$'
 
 
-def source_root(spark: SparkSession, default: str) -> str:
+def source_root(spark: SparkSession, default: str | None = None) -> str:
     """Root of the raw files, from the session's ``source.root`` if set."""
-    return spark.conf.get("source.root", default)
+    root = spark.conf.get("source.root", default)
+    if not root:
+        raise ValueError("name the root of the raw files or set source.root")
+    return root
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,12 @@
-"""Change history kept up to date batch by batch."""
+"""Change history kept up to date batch by batch, in buckets of keys.
+
+Three stored tables lie below a history: ``seen`` holds the observations, added to bucket by
+bucket; ``versions`` holds open versions, replaced, and closed ones, added; ``late`` names the
+keys of a batch that reach back behind what is known of them. A batch reads the open versions
+of the buckets it touches and writes those anew, together with the versions that it closes.
+Only buckets with late keys have their closed versions read and written anew, those keys
+rebuilt from their bucket's observations. The source table is never read again.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +16,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.operators.history import END, START, HistorySpec, observations, versions
-from tillmark.operators.ordered import same_key
-from tillmark.sources.tables import latest, publish, read_table, read_table_stream
+from tillmark.sources import parted
+from tillmark.sources.tables import read_table_stream
+from tillmark.streaming.late import late_keys, of_keys
 from tillmark.streaming.runs import run_batches
 
+# Parts of a history's tables. It must not change while a history is kept up.
+BUCKETS = 64
+
 
 def run_history(
     spark: SparkSession,
@@ -21,54 +33,63 @@ def run_history(
     checkpoint: str,
     spec: HistorySpec,
     files_per_batch: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Bring the versions at ``history`` up to date with the stored table.
 
-    A repeated micro-batch starts from the version before its own and writes the same again.
+    A repeated micro-batch starts from the state before its own and writes the same again.
     """
 
     def update(batch: DataFrame, number: int) -> None:
-        before = latest(spark, history, before=number)
-        fresh = observations(batch, spec).persist()
-        try:
-            if before is None:
-                publish(versions(fresh, spec), history, number)
-            else:
-                publish(merged(before, fresh, read_table(spark, table, schema), spec), history, number)
-        finally:
-            fresh.unpersist()
+        bring_up_to_date(batch, history, number, spec, buckets)
 
     return run_batches(read_table_stream(spark, table, schema, files_per_batch), update, checkpoint)
 
 
-def merged(before: DataFrame, fresh: DataFrame, everything: DataFrame, spec: HistorySpec) -> DataFrame:
-    """History ``before`` brought up to date with the observations ``fresh``.
+def bring_up_to_date(batch: DataFrame, history: str, number: int, spec: HistorySpec, buckets: int = BUCKETS) -> None:
+    spark, keys = batch.sparkSession, list(spec.keys)
+    part = parted.bucket(keys, buckets)
+    seen, stored, late = (f"{history}/{name}" for name in ("seen", "versions", "late"))
 
-    Most keys only move forward: their open version and the new rows are all it takes.
-    Keys with a row at or before their last one are rebuilt from ``everything``, which is
-    read only if there are any.
-    """
-    keys = list(spec.keys)
-    kept = fresh.columns
-    still_open = before.filter(F.col(END).isNull())
-    names = [F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)]
-    seen = still_open.select(*names, F.col(spec.sequence).alias("_seen"), F.lit(True).alias("_known"))
-    # a null sequence comes before every other one: structs order it first, where min skips it
-    firsts = fresh.groupBy(*keys).agg(F.min(F.struct(F.col(spec.sequence).alias("_seen"))).alias("_next"))
-    touched = firsts.join(seen, same_key(keys), "left").select(*keys, "_next", "_seen", "_known")
-    is_late = F.coalesce(F.col("_known") & (F.col("_next") <= F.struct("_seen")), F.lit(False))
-    late, forward = (touched.filter(some).select(*names) for some in (is_late, ~is_late))
-    touched = touched.select(*names)
-
-    # an open version stands for all its rows: it is its last row, with a known start
-    carried = still_open.join(forward, same_key(keys), "left_semi").select(*kept, F.col(START).alias("_start"))
-    added = fresh.join(forward, same_key(keys), "left_semi").withColumn("_start", F.lit(None).cast(fresh.schema[spec.sequence].dataType))
-    moved = versions(carried.unionByName(added), spec, "_start")
-
-    closed = before.filter(F.col(END).isNotNull())
-    idle = still_open.join(touched, same_key(keys), "left_anti")
-    if late.isEmpty():
-        return closed.unionByName(idle).unionByName(moved)
-    rebuilt = versions(observations(everything.join(late, same_key(keys), "left_semi"), spec), spec)
-    closed = closed.join(late, same_key(keys), "left_anti")
-    return closed.unionByName(idle).unionByName(moved).unionByName(rebuilt)
+    fresh = observations(batch, spec, spec.stored(batch.columns))
+    known, schema = fresh.schema, history_schema(batch.schema, spec)
+    kept = spec.kept(known.names)
+    touched = parted.store(fresh, seen, number, F.concat(part, F.lit(parted.MORE)))
+    fresh = parted.read_version(spark, seen, known, number).select(*kept)
+    touched = [name.removesuffix(parted.MORE) for name in touched]
+
+    still_open = parted.read(spark, stored, schema, number, [f"{name}-open" for name in touched])
+    back = parted.store(late_keys(fresh, still_open, keys, spec.sequence), late, number, part)
+    named = parted.read_version(spark, late, T.StructType([known[key] for key in keys]), number)
+
+    # an open version stands for all its rows: it is its last row, with a known start; keys that
+    # share a bucket with the batch but have no row in it come out as they are
+    carried = still_open.select(*kept, F.col(START).alias("_start"))
+    added = fresh.withColumn("_start", F.lit(None).cast(known[spec.sequence].dataType))
+    both = carried.unionByName(added)
+    if not back:
+        changed = versions(both, spec, "_start")
+    else:
+        closed = parted.read(spark, stored, schema, number, [f"{name}-closed" for name in back])
+        again = of_keys(parted.read(spark, seen, known, number + 1, back), named, keys)
+        changed = (
+            versions(of_keys(both, named, keys, inside=False), spec, "_start")
+            .unionByName(versions(observations(again, spec, kept), spec))
+            .unionByName(of_keys(closed, named, keys, inside=False))
+        )
+    adds = F.when(part.isin(back), F.lit("-closed")).otherwise(F.lit(f"-closed{parted.MORE}"))
+    where = F.concat(part, F.when(F.col(END).isNull(), F.lit("-open")).otherwise(adds))
+    parted.store(changed.select(*schema.names), stored, number, where)
+    for path in (stored, late):
+        parted.tidy(spark, path, number)
+
+
+def history_schema(source: T.StructType, spec: HistorySpec) -> T.StructType:
+    when = source[spec.sequence].dataType
+    kept = [source[name] for name in spec.kept(source.names)]
+    return T.StructType([*kept, T.StructField(START, when), T.StructField(END, when)])
+
+
+def current(spark: SparkSession, history: str, source: T.StructType, spec: HistorySpec) -> DataFrame:
+    """All versions as of the last whole batch."""
+    return parted.read(spark, f"{history}/versions", history_schema(source, spec))
