@@ -187,3 +187,11 @@ def test_streamed_history_keeps_null_keys_and_late_null_sequences(spark, tmp_pat
         history.bring_up_to_date(batch, f"{tmp_path}/h", number, spec, buckets=2)
     whole = scd2(first.unionByName(fresh), spec)
     assert multiset(history.current(spark, f"{tmp_path}/h", first.schema, spec)) == multiset(whole)
+
+
+def test_columns_named_like_helpers(spark):
+    names = ("_before", "_After", "_slot", "_range_before", "_copies", "_block", "_found", "_copy")
+    rows = [("k", DAY + dt.timedelta(n), float(n), *"abcdefgh") for n in range(3)]
+    df = spark.createDataFrame(rows, "k string, day date, price double, " + ", ".join(f"{name} string" for name in names))
+    got = with_previous_value(df, "k", "day", "price", "was")
+    assert multiset(got) == Counter((*row, row[2] - 1 if row[2] else None) for row in rows)

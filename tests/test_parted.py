@@ -6,13 +6,13 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from test_ordered import DAY, multiset
 from tillmark.operators.history import HistorySpec, scd2
 from tillmark.plans import marts
+from tillmark.plans.fact import FACT_SCHEMA
 from tillmark.sources import parted
-from tillmark.streaming import daily, facts, history
+from tillmark.streaming import daily, history
 from tillmark.streaming import marts as kept
 
 
@@ -71,13 +71,9 @@ def test_history_writes_the_buckets_of_touched_keys_only(spark, tmp_path):
     assert multiset(history.current(spark, f"{tmp_path}/h", everything.schema, spec)) == multiset(scd2(everything, spec))
 
 
-def nullable(schema):
-    return T.StructType([T.StructField(field.name, field.dataType) for field in schema])
-
-
 def fact_rows(spark, seed, rows=600):
     pick = random.Random(seed)
-    names = nullable(facts.fact_schema(spark))
+    names = FACT_SCHEMA
     made = []
     for number in range(rows):
         product = pick.choice([None, None, "p1", *(f"q{n}" for n in range(12))])
@@ -127,7 +123,7 @@ def test_mart_streams_equal_batch(spark, tmp_path, name):
 
 def priced(spark, *rows):
     """Trusted fact rows: (day, retailer, unit price)."""
-    schema = nullable(facts.fact_schema(spark))
+    schema = FACT_SCHEMA
     values = [
         {"snapshot_date": DAY + dt.timedelta(day), "retailer": retailer, "norm_unit_price": price, "is_quarantined": False}
         for day, retailer, price in rows
@@ -150,6 +146,6 @@ def test_an_earlier_day_moves_the_base_of_its_group_only(spark, tmp_path):
     kept.bring_up_to_date(priced(spark, (0, "Aldi", 4.0)), mart, path, 1)
     assert folders(f"{path}/rows", 1) == {"2021-04-23", "2021-04-24", "2021-04-25"}
     kept.bring_up_to_date(priced(spark, (0, "Aldi", 2.0)), mart, path, 2)  # the first day is completed: 3.0
-    rows = kept.current(spark, mart, path, facts.fact_schema(spark)).collect()
+    rows = kept.current(spark, mart, path, FACT_SCHEMA).collect()
     found = {(row.retailer, row.snapshot_date.day): (row.base_price, row.price_index) for row in rows}
     assert found == {("Aldi", 23): (3.0, 100.0), ("Aldi", 24): (3.0, 66.7), ("Aldi", 25): (3.0, 100.0), ("Coles", 27): (5.0, 100.0)}

@@ -9,9 +9,8 @@ from tillmark.functions.unit_price import with_unit_price
 from tillmark.operators.history import HistorySpec, versions
 from tillmark.plans import dimensions, marts
 from tillmark.plans.conform import conform, conform_all
-from tillmark.plans.fact import fact_price
+from tillmark.plans.fact import FACT_SCHEMA, fact_price
 from tillmark.sources.feeds import FEEDS
-from tillmark.streaming.facts import fact_schema
 
 
 def plan_of(df):
@@ -33,7 +32,7 @@ def raw(spark, tmp_path_factory):
 def fact(spark, tmp_path_factory):
     """An empty stored fact."""
     root = tmp_path_factory.mktemp("fact")
-    schema = fact_schema(spark)
+    schema = FACT_SCHEMA
     spark.createDataFrame([], schema).write.parquet(f"{root}/fact")
     return spark.read.schema(schema).parquet(f"{root}/fact")
 
@@ -90,3 +89,13 @@ def test_unit_price_stays_in_the_jvm(spark):
 def test_calendar_needs_no_driver_round_trip(fact):
     assert dimensions.dim_date(fact).count() == 0
     assert "Generate" in plan_of(dimensions.dim_date(fact))
+
+
+def test_stored_schema_is_that_of_the_fact(raw):
+    made = fact_price(conform_all(raw)).schema
+    assert [(field.name, field.dataType) for field in made] == [(field.name, field.dataType) for field in FACT_SCHEMA]
+
+
+def test_two_facts_in_one_query(raw):
+    both = fact_price(conform_all(raw), "one").unionByName(fact_price(conform_all(raw), "two"))
+    assert both.count() == 0

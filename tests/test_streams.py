@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from test_ordered import DAY, HISTORY_SCHEMA, SPEC, brute_history, history_rows, multiset
 from tillmark.plans.daily import daily_run
+from tillmark.plans.fact import FACT_SCHEMA
 from tillmark.session import work_folder
 from tillmark.sources import landing, raw_files, tables
 from tillmark.sources.feeds import ALDI, COLES, FEEDS, column_or_null, stored_name, with_stored_names
@@ -81,7 +82,7 @@ def test_missing_feeds_and_expectation_counts(spark, tmp_path):
     assert sum(m["dropped"]["rows"] for m in seen) == 3 and sum(m["dropped"]["rows_dropped"] for m in seen) == 2
     assert sum(m["expectations"]["rows"] for m in seen) == 1
     assert sum(m["expectations"]["has_product_name_failed"] for m in seen) == 0
-    fact = tables.read_table(spark, f"{tmp_path}/t/fact", facts.fact_schema(spark))
+    fact = tables.read_table(spark, f"{tmp_path}/t/fact", FACT_SCHEMA)
     assert [r.source_sku for r in fact.collect()] == ["1"]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.operators.ordered import RANGE, neighbours, ranged
@@ -40,9 +40,10 @@ def observations(df: DataFrame, spec: HistorySpec, kept: list[str] | None = None
     grain = [*spec.keys, spec.sequence]
     kept = spec.kept(df.columns) if kept is None else kept
     rest = [name for name in spec.stored(df.columns) if name not in (*grain, *spec.prefer)]
-    ranked = F.struct(*[F.col(name) for name in (*spec.prefer, *rest)])
-    chosen = df.groupBy(*grain).agg(F.max(ranked).alias("_row"))
-    return chosen.select(*[F.col(name) if name in grain else F.col(f"_row.{name}").alias(name) for name in kept])
+    best = Window.partitionBy(*grain).orderBy(*[F.desc(name) for name in (*spec.prefer, *rest)])
+    # the best of each task's rows is found before the shuffle
+    first = df.select(*spec.stored(df.columns)).withColumn("_place", F.row_number().over(best)).filter("_place = 1")
+    return first.select(*kept)
 
 
 def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None) -> DataFrame:

@@ -28,6 +28,8 @@ def same_key(keys: list[str]) -> Column:
 
 def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Rows dealt by ranges of (key, order), with the number of their range."""
+    if RANGE in df.columns:
+        raise ValueError(f"a column named {RANGE} is in the way")
     return df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id())
 
 
@@ -40,21 +42,31 @@ def neighbours(
     filtered, and ``order`` is unique per key.
     """
     before, after = _row(previous), _row(following)
+    near_before, near_after, far_before, far_after, slot = free_names(df, "_before", "_after", "_range_before", "_range_after", "_slot")
     inside = Window.partitionBy(*keys, RANGE).orderBy(*order)
-    near = df.select("*", F.lag(before).over(inside).alias("_before"), F.lead(after).over(inside).alias("_after"))
-    at_border = F.col("_before").isNull() | F.col("_after").isNull()
-    slot = F.when(~at_border, F.xxhash64(RANGE, *keys, *order))
-    across = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    met = near.withColumn("_slot", slot).select(
-        "*", F.lag(before).over(across).alias("_range_before"), F.lead(after).over(across).alias("_range_after")
+    near = df.select("*", F.lag(before).over(inside).alias(near_before), F.lead(after).over(inside).alias(near_after))
+    at_border = F.col(near_before).isNull() | F.col(near_after).isNull()
+    across = Window.partitionBy(*keys, slot).orderBy(*order)
+    met = near.withColumn(slot, F.when(~at_border, F.xxhash64(RANGE, *keys, *order))).select(
+        "*", F.lag(before).over(across).alias(far_before), F.lead(after).over(across).alias(far_after)
     )
     return met.select(
         *[F.col(f"`{name}`") for name in df.columns],
-        *[F.coalesce("_before", "_range_before")[out].alias(out) for out in previous],
-        *[F.coalesce("_after", "_range_after")[out].alias(out) for out in following],
+        *[F.coalesce(near_before, far_before)[out].alias(out) for out in previous],
+        *[F.coalesce(near_after, far_after)[out].alias(out) for out in following],
     )
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    taken, found = {column.lower() for column in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def with_neighbours(
     df: DataFrame,
     keys: list[str],
@@ -76,14 +88,15 @@ def with_previous_value(
     blocks and are written out again at the end, where only the first one looks back.
     """
     columns = [F.col(f"`{name}`") for name in df.columns]
+    copies, block, found, copy = free_names(df, "_copies", "_block", "_found", "_copy")
     rest = sorted(name for name in df.columns if name not in (key, sequence, value))
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    last_block = F.floor((F.col("_copies") - 1) / copies_per_block)
-    blocks = counted.select(*columns, "_copies", F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_block"))
-    found = with_neighbours(blocks, [key], [sequence, value, *rest, "_block"], {"_found": value})
-    here = F.least(F.lit(copies_per_block).cast("long"), F.col("_copies") - F.col("_block") * copies_per_block)
-    rows = found.select(*columns, "_found", F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("_copy"))
-    return rows.select(*columns, F.when(F.col("_copy") == 1, F.col("_found")).otherwise(F.col(value)).alias(into))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
+    last_block = F.floor((F.col(copies) - 1) / copies_per_block)
+    blocks = counted.select(*columns, copies, F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias(block))
+    looked = with_neighbours(blocks, [key], [sequence, value, *rest, block], {found: value})
+    here = F.least(F.lit(copies_per_block).cast("long"), F.col(copies) - F.col(block) * copies_per_block)
+    rows = looked.select(*columns, found, F.explode(F.sequence(F.lit(1).cast("long"), here)).alias(copy))
+    return rows.select(*columns, F.when(F.col(copy) == 1, F.col(found)).otherwise(F.col(value)).alias(into))
 
 
 def _row(sources: dict[str, str]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.plans import dimensions
+from tillmark.plans.fact import FACT_SCHEMA
 from tillmark.sources.raw_files import source_root
 from tillmark.sources.tables import latest, read_table, read_table_stream, write_table
 from tillmark.streaming import daily, distinct, facts, history, ingest
@@ -20,7 +21,7 @@ def daily_run(spark: SparkSession, root: str | None, tables: str, checkpoints: s
     Only the calendar and the retailers, a few rows, are written whole.
     """
     raw = ingest.ingest_all(spark, root or source_root(spark), tables, checkpoints)
-    fact_path, schema = f"{tables}/fact_price", facts.fact_schema(spark)
+    fact_path, schema = f"{tables}/fact_price", FACT_SCHEMA
     facts.run_fact(spark, raw, fact_path, f"{checkpoints}/fact_price")
     facts.run_quarantine(spark, fact_path, f"{tables}/fact_price_quarantine", f"{checkpoints}/fact_price_quarantine")
     spec = dimensions.PRODUCT_HISTORY

@@ -15,7 +15,7 @@ from tillmark.operators import quality
 from tillmark.operators.history import HistorySpec, scd2
 from tillmark.plans import dimensions, marts
 from tillmark.plans.conform import conform, conform_all
-from tillmark.plans.fact import fact_price, fact_price_quarantine
+from tillmark.plans.fact import FACT_SCHEMA, fact_price, fact_price_quarantine
 from tillmark.registered import inputs
 from tillmark.session import work_folder
 from tillmark.sources import landing
@@ -268,22 +268,23 @@ def fact_price_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _write_csv(inputs.feed_text(rows, feed, "day as date"), f"{work}/in/{feed.folder}")
     raw = ingest.ingest_all(spark, f"{work}/in", f"{work}/tables", f"{work}/checkpoints")
     streamed.run_fact(spark, raw, f"{work}/fact", f"{work}/checkpoints/fact")
-    fact = read_table(spark, f"{work}/fact", streamed.fact_schema(spark))
+    fact = read_table(spark, f"{work}/fact", FACT_SCHEMA)
     return fact.drop("_ingest_ts", "_source_file")
 
 
-def _in_two_runs(rows: DataFrame, later: str, table: str, run: Callable[[], object]) -> None:
-    """Store the rows for which ``later`` does not hold, run a stream over the table, then store
-    the others and run it again."""
-    comes_later = F.coalesce(F.expr(later), F.lit(False))
-    for part in (~comes_later, comes_later):
-        rows.filter(part).write.mode("append").parquet(table)
-        run()
+def _in_two_runs(rows: DataFrame, later: str, work: str, run: Callable[[str], object]) -> None:
+    """Store rows in two folders, those for which ``later`` holds in the second, and run a stream
+    over the first, then over both: it takes what it has not seen yet."""
+    comes_later = F.coalesce(F.expr(later), F.lit(False)).cast("int")
+    rows.withColumn("run", comes_later).write.partitionBy("run").parquet(f"{work}/in")
+    for folders in ("run=[0]", "run=[01]"):
+        run(f"{work}/in/{folders}")
 
 
 # The second half of the days, and products with some days of the first half that come late.
-LATER = """snapshot_date >= date'2021-05-07' or (cast(source_sku as bigint) % 20 = 0 and day(snapshot_date) % 3 = 0)
-    or (canonical_l1 = 'PROMO' and snapshot_date = date'2021-04-23')"""
+LATER = "snapshot_date >= date'2021-05-07' or (cast(source_sku as bigint) % 20 = 0 and day(snapshot_date) % 3 = 0)"
+# A category whose first day comes late as well.
+LATER_FIRST_DAY = f"{LATER} or (canonical_l1 = 'PROMO' and snapshot_date = date'2021-04-23')"
 
 
 def _event_history(rows: Callable[[SparkSession, str], DataFrame]):
@@ -291,9 +292,9 @@ def _event_history(rows: Callable[[SparkSession, str], DataFrame]):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         work, events = work_folder(spark, "event-history"), rows(spark, sf_dir)
-        where = (f"{work}/events", events.schema, f"{work}/dim", f"{work}/checkpoint", EVENT_HISTORY)
-        _in_two_runs(events, "hash(event_id) % 2 = 0", where[0], lambda: run_history(spark, *where, buckets=BUCKETS))
-        return history.current(spark, where[2], events.schema, EVENT_HISTORY)
+        where = (events.schema, f"{work}/dim", f"{work}/checkpoint", EVENT_HISTORY)
+        _in_two_runs(events, "hash(event_id) % 2 = 0", work, lambda table: run_history(spark, table, *where, buckets=BUCKETS))
+        return history.current(spark, f"{work}/dim", events.schema, EVENT_HISTORY)
 
     return query
 
@@ -301,9 +302,9 @@ def _event_history(rows: Callable[[SparkSession, str], DataFrame]):
 def dim_product_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product versions from a fact that arrives in two runs, some rows late."""
     work, facts = work_folder(spark, "product-history"), inputs.facts(spark, sf_dir)
-    where = (f"{work}/fact", facts.schema, f"{work}/dim", f"{work}/checkpoint", dimensions.PRODUCT_HISTORY)
-    _in_two_runs(facts, LATER, where[0], lambda: run_history(spark, *where, buckets=BUCKETS))
-    return history.current(spark, where[2], facts.schema, dimensions.PRODUCT_HISTORY)
+    where = (facts.schema, f"{work}/dim", f"{work}/checkpoint", dimensions.PRODUCT_HISTORY)
+    _in_two_runs(facts, LATER, work, lambda table: run_history(spark, table, *where, buckets=BUCKETS))
+    return history.current(spark, f"{work}/dim", facts.schema, dimensions.PRODUCT_HISTORY)
 
 
 def _daily_streamed(rows: Callable[[SparkSession, str], DataFrame]):
@@ -311,9 +312,9 @@ def _daily_streamed(rows: Callable[[SparkSession, str], DataFrame]):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         work, facts = work_folder(spark, "daily"), rows(spark, sf_dir)
-        where = (f"{work}/fact", facts.schema, f"{work}/daily", f"{work}/checkpoint")
-        _in_two_runs(facts, LATER, where[0], lambda: daily.run_daily(spark, *where, buckets=BUCKETS))
-        return daily.current(spark, where[2], facts.schema)
+        where = (facts.schema, f"{work}/daily", f"{work}/checkpoint")
+        _in_two_runs(facts, LATER, work, lambda table: daily.run_daily(spark, table, *where, buckets=BUCKETS))
+        return daily.current(spark, f"{work}/daily", facts.schema)
 
     return query
 
@@ -323,9 +324,9 @@ def _mart_streamed(mart: kept.KeptMart):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         work, facts = work_folder(spark, "mart"), inputs.facts(spark, sf_dir).select(*MART_INPUTS)
-        where = (f"{work}/fact", facts.schema, f"{work}/mart", f"{work}/checkpoint")
-        _in_two_runs(facts, LATER, where[0], lambda: kept.run_mart(spark, mart, *where))
-        return kept.current(spark, mart, where[2], facts.schema)
+        where = (facts.schema, f"{work}/mart", f"{work}/checkpoint")
+        _in_two_runs(facts, LATER_FIRST_DAY, work, lambda table: kept.run_mart(spark, mart, table, *where))
+        return kept.current(spark, mart, f"{work}/mart", facts.schema)
 
     return query
 

@@ -46,7 +46,7 @@ def bring_up_to_date(batch: DataFrame, daily: str, number: int, buckets: int = B
     spark, part = batch.sparkSession, parted.bucket([KEY], buckets)
     rows, lasts, late = (f"{daily}/{name}" for name in ("rows", "last", "late"))
     fresh = daily_inputs(trusted(batch))
-    schema = stored_schema(batch)
+    schema = stored_schema(batch.schema)
     last_schema = T.StructType([schema[name] for name in (KEY, DAY, PRICE)])
     touched = [row[0] for row in fresh.select(part.alias("part")).distinct().collect()]  # one per bucket at most
 
@@ -73,12 +73,12 @@ def bring_up_to_date(batch: DataFrame, daily: str, number: int, buckets: int = B
         parted.tidy(spark, path, number)
 
 
-def stored_schema(fact: DataFrame) -> T.StructType:
+def stored_schema(fact: T.StructType) -> T.StructType:
     """Columns of the daily fact, and the source file, which orders rows that are otherwise alike."""
-    empty = fact.sparkSession.createDataFrame([], fact.schema)
-    return with_daily_columns(looked_back(daily_inputs(empty))).schema
+    own = {"retailer_sk": T.StringType(), "date_sk": T.IntegerType(), "price_change_pct": T.DoubleType(), "prev_day_price": fact[PRICE].dataType}
+    names = (*DAILY_COLUMNS, "_source_file")
+    return T.StructType([T.StructField(name, own[name] if name in own else fact[name].dataType) for name in names])
 
 
 def current(spark: SparkSession, daily: str, fact_schema: T.StructType) -> DataFrame:
-    schema = stored_schema(spark.createDataFrame([], fact_schema))
-    return parted.read(spark, f"{daily}/rows", schema).select(*DAILY_COLUMNS)
+    return parted.read(spark, f"{daily}/rows", stored_schema(fact_schema)).select(*DAILY_COLUMNS)

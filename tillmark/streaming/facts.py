@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.operators.quality import quarantined
 from tillmark.plans.conform import conform_all
-from tillmark.plans.fact import fact_price
+from tillmark.plans.fact import FACT_SCHEMA, fact_price
 from tillmark.sources.feeds import FEEDS
 from tillmark.sources.tables import read_table_stream
 from tillmark.streaming.ingest import raw_stream
@@ -17,11 +16,6 @@ from tillmark.streaming.runs import run_append
 DAY = "snapshot_date"
 
 
-def fact_schema(spark: SparkSession) -> T.StructType:
-    empty = [(feed, spark.createDataFrame([], feed.stored_schema())) for feed in FEEDS]
-    return fact_price(conform_all(empty)).schema
-
-
 def run_fact(spark: SparkSession, raw: dict[str, str], fact: str, checkpoint: str) -> StreamingQuery:
     """Append what is new in the raw tables to the fact; counts of missed expectations are
     in the query's progress."""
@@ -30,5 +24,5 @@ def run_fact(spark: SparkSession, raw: dict[str, str], fact: str, checkpoint: st
 
 
 def run_quarantine(spark: SparkSession, fact: str, quarantine: str, checkpoint: str) -> StreamingQuery:
-    rows = read_table_stream(spark, fact, fact_schema(spark))
+    rows = read_table_stream(spark, fact, FACT_SCHEMA)
     return run_append(quarantined(rows), quarantine, checkpoint, partition_by=DAY)

@@ -66,17 +66,15 @@ def bring_up_to_date(batch: DataFrame, history: str, number: int, spec: HistoryS
     # share a bucket with the batch but have no row in it come out as they are
     carried = still_open.select(*kept, F.col(START).alias("_start"))
     added = fresh.withColumn("_start", F.lit(None).cast(known[spec.sequence].dataType))
-    both = carried.unionByName(added)
-    if not back:
-        changed = versions(both, spec, "_start")
-    else:
-        closed = parted.read(spark, stored, schema, number, [f"{name}-closed" for name in back])
+    rows = carried.unionByName(added)
+    if back:
         again = of_keys(parted.read(spark, seen, known, number + 1, back), named, keys)
-        changed = (
-            versions(of_keys(both, named, keys, inside=False), spec, "_start")
-            .unionByName(versions(observations(again, spec, kept), spec))
-            .unionByName(of_keys(closed, named, keys, inside=False))
-        )
+        again = observations(again, spec, kept).withColumn("_start", F.lit(None).cast(known[spec.sequence].dataType))
+        rows = of_keys(rows, named, keys, inside=False).unionByName(again)
+    changed = versions(rows, spec, "_start")
+    if back:
+        closed = parted.read(spark, stored, schema, number, [f"{name}-closed" for name in back])
+        changed = changed.unionByName(of_keys(closed, named, keys, inside=False))
     adds = F.when(part.isin(back), F.lit("-closed")).otherwise(F.lit(f"-closed{parted.MORE}"))
     where = F.concat(part, F.when(F.col(END).isNull(), F.lit("-open")).otherwise(adds))
     parted.store(changed.select(*schema.names), stored, number, where)
