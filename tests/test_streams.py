@@ -9,12 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_ordered import DAY, HISTORY_SCHEMA, SPEC, brute_history, history_rows, multiset
+from tillmark.operators.quality import FACT_EXPECTATIONS
 from tillmark.plans.daily import daily_run
-from tillmark.plans.fact import FACT_SCHEMA
 from tillmark.session import work_folder
 from tillmark.sources import landing, raw_files, tables
 from tillmark.sources.feeds import ALDI, COLES, FEEDS, column_or_null, stored_name, with_stored_names
 from tillmark.streaming import distinct, facts, history, ingest
+from tillmark.streaming.checked import expectation_log, store_checked
 
 COLES_HEADER = ",".join(COLES.headers)
 
@@ -77,13 +78,30 @@ def test_missing_feeds_and_expectation_counts(spark, tmp_path):
     body = coles_row("d", 1, 2.5) + coles_row("d", 2, "") + coles_row("d", 3, 4, name=" ") + coles_row("d", 4, 4, category="liquor")
     put(tmp_path, "in/coles/date=2021-04-23/c.csv", COLES_HEADER + "\n" + body)
     raw = ingest.ingest_all(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/c")
-    query = facts.run_fact(spark, raw, f"{tmp_path}/t/fact", f"{tmp_path}/c/fact")
-    seen = [p["observedMetrics"] for p in query.recentProgress if p["observedMetrics"]]
-    assert sum(m["dropped"]["rows"] for m in seen) == 3 and sum(m["dropped"]["rows_dropped"] for m in seen) == 2
-    assert sum(m["expectations"]["rows"] for m in seen) == 1
-    assert sum(m["expectations"]["has_product_name_failed"] for m in seen) == 0
-    fact = tables.read_table(spark, f"{tmp_path}/t/fact", FACT_SCHEMA)
-    assert [r.source_sku for r in fact.collect()] == ["1"]
+    for _ in range(2):  # nothing new the second time
+        facts.run_fact(spark, raw, f"{tmp_path}/t/fact", f"{tmp_path}/c/fact")
+    counts = {(row.batch, row.expectation): (row.on_fail, row.passed, row.failed) for row in expectation_log(spark, f"{tmp_path}/t/fact_log").collect()}
+    assert counts == {
+        (0, "drop_rules"): ("drop", 1, 2), (0, "valid_retailer"): ("drop", 1, 0), (0, "has_product_name"): ("drop", 1, 0),
+        (0, "price_present_or_unavailable"): ("warn", 1, 0),
+    }
+    assert [r.source_sku for r in facts.fact_table(spark, f"{tmp_path}/t/fact").collect()] == ["1"]
+    assert facts.fact_table(spark, f"{tmp_path}/t/fact", ["2021-04-24"]).count() == 0
+
+
+def test_a_batch_adds_one_file_per_date(spark, tmp_path):
+    rows = spark.range(3_000).selectExpr("date_add(date'2021-04-23', cast(id % 5 as int)) as day", "id").repartition(7)
+
+    def judged(batch, seen, dropped):
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.lit(0).alias(f"{e.name}_failed") for e in FACT_EXPECTATIONS])
+        return counted.observe(dropped, F.count(F.lit(1)).alias("rows"), F.lit(0).alias("rows_dropped"))
+
+    for number in (0, 1, 1):
+        store_checked(rows, judged, "day", f"{tmp_path}/t", f"{tmp_path}/log", number)
+    for number in (0, 1):
+        written = [p.parent.name for p in (tmp_path / "t" / f"v={number}").rglob("*.parquet")]
+        assert sorted(written) == [f"_part=2021-04-{day}+" for day in range(23, 28)]
+    assert expectation_log(spark, f"{tmp_path}/log").groupBy("batch").count().count() == 2
 
 
 def test_reset_starts_a_stream_over(spark, tmp_path):

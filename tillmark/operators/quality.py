@@ -168,3 +168,18 @@ def expectation_report(df: DataFrame, expectations: tuple[Expectation, ...] = FA
         for e in expectations
     ]
     return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
+COUNTS = "expectation string, on_fail string, passed long, failed long"
+DROP_RULES = "drop_rules"
+
+
+def observed_counts(
+    seen: dict[str, int], dropped: dict[str, int] | None = None, expectations: tuple[Expectation, ...] = FACT_EXPECTATIONS
+) -> list[tuple]:
+    """What ``expect``, and ``without_dropped``, have counted, as rows of ``COUNTS``."""
+    rows = [(DROP_RULES, "drop", dropped["rows"] - dropped["rows_dropped"], dropped["rows_dropped"])] if dropped else []
+    for one in expectations:
+        failed = seen[f"{one.name}_failed"]
+        rows.append((one.name, "drop" if one.drops else "warn", seen["rows"] - failed, failed))
+    return rows

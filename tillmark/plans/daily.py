@@ -10,6 +10,7 @@ from tillmark.sources.raw_files import source_root
 from tillmark.sources.tables import latest, read_table, read_table_stream, write_table
 from tillmark.streaming import daily, distinct, facts, history, ingest
 from tillmark.streaming import marts as kept
+from tillmark.streaming.checked import expectation_log
 
 
 def daily_run(spark: SparkSession, root: str | None, tables: str, checkpoints: str) -> dict[str, DataFrame]:
@@ -33,11 +34,12 @@ def daily_run(spark: SparkSession, root: str | None, tables: str, checkpoints: s
     for name, mart in kept.KEPT_MARTS.items():
         kept.run_mart(spark, mart, fact_path, schema, f"{tables}/{name}", f"{checkpoints}/{name}")
 
-    fact = read_table(spark, fact_path, schema)
+    fact = facts.fact_table(spark, fact_path)
     small = {"dim_retailer": dimensions.dim_retailer(spark), "dim_date": dimensions.dim_date(fact)}
     marts = {name: kept.current(spark, mart, f"{tables}/{name}", schema) for name, mart in kept.KEPT_MARTS.items()}
     return marts | {name: write_table(df, f"{tables}/{name}") for name, df in small.items()} | {
         "fact_price": fact,
+        "expectation_log": expectation_log(spark, f"{fact_path}_log"),
         "fact_price_quarantine": read_table(spark, f"{tables}/fact_price_quarantine", schema),
         "fact_price_daily": daily.current(spark, f"{tables}/fact_price_daily", schema),
         "dim_product": history.current(spark, f"{tables}/dim_product", schema, spec),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import types as T
 
 from tillmark.functions.keys import hash_key
@@ -39,13 +39,16 @@ def with_keys(df: DataFrame) -> DataFrame:
     )
 
 
-def fact_price(conformed: DataFrame, into: str = "expectations") -> DataFrame:
+def fact_price(
+    conformed: DataFrame, into: Observation | str = "expectations", dropped: Observation | str | None = None
+) -> DataFrame:
     """Conformed rows that no rule drops, each with its verdict and keys. Batch or stream.
 
-    ``into`` names the counts of the expectations; those of dropped rows are named after it, so
-    that two facts with different names can stand in one query.
+    ``into`` receives the counts of the expectations, ``dropped`` those of dropped rows; without
+    a name of their own these are named after ``into``, so that two facts can stand in one query.
     """
-    dropped = "dropped" if into == "expectations" else f"{into}_dropped"
+    if dropped is None:
+        dropped = "dropped" if not isinstance(into, str) or into == "expectations" else f"{into}_dropped"
     kept = quality.classify(quality.without_dropped(conformed, into=dropped))
     return quality.expect(with_keys(quality.flag_quarantined(kept)), into=into)
 

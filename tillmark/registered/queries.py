@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions import keys, lists, numbers, text
@@ -15,20 +16,23 @@ from tillmark.operators import quality
 from tillmark.operators.history import HistorySpec, scd2
 from tillmark.plans import dimensions, marts
 from tillmark.plans.conform import conform, conform_all
-from tillmark.plans.fact import FACT_SCHEMA, fact_price, fact_price_quarantine
+from tillmark.plans.fact import fact_price, fact_price_quarantine
 from tillmark.registered import inputs
 from tillmark.session import work_folder
-from tillmark.sources import landing
+from tillmark.sources import landing, parted
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec
 from tillmark.sources.raw_files import list_files, read_feed
-from tillmark.sources.tables import latest, read_table
+from tillmark.sources.tables import latest, read_table_stream
 from tillmark.streaming import daily, history, ingest
 from tillmark.streaming import facts as streamed
 from tillmark.streaming import marts as kept
+from tillmark.streaming.checked import expectation_log, store_checked
 from tillmark.streaming.distinct import run_distinct
 from tillmark.streaming.history import run_history
+from tillmark.streaming.runs import run_batches
 
 LINE = ("l_orderkey", "l_linenumber")
+DAY = date(2021, 4, 23)
 # Parts of the bucketed tables: the test tables are small.
 BUCKETS = 16
 MART_INPUTS = (
@@ -191,7 +195,29 @@ def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.expectation_report(_unchecked(spark, sf_dir))
+    """What ``expect`` counts while it drops."""
+    seen = Observation("expectations")
+    quality.expect(_unchecked(spark, sf_dir), into=seen).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(quality.observed_counts(seen.get), quality.COUNTS)
+
+
+def expectation_log_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows stored in two batches, with the counts that the log holds of both."""
+    work, rows = work_folder(spark, "expectations"), _unchecked(spark, sf_dir).withColumn("day", F.lit(DAY))
+
+    def judged(batch: DataFrame, seen: Observation, dropped: Observation) -> DataFrame:
+        return quality.expect(quality.without_dropped(batch, into=dropped), into=seen)
+
+    def run(table: str) -> None:
+        stream = read_table_stream(spark, table, rows.schema)
+        run_batches(stream, lambda batch, number: store_checked(batch, judged, "day", f"{work}/kept", f"{work}/log", number), f"{work}/c")
+
+    _in_two_runs(rows, "l_linenumber > 3", work, run)
+    stored = parted.read(spark, f"{work}/kept", rows.schema).agg(F.count(F.lit(1)).alias("n_stored"))
+    counts = expectation_log(spark, f"{work}/log").groupBy("expectation", "on_fail").agg(
+        F.count(F.lit(1)).alias("n_batches"), F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
+    )
+    return counts.crossJoin(F.broadcast(stored))
 
 
 # ---- marts ---------------------------------------------------------------------------
@@ -254,9 +280,17 @@ def rescued_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{work_folder(spark, 'rescued')}/aldi"
     more = ("p_brand as Colour", "l_linenumber", "day as date")
     rows = inputs.feed_text(inputs.observations(spark, sf_dir), ALDI, *more)
-    usual, other = rows.filter("l_linenumber % 2 = 0"), rows.filter("l_linenumber % 2 = 1")
+    usual, other = rows.filter("l_linenumber % 2 = 0"), rows.filter("l_linenumber in (1, 3, 5)")
     _write_csv(usual.drop("Colour", "l_linenumber"), f"{folder}/usual")
     _write_csv(other.select("Product Page", "Colour", "Product", "date"), f"{folder}/other")
+    # lines of their own making: two cells too many, one too few, or as many as the header
+    ragged = rows.filter("l_linenumber = 7").selectExpr(
+        """case length(Product) % 3 when 0 then concat_ws(',', `Product Page`, Colour, Product, 'x y', length(Product))
+        when 1 then concat_ws(',', `Product Page`, Colour) else concat_ws(',', `Product Page`, Colour, Product) end
+        as `Product Page,Colour,Product`""",
+        "date",
+    )
+    ragged.write.partitionBy("date").option("header", "true").option("sep", "\u0001").csv(f"{folder}/ragged")
     raw = read_feed(spark, ALDI, list_files(spark, folder))
     return raw.select("Product", "Product_Page", "Sub_Category", "_rescued_data", "_snapshot_date")
 
@@ -268,7 +302,7 @@ def fact_price_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _write_csv(inputs.feed_text(rows, feed, "day as date"), f"{work}/in/{feed.folder}")
     raw = ingest.ingest_all(spark, f"{work}/in", f"{work}/tables", f"{work}/checkpoints")
     streamed.run_fact(spark, raw, f"{work}/fact", f"{work}/checkpoints/fact")
-    fact = read_table(spark, f"{work}/fact", FACT_SCHEMA)
+    fact = streamed.fact_table(spark, f"{work}/fact")
     return fact.drop("_ingest_ts", "_source_file")
 
 
@@ -377,6 +411,7 @@ QUERIES = {
     "dq_classified": dq_classified,
     "dq_quarantine": dq_quarantine,
     "expectation_metrics": expectation_metrics,
+    "expectation_log_streamed": expectation_log_streamed,
     "fact_price_daily": fact_price_daily,
     "fact_price_daily_hot_keys": fact_price_daily_hot_keys,
     "mart_price_comparison": _on_daily(marts.mart_price_comparison),

@@ -251,6 +251,12 @@ _CROWDED_HISTORY = f"""select event_id, nullif(ts, {_NO_TIME}) as ts, user_id, e
       partition by user_id, ts order by event_id desc, event_type desc) as pick from crowded) where pick = 1),
     {_islands("best", "user_id", "ts", "event_type", "event_id, ts, user_id, event_type")})"""
 
+_EXPECTATIONS = (
+    ("valid_retailer", "drop", "retailer in ('Aldi', 'Coles', 'IGA', 'Woolworths')"),
+    ("has_product_name", "drop", "product_name <> ''"),
+    ("price_present_or_unavailable", "warn", "(price_aud is not null or availability = 'unavailable')"),
+)
+
 SQL = {
     "unit_price_normalised": f"with {_OBS} select l_orderkey, l_linenumber, {_UNIT_COLUMNS} from obs",
     "price_text_clean": f"with {_OBS} select l_orderkey, l_linenumber, {_PRICE} as price_aud from obs",
@@ -290,12 +296,20 @@ SQL = {
     "expectation_metrics": " union all ".join(
         f"""select * from ({_UNCHECKED} select '{name}' as expectation, '{on_fail}' as on_fail,
         count(*) filter (where {met}) as passed, count(*) filter (where not coalesce({met}, false)) as failed from unchecked)"""
-        for name, on_fail, met in (
-            ("valid_retailer", "drop", "retailer in ('Aldi', 'Coles', 'IGA', 'Woolworths')"),
-            ("has_product_name", "drop", "product_name <> ''"),
-            ("price_present_or_unavailable", "warn", "(price_aud is not null or availability = 'unavailable')"),
-        )
+        for name, on_fail, met in _EXPECTATIONS
     ),
+    "expectation_log_streamed": f"""{_UNCHECKED}, {_judged("unchecked")}, kept as (select * from judged where dq_action <> 'drop')
+        select expectation, on_fail, n_batches, passed, failed, (select count(*) from kept where
+          retailer in ('Aldi', 'Coles', 'IGA', 'Woolworths') and product_name <> '') as n_stored from (
+        select 'drop_rules' as expectation, 'drop' as on_fail, 2::bigint as n_batches,
+          count(*) filter (where dq_action <> 'drop') as passed, count(*) filter (where dq_action = 'drop') as failed from judged
+        """
+    + " ".join(
+        f"""union all select '{name}', '{on_fail}', 2::bigint, count(*) filter (where coalesce({met}, false)),
+        count(*) filter (where not coalesce({met}, false)) from kept"""
+        for name, on_fail, met in _EXPECTATIONS
+    )
+    + ")",
     "fact_price_daily": f"{_DAILY} select * from daily",
     "fact_price_daily_hot_keys": f"{_daily(_CROWDED_FACT, 'crowded')} select * from daily",
     "mart_price_comparison": f"""{_DAILY} select *, price_rank = 1 as is_cheapest from (select *,
@@ -336,10 +350,13 @@ SQL = {
     "event_history_scd2_streamed": EVENT_HISTORY,
     "event_type_dedup_stream": "select distinct event_type, upper(event_type) as label from events",
     "ingested_feed": f"with {_OBS} select * exclude (_source_file) from ({_feed_sql('Coles')})",
-    "rescued_columns": f"""with {_OBS} select {_NAME} as "Product", {_URL} as "Product_Page",
+    "rescued_columns": f"""with {_OBS}, named as (select *, {_NAME} as name, l_linenumber = 7 as ragged from obs)
+        select case when not (ragged and length(name) % 3 = 1) then name end as "Product", {_URL} as "Product_Page",
         case when l_linenumber % 2 = 0 then {_SLUG} end as "Sub_Category",
-        case when l_linenumber % 2 = 1 then '{{"Colour":"' || p_brand || '"}}' end as _rescued_data,
-        day as _snapshot_date from obs""",
+        case when l_linenumber % 2 = 1 then '{{"Colour":"' || p_brand || '"' ||
+          case when ragged and length(name) % 3 = 0 then ',"_c3":"x y","_c4":"' || length(name) || '"' else '' end || '}}' end
+          as _rescued_data,
+        day as _snapshot_date from named""",
     "landing_plan": f"""{_NAMES}, last as (select target, max(source) as source from placed group by all)
         select source, retailer, "date", target, case when target is null then 'cannot classify'
           when (target, source) not in (select (target, source) from last) then 'superseded' end as reason from placed""",

@@ -26,7 +26,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def read_table_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    # folders of parts only repeat what the rows hold
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
