@@ -98,6 +98,19 @@ def test_list_items(spark):
     check_steps(spark, lists.item_steps, lists.items, cases)
 
 
+def test_list_items_like_literals(spark):
+    """Escapes and numbers as a literal parser reads them."""
+    import ast
+
+    cells = [
+        r"['a\tb']", r"['caf\xe9', 'x']", r"['\u4e2d\u00e9']", r"""['a\\b', 'it\'s', "q\"q"]""", r"['\q', 'a\\tb', 'c\\']",
+        r"['a\nb', 'c']", "[1.50, +1]", "[.5, 1., -0.10, 007.5]", "[0, 00, -0, 10, 100]", "['x', 10.0, -3.1400, 1.05]",
+        "[True, None, -.25, 'y']", """['a "b" c']""", "['tab\\there']", r"['a/b\\/c']",
+    ]
+    cases = [(cell, [text for item in ast.literal_eval(cell) if (text := str(item).strip())]) for cell in cells]
+    check_steps(spark, lists.item_steps, lists.items, cases)
+
+
 def test_supplier_list_with_mixed_quotes(spark):
     items = lists.with_items(spark.createDataFrame([(SUPPLIERS,)], "cell string"), F.col("cell"), "items").first().items
     assert len(items) == 4

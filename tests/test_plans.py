@@ -69,7 +69,15 @@ def test_history_looks_share_their_ranges(fact):
     assert len(re.findall(r"\(\d+\) Exchange", plan)) == 5
 
 
-@pytest.mark.parametrize("mart", [marts.mart_availability, marts.mart_dq_scorecard, dimensions.dim_category])
+def test_categories_are_found_by_hash(fact):
+    """Only different rows are sorted, after a hash aggregate over all rows."""
+    plan = plan_of(dimensions.dim_category(fact))
+    numbered = {int(number): name for number, name in re.findall(r"^\((\d+)\) (\w+)", plan, re.M)}
+    nodes = [numbered[number] for number in sorted(numbered)]  # from the scan upwards
+    assert nodes.index("HashAggregate") < nodes.index("Exchange") < nodes.index("Sort")
+
+
+@pytest.mark.parametrize("mart", [marts.mart_availability, marts.mart_dq_scorecard])
 def test_aggregates_combine_before_the_shuffle(fact, mart):
     plan = plan_of(mart(fact))
     assert "partial_" in plan or plan.count("HashAggregate") + plan.count("SortAggregate") >= 4

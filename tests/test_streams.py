@@ -184,7 +184,20 @@ def test_distinct_stream(spark, tmp_path):
         spark.createDataFrame(rows, "k string, up string, n int").write.mode("append").parquet(table)
         stream = spark.readStream.schema("k string, up string, n int").parquet(table).select("k", "up")
         distinct.run_distinct(stream, ["k"], f"{tmp_path}/out", f"{tmp_path}/check")
-    assert multiset(tables.latest(spark, f"{tmp_path}/out")) == Counter([("a", "A"), ("b", "B"), ("c", "C")])
+    got = distinct.current(spark, f"{tmp_path}/out", spark.createDataFrame([], "k string, up string").schema)
+    assert multiset(got) == Counter([("a", "A"), ("b", "B"), ("c", "C")])
+    # every batch writes the keys that are new: two, one, none
+    sizes = [spark.read.parquet(*found).count() if (found := [str(p) for p in (tmp_path / "out" / f"v={n}").rglob("*.parquet")]) else 0 for n in range(3)]
+    assert sizes == [2, 1, 0]
+
+
+def test_new_keys_when_one_is_null_or_has_several_rows(spark, tmp_path):
+    schema = "k string, v string"
+    for number, rows in enumerate([[(None, "b"), (None, "a"), ("x", None)], [(None, "a"), ("x", "y"), ("z", "z")]]):
+        for _ in range(2):
+            distinct.add_new_keys(spark.createDataFrame(rows, schema), ["k"], f"{tmp_path}/t", number)
+    got = distinct.current(spark, f"{tmp_path}/t", spark.createDataFrame([], schema).schema)
+    assert multiset(got) == Counter([(None, "a"), ("x", None), ("z", "z")])
 
 
 def test_catalogue_table(spark):

@@ -16,10 +16,13 @@ from tillmark.functions import fixed_values as fixed
 from tillmark.functions.staged import Steps, staged
 from tillmark.functions.text import is_empty, strip
 
-_SEP = "\u0001"
-_SINGLE = r"'([^'\\]*+(?:\\.[^'\\]*+)*+)'"
-_DOUBLE = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
-_BARE = r"([+-]?\d+(?:\.\d*)?|[+-]?\.\d+|None|True|False)"
+# Marks that no cell holds: after an item, before a number, for a backslash.
+_SEP, _NUMBER, _BACKSLASH = "\u0001", "\u0002", "\u0003"
+# A backslash and what may follow it; other spellings of characters make the cell no list.
+_ESCAPE = r"\\(?:x[0-9A-Fa-f]{2}|u[0-9A-Fa-f]{4}|[^xuUN0-7])"
+_SINGLE = rf"'([^'\\]*+(?:{_ESCAPE}[^'\\]*+)*+)'"
+_DOUBLE = rf'"([^"\\]*+(?:{_ESCAPE}[^"\\]*+)*+)"'
+_BARE = r"([+-]?(?:0+|[1-9]\d*|\d+\.\d*|\.\d+)|None|True|False)"
 _ITEM = rf"(?s)\G\s*(?:{_SINGLE}|{_DOUBLE}|{_BARE})\s*(?:,|$)"
 _QUOTED_COMMA = r"""['"],\s*['"]"""
 _QUOTES = " '\""
@@ -95,7 +98,22 @@ def _joined(text: Column) -> Column:
     """Items with separators; NULL when the cell has no brackets."""
     bracketed = (text.startswith("[") & text.endswith("]")) | (text.startswith("(") & text.endswith(")"))
     inner = F.substring(text, F.lit(2), F.length(text) - 2)
-    return F.when(bracketed, F.regexp_replace(inner, _ITEM, f"$1$2$3{_SEP}"))
+    found = F.regexp_replace(inner, _ITEM, f"$1$2{_NUMBER}$3{_SEP}")
+    return F.when(bracketed, F.when(found.rlike(f"{_NUMBER}[^{_SEP}]"), _plain_numbers(found)).otherwise(F.replace(found, F.lit(_NUMBER), F.lit(""))))
+
+
+def _plain_numbers(found: Column) -> Column:
+    """Numbers, which a mark precedes, the way they are printed: no plus sign, a digit on both
+    sides of the point, no zeros at the end."""
+    steps = [
+        (f"{_NUMBER}\\+", _NUMBER),
+        (f"{_NUMBER}-?0+{_SEP}", f"{_NUMBER}0{_SEP}"),
+        (f"{_NUMBER}(-?)0*(\\d*)\\.(\\d*?)0*{_SEP}", f"{_NUMBER}$10$2.$30{_SEP}"),
+        (f"{_NUMBER}(-?)0([1-9]\\d*\\.)", f"{_NUMBER}$1$2"),
+        (f"{_NUMBER}(-?\\d+\\.\\d*[1-9])0{_SEP}", f"{_NUMBER}$1{_SEP}"),
+    ]
+    plain = reduce(lambda text, step: F.regexp_replace(text, *step), steps, found)
+    return F.replace(plain, F.lit(_NUMBER), F.lit(""))
 
 
 def _complete(joined: Column) -> Column:
@@ -104,4 +122,18 @@ def _complete(joined: Column) -> Column:
 
 
 def _unescaped(joined: Column) -> Column:
-    return F.when(joined.contains("\\"), F.regexp_replace(joined, r"(?s)\\(.)", "$1")).otherwise(joined)
+    """Escapes as the characters they stand for. Backslashes that stand for themselves are set
+    aside, the others spelled as in JSON, which then reads them all."""
+    kept = F.replace(joined, F.lit("\\\\"), F.lit(_BACKSLASH))
+    steps = [
+        (r"\\\n", ""),
+        (r"\\(['\"])", "$1"),
+        (r"\\a", r"\\u0007"),
+        (r"\\v", r"\\u000b"),
+        (r"\\x", r"\\u00"),
+        (r"\\(?![bfnrtu])", _BACKSLASH),
+    ]
+    spelled = reduce(lambda text, step: F.regexp_replace(text, *step), steps, kept)
+    spelled = F.replace(F.replace(spelled, F.lit('"'), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    read = F.from_json(F.concat(F.lit('["'), spelled, F.lit('"]')), "array<string>", {"allowUnquotedControlChars": "true"})
+    return F.when(joined.contains("\\"), F.coalesce(F.get(read, F.lit(0)), joined)).otherwise(joined)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillmark.plans import dimensions
 from tillmark.plans.fact import FACT_SCHEMA
 from tillmark.sources.raw_files import source_root
-from tillmark.sources.tables import latest, read_table, read_table_stream, write_table
+from tillmark.sources.tables import read_table, read_table_stream, write_table
 from tillmark.streaming import daily, distinct, facts, history, ingest
 from tillmark.streaming import marts as kept
 from tillmark.streaming.checked import expectation_log
@@ -43,5 +43,5 @@ def daily_run(spark: SparkSession, root: str | None, tables: str, checkpoints: s
         "fact_price_quarantine": read_table(spark, f"{tables}/fact_price_quarantine", schema),
         "fact_price_daily": daily.current(spark, f"{tables}/fact_price_daily", schema),
         "dim_product": history.current(spark, f"{tables}/dim_product", schema, spec),
-        "dim_category": latest(spark, f"{tables}/dim_category"),
+        "dim_category": distinct.current(spark, f"{tables}/dim_category", fact.select(*dimensions.CATEGORY).schema),
     }

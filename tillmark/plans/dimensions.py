@@ -25,9 +25,21 @@ def dim_product(fact: DataFrame) -> DataFrame:
     return scd2(fact, PRODUCT_HISTORY)
 
 
+CATEGORY = ("category_sk", "canonical_l1", "canonical_l2")
+
+
 def dim_category(fact: DataFrame) -> DataFrame:
-    """One row per category; copies are dropped within each partition before the shuffle."""
-    return fact.select("category_sk", "canonical_l1", "canonical_l2").dropDuplicates(["category_sk"])
+    """One row per category."""
+    return one_per_key(fact.select(*CATEGORY), ["category_sk"])
+
+
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One of the rows of each key. Copies go first, by a hash aggregate that combines before the
+    shuffle, so only the different rows of a key are compared; of those the least is taken."""
+    rest = [name for name in rows.columns if name not in keys]
+    least = F.min(F.struct(*rest)).alias("_least") if rest else F.count(F.lit(1)).alias("_least")
+    chosen = rows.distinct().groupBy(*keys).agg(least)
+    return chosen.select(*[F.col(name) if name in keys else F.col(f"_least.{name}").alias(name) for name in rows.columns])
 
 
 def dim_retailer(spark: SparkSession) -> DataFrame:

@@ -22,8 +22,8 @@ from tillmark.session import work_folder
 from tillmark.sources import landing, parted
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec
 from tillmark.sources.raw_files import list_files, read_feed
-from tillmark.sources.tables import latest, read_table_stream
-from tillmark.streaming import daily, history, ingest
+from tillmark.sources.tables import read_table_stream
+from tillmark.streaming import daily, distinct, history, ingest
 from tillmark.streaming import facts as streamed
 from tillmark.streaming import marts as kept
 from tillmark.streaming.checked import expectation_log, store_checked
@@ -372,7 +372,20 @@ def event_type_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     types = events.select("event_type", F.upper("event_type").alias("label"))
     run_distinct(types, ["event_type"], f"{work}/types", f"{work}/checkpoint")
-    return latest(spark, f"{work}/types")
+    return distinct.current(spark, f"{work}/types", types.schema)
+
+
+def dim_category_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories of a fact that arrives in two runs; the second adds only new ones."""
+    work = work_folder(spark, "categories")
+    rows = inputs.facts(spark, sf_dir).select(*dimensions.CATEGORY, "source_sku", "snapshot_date")
+
+    def run(table: str) -> None:
+        stream = read_table_stream(spark, table, rows.schema)
+        distinct.run_categories(stream, f"{work}/dim", f"{work}/checkpoint")
+
+    _in_two_runs(rows, f"{LATER} or canonical_l1 = 'PROMO'", work, run)
+    return distinct.current(spark, f"{work}/dim", rows.select(*dimensions.CATEGORY).schema)
 
 
 def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,6 +445,7 @@ QUERIES = {
     "fact_price_daily_streamed_hot_keys": _daily_streamed(inputs.crowded_facts),
     **{f"{name}_streamed": _mart_streamed(mart) for name, mart in kept.KEPT_MARTS.items()},
     "event_type_dedup_stream": event_type_dedup_stream,
+    "dim_category_streamed": dim_category_streamed,
     "ingested_feed": ingested_feed,
     "rescued_columns": rescued_columns,
     "fact_price_streamed": fact_price_streamed,

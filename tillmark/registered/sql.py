@@ -363,7 +363,7 @@ SQL = {
     "landing_rejects": f"""{_NAMES} select source, retailer, "date" from placed where target is null""",
 }
 for _name in (
-    "dim_product_scd2", "fact_price_daily", "mart_price_comparison", "mart_specials_penetration", "mart_category_price_index",
+    "dim_product_scd2", "dim_category", "fact_price_daily", "mart_price_comparison", "mart_specials_penetration", "mart_category_price_index",
     "mart_availability", "mart_dq_scorecard",
 ):
     SQL[f"{_name}_streamed"] = SQL[_name]

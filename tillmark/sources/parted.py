@@ -32,6 +32,11 @@ def date_part(column: str) -> Column:
     return F.coalesce(F.date_format(column, "yyyy-MM-dd"), F.lit(NO_DATE))
 
 
+def parts_of(df: DataFrame, part: Column) -> list[str]:
+    """The parts that rows belong to: as many as buckets or dates, not as rows."""
+    return sorted(row[0] for row in df.select(part.alias(PART)).distinct().collect())
+
+
 def store(df: DataFrame, path: str, version: int, part: Column) -> list[str]:
     """Write the rows as one version, each to its part; returns the parts written."""
     rows = df.withColumn(PART, part)

@@ -48,7 +48,7 @@ def bring_up_to_date(batch: DataFrame, daily: str, number: int, buckets: int = B
     fresh = daily_inputs(trusted(batch))
     schema = stored_schema(batch.schema)
     last_schema = T.StructType([schema[name] for name in (KEY, DAY, PRICE)])
-    touched = [row[0] for row in fresh.select(part.alias("part")).distinct().collect()]  # one per bucket at most
+    touched = parted.parts_of(fresh, part)
 
     last = parted.read(spark, lasts, last_schema, number, touched)
     back = parted.store(late_keys(fresh, last, [KEY], DAY), late, number, part)
