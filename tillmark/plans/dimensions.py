@@ -37,8 +37,11 @@ def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One of the rows of each key. Copies go first, by a hash aggregate that combines before the
     shuffle, so only the different rows of a key are compared; of those the least is taken."""
     rest = [name for name in rows.columns if name not in keys]
-    least = F.min(F.struct(*rest)).alias("_least") if rest else F.count(F.lit(1)).alias("_least")
-    chosen = rows.distinct().groupBy(*keys).agg(least)
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    if not rest:
+        return counted.select(*rows.columns)
+    # the sum keeps the optimizer from dropping the first aggregate, which a minimum does not need
+    chosen = counted.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least"), F.sum("_rows").alias("_rows")).where("_rows > 0")
     return chosen.select(*[F.col(name) if name in keys else F.col(f"_least.{name}").alias(name) for name in rows.columns])
 
 
