@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from tillmark.plans.conform import conform, conform_all
 from tillmark.plans.fact import fact_price, fact_price_quarantine
 from tillmark.registered import inputs
 from tillmark.session import work_folder
-from tillmark.sources import landing, parted
-from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec
+from tillmark.sources import landing, parted, types
+from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec, stored_name
 from tillmark.sources.raw_files import list_files, read_feed
 from tillmark.sources.tables import read_table_stream
 from tillmark.streaming import daily, distinct, history, ingest
@@ -275,6 +276,33 @@ def ingested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(ingest.raw_table(spark, COLES, f"{work}/raw"), COLES).drop("_ingest_ts", "_source_file")
 
 
+def inferred_feed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types that the cells of every feed's columns allow."""
+    masks = [
+        types.type_masks(inputs.feed_text(rows, feed), [header for header in feed.headers if header != "Date"])
+        .withColumn("feed", F.lit(feed.folder))
+        for feed, rows in inputs.by_feed(inputs.observations(spark, sf_dir))
+    ]
+    return types.merged_types(reduce(DataFrame.unionByName, masks), ("feed",))
+
+
+def typed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed in the types learned from a first delivery; later cells that do not fit are rescued."""
+    work = work_folder(spark, "typed")
+    rows = inputs.feed_text(inputs.observations(spark, sf_dir), COLES, *LINE)
+    renamed = rows.select(*[F.col(f"`{name}`").alias(stored_name(name)) for name in rows.columns])
+    columns = [name for name in renamed.columns if name not in LINE]
+    types.learn(renamed.filter("l_linenumber <= 3").withColumn("_source_file", F.lit("first")), columns, f"{work}/types", 0)
+    odd = renamed.withColumns(
+        {
+            "SKU": F.expr("case when l_linenumber = 7 then concat('X', SKU) else SKU end"),
+            "On_Special": F.expr("case when l_linenumber = 6 then '' when l_linenumber = 7 then 'maybe' else On_Special end"),
+        }
+    )
+    found = types.typed(odd, types.learned(spark, f"{work}/types"))
+    return found.select(*LINE, "SKU", "Previous_Price", "On_Special", "Brand", "_rescued_data")
+
+
 def rescued_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two file layouts of one feed; what the feed does not know is rescued as JSON."""
     folder = f"{work_folder(spark, 'rescued')}/aldi"
@@ -370,9 +398,9 @@ def event_type_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "events").schema
     # a pattern finds the table whether it is one file or a folder of files
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    types = events.select("event_type", F.upper("event_type").alias("label"))
-    run_distinct(types, ["event_type"], f"{work}/types", f"{work}/checkpoint")
-    return distinct.current(spark, f"{work}/types", types.schema)
+    labels = events.select("event_type", F.upper("event_type").alias("label"))
+    run_distinct(labels, ["event_type"], f"{work}/types", f"{work}/checkpoint")
+    return distinct.current(spark, f"{work}/types", labels.schema)
 
 
 def dim_category_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,6 +475,8 @@ QUERIES = {
     "event_type_dedup_stream": event_type_dedup_stream,
     "dim_category_streamed": dim_category_streamed,
     "ingested_feed": ingested_feed,
+    "inferred_feed_types": inferred_feed_types,
+    "typed_feed": typed_feed,
     "rescued_columns": rescued_columns,
     "fact_price_streamed": fact_price_streamed,
     "landing_plan": landing_plan,

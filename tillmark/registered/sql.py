@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillmark.plans.marts import DAILY_COLUMNS
+from tillmark.sources.feeds import FEEDS
 
 _OBS = """obs as (
   select l.*, p.*, coalesce(l_returnflag = 'R' and l_quantity = 50, false) as gone,
@@ -251,6 +252,14 @@ _CROWDED_HISTORY = f"""select event_id, nullif(ts, {_NO_TIME}) as ts, user_id, e
       partition by user_id, ts order by event_id desc, event_type desc) as pick from crowded) where pick = 1),
     {_islands("best", "user_id", "ts", "event_type", "event_id, ts, user_id, event_type")})"""
 
+# Types of the feeds' columns as they are spelled; "sku" depends on the part numbers.
+_NUMBERS = {
+    ("Coles", "SKU"): "sku", ("Coles", "Previous Price"): "double", ("Coles", "On Special"): "boolean", ("IGA", "SKU"): "double",
+    ("Woolworths", "SKU"): "sku", ("Woolworths", "Ratings"): "double",
+}
+_COLUMN_TYPES = [
+    (feed.retailer, header, _NUMBERS.get((feed.retailer, header), "string")) for feed in FEEDS for header in feed.headers if header != "Date"
+]
 _EXPECTATIONS = (
     ("valid_retailer", "drop", "retailer in ('Aldi', 'Coles', 'IGA', 'Woolworths')"),
     ("has_product_name", "drop", "product_name <> ''"),
@@ -357,6 +366,15 @@ SQL = {
           case when ragged and length(name) % 3 = 0 then ',"_c3":"x y","_c4":"' || length(name) || '"' else '' end || '}}' end
           as _rescued_data,
         day as _snapshot_date from named""",
+    "inferred_feed_types": f"""with {_OBS}, kinds as (select retailer,
+          case when max(l_partkey) < 2147483648 then 'int' else 'bigint' end as sku from obs group by retailer)
+        select lower(retailer) as feed, "column", case when "type" = 'sku' then sku else "type" end as "type"
+        from kinds join (values {", ".join(f"('{r}', '{c}', '{t}')" for r, c, t in _COLUMN_TYPES)})
+          t (retailer, "column", "type") using (retailer)""",
+    "typed_feed": f"""with {_OBS} select l_orderkey, l_linenumber,
+        case when l_linenumber < 7 then l_partkey::int end as "SKU", cents / 100.0::double as "Previous_Price",
+        case when l_linenumber < 6 then l_discount > 0.07::double end as "On_Special", p_brand as "Brand",
+        case when l_linenumber = 7 then '{{"SKU":"X' || l_partkey || '","On_Special":"maybe"}}' end as _rescued_data from obs""",
     "landing_plan": f"""{_NAMES}, last as (select target, max(source) as source from placed group by all)
         select source, retailer, "date", target, case when target is null then 'cannot classify'
           when (target, source) not in (select (target, source) from last) then 'superseded' end as reason from placed""",

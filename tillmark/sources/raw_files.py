@@ -99,7 +99,7 @@ def _read_layout(spark: SparkSession, feed: FeedSpec, header: list[str], paths:
     extra = [F.col(p).alias(name) for p, name in zip(positions, header) if p not in taken]
     # fields that are NULL are left out, so a row without extras gives "{}"
     named = F.to_json(F.struct(*extra)) if extra else F.lit("{}")
-    rescued = F.nullif(_joined_json(named, F.coalesce(_surplus(F.col(_LINE), len(header)), F.lit("{}"))), F.lit("{}"))
+    rescued = F.nullif(joined_json(named, F.coalesce(_surplus(F.col(_LINE), len(header)), F.lit("{}"))), F.lit("{}"))
     if not extra:  # Spark refuses to read the line alone, so the first cell is asked for as well
         rescued = F.when(F.col(_LINE).isNotNull() | F.col(positions[0]).isNotNull(), rescued)
     path = F.col("_metadata.file_path")
@@ -126,7 +126,7 @@ def _surplus(line: Column, width: int) -> Column:
     return F.to_json(F.map_from_entries(F.filter(beyond, lambda one: one["value"].isNotNull())))
 
 
-def _joined_json(left: Column, right: Column) -> Column:
+def joined_json(left: Column, right: Column) -> Column:
     """The fields of two JSON objects in one."""
     both = F.concat(F.left(left, F.length(left) - 1), F.lit(","), F.substr(right, F.lit(2)))
     return F.when(left == "{}", right).when(right == "{}", left).otherwise(both)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillmark.sources.feeds import FEEDS, FeedSpec
 from tillmark.sources.files import exists
 from tillmark.sources.raw_files import new_files, read_feed
+from tillmark.sources.types import learn
 from tillmark.streaming.runs import run_batches
 
 # Bounds the list of paths that one micro-batch passes through the driver.
@@ -15,9 +16,16 @@ FILES_PER_BATCH = 10_000
 
 
 def ingest(
-    spark: SparkSession, feed: FeedSpec, folder: str, table: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession,
+    feed: FeedSpec,
+    folder: str,
+    table: str,
+    checkpoint: str,
+    files_per_batch: int = FILES_PER_BATCH,
+    types: str | None = None,
 ) -> StreamingQuery:
-    """Read the files that are new since the last run into the raw table.
+    """Read the files that are new since the last run into the raw table; ``types`` names a place
+    where the classes of their cells are added up (``sources.types.learned`` tells the types).
 
     Each micro-batch owns one folder of the table and overwrites it when it is repeated,
     so no row is lost or doubled.
@@ -25,6 +33,8 @@ def ingest(
 
     def store(files: DataFrame, batch: int) -> None:
         read_feed(spark, feed, files).write.mode("overwrite").parquet(f"{table}/batch={batch}")
+        if types:
+            learn(spark.read.schema(feed.stored_schema()).parquet(f"{table}/batch={batch}"), feed.stored_headers, types, batch)
 
     return run_batches(new_files(spark, folder, files_per_batch), store, checkpoint)
 
