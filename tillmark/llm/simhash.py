@@ -32,6 +32,8 @@ from tillmark.llm.common import checkpointed, components, small_batches, text_pa
 SHINGLE = 4
 DISTANCE = 4
 BITS = 64
+# Slices of the fingerprints of one root when its smallest id is handed to them.
+ROOT_SLICES = 8
 SEED = 42
 # Rows of one leading part that are expected, and variants that a task holds at once.
 PART_ROWS = 4_000
@@ -236,13 +238,20 @@ def simhash_groups(
     """
     rows = checkpointed(with_fingerprint(df.select(F.col(key).alias("key"), F.col(column).alias("text")), "text", shingle).drop("text"))
     distinct = checkpointed(rows.groupBy("fingerprint").agg(F.min("key").alias("least")))
+    linked = distinct.join(_roots(distinct, distance), "fingerprint")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    # a root may stand for very many fingerprints: they are dealt to slices, its one row copied
+    slices = F.explode(F.sequence(F.lit(0), F.lit(ROOT_SLICES - 1))).alias("slice")
+    dealt = linked.withColumn("slice", F.pmod(F.xxhash64("fingerprint"), F.lit(ROOT_SLICES)).cast("int"))
+    found = dealt.join(least.select("*", slices), ["root", "slice"]).select("fingerprint", "component_id")
+    named = distinct.join(found, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "least").alias("component_id"))
+    return rows.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
+
+
+def _roots(distinct: DataFrame, distance: int) -> DataFrame:
+    """(fingerprint, root) of the fingerprints that have links."""
     links = ball_links(distinct.select("fingerprint"), distance)
-    groups = components(links).select(F.col("node").alias("fingerprint"), "root")
-    rooted = distinct.join(groups, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(least, "root").select("fingerprint", "component_id")
-    named = rows.join(found, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
-    return named
+    return components(links).select(F.col("node").alias("fingerprint"), "root")
 
 
 def fingerprint_groups(documents: DataFrame) -> DataFrame:
@@ -252,11 +261,33 @@ def fingerprint_groups(documents: DataFrame) -> DataFrame:
 
 
 def one_per_group(documents: DataFrame) -> DataFrame:
-    """The documents without near copies: of each group the one with the smallest id stays.
+    """The documents without near copies: exactly one row of each group stays.
 
-    Only the ids that stay are joined to the texts. Rows that repeat an id and a text are
-    copies of each other and one of them stays; rows without an id stay when no row of their
-    group has one.
+    It is the one with the smallest id, null ids coming last; of rows that repeat that id the one
+    with the smallest digest of its text; of rows equal in both any one. Rows are told apart by id and
+    digest, so texts are read where they lie and only those of repeated rows are shuffled.
     """
-    kept = simhash_groups(documents).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return documents.join(kept, documents["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    marked = documents.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), F.col("text").isNull().alias("is_null"))
+    prints = with_fingerprint(marked, "text", SHINGLE).drop("text")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "is_null")
+    counted = prints.groupBy("fingerprint", "doc_id", "digest", "is_null").agg(F.count(F.lit(1)).alias("copies"))
+    first = counted.groupBy("fingerprint").agg(F.min(F.struct(row.alias("row"), F.col("copies"))).alias("first"))
+    distinct = checkpointed(first)
+    rooted = distinct.join(_roots(distinct, DISTANCE), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    kept = checkpointed(
+        chosen.select(
+            F.col("first.row.doc_id").alias("_id"), F.col("first.row.digest").alias("_digest"),
+            F.col("first.row.is_null").alias("_is_null"), (F.col("first.copies") > 1).alias("_repeated"),
+        )
+    )
+
+    def rows(repeated: bool) -> DataFrame:
+        same = (
+            documents["doc_id"].eqNullSafe(kept["_id"])
+            & (F.md5(F.coalesce(documents["text"], F.lit(""))) == kept["_digest"])
+            & (documents["text"].isNull() == kept["_is_null"])
+        )
+        return documents.join(kept.where(F.col("_repeated") == repeated), same, "left_semi")
+
+    return rows(False).unionByName(rows(True).dropDuplicates(["doc_id", "text"]))
