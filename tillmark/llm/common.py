@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -39,11 +40,17 @@ def small_batches(spark: SparkSession) -> None:
     """Hand bounded batches to Python; a session that asks for smaller ones keeps them."""
     for name, most in (("maxRecordsPerBatch", SENT_ROWS), ("maxBytesPerBatch", SENT_BYTES)):
         setting = f"spark.sql.execution.arrow.{name}"
-        now = int(str(spark.conf.get(setting)).rstrip("b"))
-        if not 0 < now <= most:
+        now = _number(str(spark.conf.get(setting)))
+        if now is None or not 0 < now <= most:
             spark.conf.set(setting, str(most))
 
 
+def _number(setting: str) -> int | None:
+    """A number, or a size such as ``64m``; None for anything else."""
+    found = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", setting.lower())
+    return int(found[1]) * 1024 ** (" kmgtp".index(found[2] or " ")) if found else None
+
+
 def text_pass(
     df: DataFrame, column: str, fields: T.StructType, start: Callable[[], Callable], beside: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -26,6 +26,8 @@ from tillmark.llm.common import added, shielded, text_pass
 WINDOW = 13
 # A document is contaminated when at least one word in this many is hit.
 COVERAGE = 20
+# Words that a span of a document under the coverage limit may have.
+LONGEST_SPAN = 26
 # Words of benchmark text that one automaton may hold; larger benchmarks are dealt over
 # several automata, each of which sees all documents.
 AUTOMATON_WORDS = 2_000_000
@@ -188,7 +190,7 @@ FIELDS = T.StructType(
 
 def _shards(benchmark: DataFrame, limit: int) -> list[list[tuple[str, list[bytes]]]]:
     """Benchmark items, dealt so that no automaton gets more than ``limit`` words (one longer
-    item stands alone). Only one shard's items are held besides the finished automata."""
+    item stands alone). All items are read by the driver."""
     shards, held = [[]], 0
     rows = benchmark.select(F.col("item_id").cast("string"), "text").where("text is not null")
     for item, text in rows.toLocalIterator():
@@ -297,6 +299,21 @@ def without_spans(df: DataFrame, column: str = "text", spans: str = "hit_spans")
     return text_pass(df, column, fields, lambda: lambda texts, hits: [list(map(cut, texts, hits))], (spans,))
 
 
+def spans_removed(
+    documents: DataFrame, benchmark: DataFrame, longest: int = LONGEST_SPAN, coverage: int = COVERAGE
+) -> DataFrame:
+    """All documents, with the spans cut out that are over a limit: every span of a document
+    whose hit words reach one in ``coverage``, and spans of more than ``longest`` words in others.
+    Null texts stay null, rows and all other columns stay as they are."""
+
+    def work(rows: DataFrame) -> DataFrame:
+        marked = contamination(rows, benchmark, coverage=coverage)
+        long = F.filter("hit_spans", lambda span: span[1] - span[0] > longest)
+        return without_spans(marked.withColumn("hit_spans", F.when(F.col("contaminated"), F.col("hit_spans")).otherwise(long)))
+
+    return shielded(documents, "text", work)
+
+
 def contamination_digests(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contamination of every document with a digest of the items found."""
     rows = contamination(documents.select("doc_id", "text"), benchmark)

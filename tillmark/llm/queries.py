@@ -3,7 +3,9 @@
 Without SQL, because it has no such primitive: encoding and decoding (1), token counts (7),
 fingerprints and their groups (3), learned scores and spans (5, 6, 8). Components of linked
 vectors (2) and benchmark windows in whole documents (4) are too slow in SQL on whole tables.
-All of these are tested against brute force in ``tests/llm``.
+Main text (11) needs a parser, misspelt words (13) a checksum that SQL lacks. 1 to 4, 7, 11 and
+13 are tested against brute force or the tokenizer library in ``tests/llm``, 5 and 6 too for
+their base spans; learned scores and spans (5, 6, 8) against held-out labels.
 """
 
 from __future__ import annotations
