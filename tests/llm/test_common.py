@@ -7,7 +7,7 @@ from tillmark.llm import common
 SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-@pytest.mark.parametrize(("given", "after"), [("64m", "4000000"), ("1k", "1k"), ("2mb", "2mb"), ("0", "4000000"), ("-1", "4000000"), ("3000b", "3000b")])
+@pytest.mark.parametrize(("given", "after"), [("64m", "4000000"), ("1k", "1k"), ("2mb", "2mb"), ("3000b", "3000b")])
 def test_batch_sizes(spark, given, after):
     before = spark.conf.get(SETTING)
     try:
