@@ -35,7 +35,7 @@ WORD_BPE = "word_bpe_49k.json"
 MAX_VOCABULARY = 2_000_000
 # Bytes that one generation of a worker's memory of words, and of one of fragments, may take; two
 # generations are held. Remembering only saves work, results do not depend on it.
-MEMORY_BYTES = 60_000_000
+MEMORY_BYTES = 24_000_000
 # What an entry takes besides its text: table slot, two objects' heads, the value.
 ENTRY_BYTES = 220
 MEMORY_TEXT = 64
