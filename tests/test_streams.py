@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from test_ordered import DAY, HISTORY_SCHEMA, SPEC, brute_history, history_rows, multiset
 from tillmark.operators.quality import FACT_EXPECTATIONS
-from tillmark.plans.daily import daily_run
+from tillmark.plans.daily import DESCRIBED, daily_run
 from tillmark.session import work_folder
-from tillmark.sources import landing, raw_files, tables
+from tillmark.sources import landing, parted, raw_files, tables
 from tillmark.sources.feeds import ALDI, COLES, FEEDS, column_or_null, stored_name, with_stored_names
 from tillmark.streaming import distinct, facts, history, ingest
+from tillmark.streaming import landing as landed
 from tillmark.streaming.checked import expectation_log, store_checked
 
 COLES_HEADER = ",".join(COLES.headers)
@@ -143,6 +144,39 @@ def test_landing(spark, tmp_path):
     }
 
 
+def test_landing_in_runs(spark, tmp_path):
+    where = ("raw", f"{tmp_path}/landed", f"{tmp_path}/log")
+
+    def land(number, *paths):
+        files = spark.createDataFrame([(path,) for path in paths], "path string")
+        landed.land_batch(files, *where, number)
+        rows = landed.landing_log(spark, where[2]).where(F.col("batch") == number).collect()
+        return Counter((r.source, r.reason, r.replaces) for r in rows)
+
+    def now():
+        return {r.target.split("/")[-1]: (r.source, r.batch) for r in landed.landed_files(spark, where[1]).collect()}
+
+    aldi, coles = "aldi_2021-04-23.csv", "coles_2021-04-23.csv"
+    assert land(0) == {} and now() == {}
+    first = ("b/2021-04-23 aldi.csv", "a/2021-04-23 aldi.csv", "a/2021-04-23 coles.csv", "notes.csv", None)
+    told = {
+        (first[0], None, None): 1, (first[1], "superseded", None): 1, (first[2], None, None): 1,
+        (first[3], "cannot classify", None): 1, (None, "cannot classify", None): 1,
+    }
+    assert land(1, *first) == told and now() == {aldi: (first[0], 1), coles: (first[2], 1)}
+    # a later file wins although its path sorts first; a file that lands again replaces no other
+    again = ("a/2021-04-23 ALDI new.csv", first[2])
+    for _ in range(2):  # a repeated run starts from the runs before its own
+        assert land(2, *again) == {(again[0], None, first[0]): 1, (again[1], None, None): 1}
+        assert now() == {aldi: (again[0], 2), coles: (first[2], 2)}
+    assert landed.landing_log(spark, where[2]).count() == 7
+    # only the buckets of a run's targets are written
+    written = set(parted.folders(spark, where[1]))
+    land(3, "2021-04-23 coles.csv")
+    assert len([f for part in parted.folders(spark, where[1]).values() for f in part if "/v=3/" in f]) == 1
+    assert set(parted.folders(spark, where[1])) == written
+
+
 @pytest.mark.parametrize("shuffled", [True, False])
 def test_history_stream_equals_batch(spark, tmp_path, shuffled):
     rows = history_rows(seed=5)
@@ -237,8 +271,15 @@ def test_daily_run(spark, tmp_path):
     daily_run(spark, *where)
     write_day(root, "2021-04-24", {1: 12, 2: 5000})
     write_day(root, "2021-04-25", {1: 9, 2: 6})
-    done = daily_run(spark, *where)
-
+    done = daily_run(spark, *where, catalogue="shop_daily")
+
+    described = {name: tables.described(spark, f"shop_daily.{name}") for name in DESCRIBED}
+    assert {name: (told[1]["quality"], told[0]) for name, told in described.items()} == DESCRIBED
+    for name in DESCRIBED:
+        entry = spark.table(f"shop_daily.{name}").drop("_version", "_part")
+        assert entry.exceptAll(done[name]).count() == 0 == done[name].exceptAll(entry).count()
+    one_day = spark.sql("select * from shop_daily.fact_price where _part = '2021-04-24'")
+    assert "04-25" not in str(one_day.inputFiles()) and one_day.count() == 5
     fact = done["fact_price"]
     assert fact.columns[:24][-1] == "_ingest_ts" and len(fact.columns) == 29
     assert Counter(r.retailer for r in fact.collect()) == {"Aldi": 3, "Coles": 6, "IGA": 3, "Woolworths": 3}

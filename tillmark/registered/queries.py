@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,15 +17,17 @@ from tillmark.operators import quality
 from tillmark.operators.history import HistorySpec, scd2
 from tillmark.plans import dimensions, marts
 from tillmark.plans.conform import conform, conform_all
+from tillmark.plans.daily import DESCRIBED, TIER
 from tillmark.plans.fact import fact_price, fact_price_quarantine
 from tillmark.registered import inputs
 from tillmark.session import work_folder
 from tillmark.sources import landing, parted, types
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec, stored_name
 from tillmark.sources.raw_files import list_files, read_feed
-from tillmark.sources.tables import read_table_stream
+from tillmark.sources.tables import catalogue_table, described, read_table_stream
 from tillmark.streaming import daily, distinct, history, ingest
 from tillmark.streaming import facts as streamed
+from tillmark.streaming import landing as landed
 from tillmark.streaming import marts as kept
 from tillmark.streaming.checked import expectation_log, store_checked
 from tillmark.streaming.distinct import run_distinct
@@ -245,6 +247,15 @@ def _on_fact(mart):
     return query
 
 
+def mart_in_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as a catalogue table, its rows beside what the catalogue says of it."""
+    name, tier = "registered_dq_scorecard", {TIER: DESCRIBED["mart_dq_scorecard"][0]}
+    rows, place = marts.mart_dq_scorecard(inputs.facts(spark, sf_dir)), work_folder(spark, "catalogue")
+    stored = catalogue_table(rows, name, "Quality by day and retailer", tier, "retailer", place)
+    comment, properties = described(spark, name)
+    return stored.withColumns({"table_comment": F.lit(comment), "table_tier": F.lit(properties.get(TIER))})
+
+
 # ---- dimensions ----------------------------------------------------------------------
 def dim_retailer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retailers that occur in the fact, with their reference rows."""
@@ -276,6 +287,20 @@ def ingested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(ingest.raw_table(spark, COLES, f"{work}/raw"), COLES).drop("_ingest_ts", "_source_file")
 
 
+def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingested rows by the date in their file's path: the date they were given, and how many
+    bear the time of this ingestion."""
+    work, started = work_folder(spark, "lineage"), datetime.now(timezone.utc)
+    _write_csv(inputs.feed_text(inputs.observations(spark, sf_dir), IGA, "day as date"), f"{work}/iga")
+    ingest.ingest(spark, IGA, f"{work}/iga", f"{work}/raw", f"{work}/checkpoint")
+    raw = ingest.raw_table(spark, IGA, f"{work}/raw")
+    in_time = F.col("_ingest_ts").between(F.lit(started), F.current_timestamp())
+    path_date = F.regexp_extract("_source_file", "/iga/date=([^/]+)/[^/]+[.]csv$", 1)
+    return raw.groupBy(path_date.alias("path_date"), F.col("_snapshot_date").alias("snapshot_date")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(in_time).alias("n_stamped_in_time")
+    )
+
+
 def inferred_feed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The types that the cells of every feed's columns allow."""
     masks = [
@@ -433,6 +458,22 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_plan(spark, sf_dir).filter("target is null").select("source", "retailer", "date")
 
 
+def _landed_in_two_runs(result: Callable[[SparkSession, str], DataFrame]):
+    """Files that arrive in two runs, many for targets that the first run has filled."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work, names = work_folder(spark, "landing"), _file_names(spark, sf_dir)
+
+        def run(table: str) -> None:
+            stream = read_table_stream(spark, table, names.schema)
+            landed.run_landing(stream, "raw", f"{work}/landed", f"{work}/log", f"{work}/checkpoint")
+
+        _in_two_runs(names, "path like '%7.csv' or path like '/in/1/%'", work, run)
+        return result(spark, work)
+
+    return query
+
+
 QUERIES = {
     "unit_price_normalised": unit_price_normalised,
     "price_text_clean": price_text_clean,
@@ -460,6 +501,7 @@ QUERIES = {
     "mart_category_price_index": _on_daily(marts.mart_category_price_index),
     "mart_availability": _on_fact(marts.mart_availability),
     "mart_dq_scorecard": _on_fact(marts.mart_dq_scorecard),
+    "mart_in_catalogue": mart_in_catalogue,
     "dim_product_scd2": _on_fact(dimensions.dim_product),
     "dim_category": _on_fact(dimensions.dim_category),
     "dim_retailer": dim_retailer,
@@ -475,10 +517,13 @@ QUERIES = {
     "event_type_dedup_stream": event_type_dedup_stream,
     "dim_category_streamed": dim_category_streamed,
     "ingested_feed": ingested_feed,
+    "file_lineage": file_lineage,
     "inferred_feed_types": inferred_feed_types,
     "typed_feed": typed_feed,
     "rescued_columns": rescued_columns,
     "fact_price_streamed": fact_price_streamed,
     "landing_plan": landing_plan,
     "landing_rejects": landing_rejects,
+    "landing_log_streamed": _landed_in_two_runs(lambda spark, work: landed.landing_log(spark, f"{work}/log")),
+    "landed_files_streamed": _landed_in_two_runs(lambda spark, work: landed.landed_files(spark, f"{work}/landed")),
 }

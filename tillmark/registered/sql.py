@@ -239,6 +239,10 @@ _NAMES = """with names as (select o_custkey % 6 as mark, o_orderkey % 11 = 0 as
     from (select source, (['aldi', 'coles', 'iga', 'woolworths', 'woolworths', null])[mark + 1] as retailer,
       case when not undated then stamp end as "date" from names))"""
 
+_RUNS = f"""{_NAMES},
+  runs as (select *, (source like '%7.csv' or source like '/in/1/%')::bigint as batch from placed),
+  winners as (select batch, target, max(source) as source from runs where target is not null group by all)"""
+
 EVENT_HISTORY = "with " + _islands("events", "user_id", "ts", "event_type", "event_id, ts, user_id, event_type")
 
 # no time comes before every other one
@@ -359,6 +363,8 @@ SQL = {
     "event_history_scd2_streamed": EVENT_HISTORY,
     "event_type_dedup_stream": "select distinct event_type, upper(event_type) as label from events",
     "ingested_feed": f"with {_OBS} select * exclude (_source_file) from ({_feed_sql('Coles')})",
+    "file_lineage": f"""with {_OBS} select strftime(day, '%Y-%m-%d') as path_date, day as snapshot_date,
+        count(*) as n_rows, count(*) as n_stamped_in_time from obs group by day""",
     "rescued_columns": f"""with {_OBS}, named as (select *, {_NAME} as name, l_linenumber = 7 as ragged from obs)
         select case when not (ragged and length(name) % 3 = 1) then name end as "Product", {_URL} as "Product_Page",
         case when l_linenumber % 2 = 0 then {_SLUG} end as "Sub_Category",
@@ -379,7 +385,16 @@ SQL = {
         select source, retailer, "date", target, case when target is null then 'cannot classify'
           when (target, source) not in (select (target, source) from last) then 'superseded' end as reason from placed""",
     "landing_rejects": f"""{_NAMES} select source, retailer, "date" from placed where target is null""",
+    "landing_log_streamed": f"""{_RUNS} select runs.source, retailer, "date", runs.target,
+        case when runs.target is null then 'cannot classify' when runs.source <> mine.source then 'superseded' end as reason,
+        case when runs.source = mine.source then earlier.source end as replaces, runs.batch
+        from runs left join winners mine on mine.target = runs.target and mine.batch = runs.batch
+        left join winners earlier on earlier.target = runs.target and earlier.batch < runs.batch""",
+    "landed_files_streamed": f"""{_RUNS}
+        select target, max_by(source, batch) as source, max(batch) as batch from winners group by target""",
 }
+SQL["mart_in_catalogue"] = f"""select *, 'Quality by day and retailer' as table_comment, 'gold' as table_tier
+    from ({SQL["mart_dq_scorecard"]})"""
 for _name in (
     "dim_product_scd2", "dim_category", "fact_price_daily", "mart_price_comparison", "mart_specials_penetration", "mart_category_price_index",
     "mart_availability", "mart_dq_scorecard",

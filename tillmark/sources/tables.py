@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillmark.sources import files
+from tillmark.sources import files, parted
+
+VERSION = "_version"
+# Bounds the length of one statement.
+PARTITIONS_AT_ONCE = 500
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -34,18 +38,65 @@ def read_table_stream(
 
 
 def catalogue_table(
-    df: DataFrame, name: str, comment: str, properties: dict[str, str] | None = None, partition_by: str | None = None
+    df: DataFrame,
+    name: str,
+    comment: str,
+    properties: dict[str, str] | None = None,
+    partition_by: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """Replace a catalogue table, with its comment and properties such as a quality tier."""
-    spark = df.sparkSession
+    """Replace a catalogue table, with its comment and properties such as a quality tier.
+
+    With a path, the rows lie there and stay when the table is dropped.
+    """
     writer = df.write.mode("overwrite").format("parquet")
+    writer = writer.option("path", path) if path else writer
     (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
+    return describe(df.sparkSession, name, comment, properties)
+
+
+def catalogue_parts(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, comment: str, properties: dict[str, str] | None = None
+) -> DataFrame:
+    """A catalogue table over the folders that make up a part-wise table now; no row is copied.
+
+    Each folder is a partition of the table, by version and part, so a filter on ``_part`` reads
+    only the parts asked for. Call it again after a batch: until then readers see the state before,
+    which stays stored for one more batch.
+    """
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}, `{VERSION}` INT, `{parted.PART}` STRING) USING parquet"
+        f" PARTITIONED BY (`{VERSION}`, `{parted.PART}`) LOCATION {_literal(path)}"
+    )
+    held = [folder for folders in parted.folders(spark, path).values() for folder in folders]
+    for start in range(0, len(held), PARTITIONS_AT_ONCE):
+        added = [_partition(folder) for folder in held[start : start + PARTITIONS_AT_ONCE]]
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(added)}")
+    return describe(spark, name, comment, properties)
+
+
+def _partition(folder: str) -> str:
+    version, part = folder.rsplit("/", 2)[1:]
+    number, value = version.removeprefix("v="), part.removeprefix(f"{parted.PART}=").removesuffix(parted.MORE)
+    return f"PARTITION (`{VERSION}`={number}, `{parted.PART}`={_literal(value)}) LOCATION {_literal(folder)}"
+
+
+def describe(spark: SparkSession, name: str, comment: str, properties: dict[str, str] | None = None) -> DataFrame:
+    """Give a catalogue table its comment and properties."""
     spark.sql(f"COMMENT ON TABLE {name} IS {_literal(comment)}")
     for key, value in (properties or {}).items():
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_literal(key)} = {_literal(value)})")
     return spark.table(name)
 
 
+def described(spark: SparkSession, name: str) -> tuple[str | None, dict[str, str]]:
+    """The comment and the properties that the catalogue holds of a table."""
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return spark.catalog.getTable(name).description, properties
+
+
 def publish(df: DataFrame, path: str, version: int) -> None:
     """Write one complete version of a small table; readers see it once it is whole.
 
