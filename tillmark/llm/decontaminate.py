@@ -6,31 +6,39 @@ through it, tracking the length of the longest match that ends at each word. Eve
 covers are hit. A document whose hit words reach the coverage limit is contaminated, and its
 spans of hit words are reported so that they can be removed.
 
+Automata are built in tasks, from shares of the benchmark with a bounded number of words, and
+packed into arrays. The driver passes them on one at a time.
+
 Words outside the benchmark's vocabulary and neighbouring words that are neighbours in no item
 break every match, so only runs of known neighbours, found with array operations, are streamed.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from array import array
 from collections.abc import Iterable
 from itertools import pairwise
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.llm.common import added, shielded, text_pass
+from tillmark.llm.common import added, checkpointed, shielded, text_pass
 
 WINDOW = 13
 # A document is contaminated when at least one word in this many is hit.
 COVERAGE = 20
 # Words that a span of a document under the coverage limit may have.
 LONGEST_SPAN = 26
-# Words of benchmark text that one automaton may hold; larger benchmarks are dealt over
-# several automata, each of which sees all documents.
-AUTOMATON_WORDS = 2_000_000
+# Words of benchmark text that one automaton is meant to hold; larger benchmarks are dealt over
+# several automata, each of which sees all documents. A task takes about 650 bytes a word to build
+# one and 150 to hold it.
+AUTOMATON_WORDS = 500_000
+_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # Word bytes: digits, ASCII letters (lower-cased) and everything beyond ASCII.
 _FOLD = bytes(
@@ -44,6 +52,13 @@ def folded(text: str) -> bytes:
     return text.encode("utf-8").translate(_FOLD)
 
 
+def _window_state(state: int, link: list[int] | array, length: list[int] | array, window: int) -> int:
+    """The state that holds the last ``window`` words of a longer match."""
+    while length[link[state]] >= window:
+        state = link[state]
+    return state
+
+
 class Automaton:
     """A suffix automaton of several word sequences with the windows that end in its states."""
 
@@ -107,8 +122,8 @@ class Automaton:
                 self.short.setdefault(state, []).append((len(sequence), item))
                 continue
             for end in range(self.window, len(sequence) + 1):
-                self.windows.setdefault(self._ancestor(ends[item][end - 1]), set()).add(item)
-        self._short_above: dict[int, list[tuple[int, int]]] = {}
+                state = _window_state(ends[item][end - 1], self.link, self.length, self.window)
+                self.windows.setdefault(state, set()).add(item)
 
     def _walk(self, sequence: list[int]) -> int:
         state = 0
@@ -116,11 +131,25 @@ class Automaton:
             state = self.next[state][word]
         return state
 
-    def _ancestor(self, state: int) -> int:
-        """The state that holds the last ``window`` words of a longer match."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
+    def packed(self) -> bytes:
+        """What ``Matcher`` needs, in arrays: transitions are numbered state * words + word."""
+        moves = [(state * len(self.word_ids) + word, to) for state, following in enumerate(self.next) for word, to in following.items()]
+        codes, targets = (np.fromiter((move[place] for move in moves), np.int64, len(moves)) for place in (0, 1))
+        arrays = (codes, targets.astype(np.int32), *(np.array(one, np.int32) for one in (self.link, self.length)))
+        held = (self.items, b" ".join(self.word_ids), self.window, self.shortest, self.pairs, self.windows, self.short)
+        return pickle.dumps((arrays, held), protocol=pickle.HIGHEST_PROTOCOL)
+
+
+class Matcher:
+    """Matches of documents in a packed automaton."""
+
+    def __init__(self, packed: bytes):
+        (codes, targets, link, length), held = pickle.loads(packed)
+        self.items, words, self.window, self.shortest, self.pairs, self.windows, self.short = held
+        self.word_ids = {word: number for number, word in enumerate(words.split())}
+        self.moves = dict(zip(codes.tolist(), targets.tolist(), strict=True))
+        self.link, self.length = array("i", link.tobytes()), array("i", length.tobytes())
+        self._short_above: dict[int, list[tuple[int, int]]] = {}
 
     def _shorts(self, state: int) -> list[tuple[int, int]]:
         """Whole short items that end wherever this state's match ends: (words, item)."""
@@ -151,21 +180,23 @@ class Automaton:
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
         """Hit spans (first word, word after the last) in order, joined, and the items found."""
-        known = self.word_ids.get
+        known, moves, width = self.word_ids.get, self.moves, len(self.word_ids)
         ids = np.fromiter((known(word, -1) for word in words), np.int64, len(words))
         spans: list[tuple[int, int]] = []
         items: set[int] = set()
         for start, stop in self._runs(ids):
             state = length = 0
             for at, word in enumerate(ids[start:stop].tolist(), start + 1):
-                while state and word not in self.next[state]:
+                to = moves.get(state * width + word)
+                while state and to is None:
                     state = self.link[state]
                     length = self.length[state]
-                if word in self.next[state]:
-                    state, length = self.next[state][word], length + 1
+                    to = moves.get(state * width + word)
+                if to is not None:
+                    state, length = to, length + 1
                 reach = 0
                 if length >= self.window:
-                    items |= self.windows[self._ancestor(state)]
+                    items |= self.windows[_window_state(state, self.link, self.length, self.window)]
                     reach = self.window
                 for size, item in self._shorts(state):
                     if size <= length:
@@ -188,19 +219,23 @@ FIELDS = T.StructType(
 )
 
 
-def _shards(benchmark: DataFrame, limit: int) -> list[list[tuple[str, list[bytes]]]]:
-    """Benchmark items, dealt so that no automaton gets more than ``limit`` words (one longer
-    item stands alone). All items are read by the driver."""
-    shards, held = [[]], 0
-    rows = benchmark.select(F.col("item_id").cast("string"), "text").where("text is not null")
-    for item, text in rows.toLocalIterator():
-        words = folded(text).split()
-        if shards[-1] and held + len(words) > limit:
-            shards.append([])
-            held = 0
-        shards[-1].append((item if item is not None else "", words))
-        held += len(words)
-    return shards
+def _automata(benchmark: DataFrame, window: int, limit: int) -> tuple[DataFrame, int]:
+    """Packed automata (share, packed), kept in the checkpoint folder, and the number of shares.
+
+    Repeated items go first. Items are dealt to shares by a hash, so a share has about ``limit``
+    words or less, more only where an item alone is longer.
+    """
+    item, n_words = F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.regexp_count("text", F.lit(_WORDS))
+    items = benchmark.select(item.alias("item"), "text").where(n_words > 0).distinct()
+    total = items.agg(F.sum(n_words.cast("long"))).first()[0] or 0
+    shares = max(1, -(-total // limit))
+
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        sequences = [(name, folded(text).split()) for name, text in zip(rows["item"], rows["text"], strict=True)]
+        return pd.DataFrame({"share": [key[0]], "packed": [Automaton(sequences, window).packed()]})
+
+    dealt = items.withColumn("share", F.pmod(F.xxhash64("item", "text"), F.lit(shares)))
+    return checkpointed(dealt.groupBy("share").applyInPandas(build, "share long, packed binary")), shares
 
 
 def matched(
@@ -214,19 +249,24 @@ def matched(
     number and other columns; columns of these names are replaced. Documents are not shuffled.
 
     Each automaton is broadcast; ``limit`` bounds its words. A larger benchmark is dealt over
-    several automata and the documents pass through one after the other.
+    several automata, and the documents, kept in the checkpoint folder in between, pass through
+    one after the other, so that a task never holds two.
     """
-    result = df
-    for number, shard in enumerate(_shards(benchmark, limit)):
-        result = _matched_once(result, Automaton(shard, window), column, first=number == 0)
-    return result
+    automata, shares = _automata(benchmark, window, limit)
+    result = None
+    for share in range(shares):
+        found = automata.where(F.col("share") == share).select("packed").first()
+        if found is not None:
+            earlier = None if result is None else checkpointed(result)
+            result = _matched_once(df if earlier is None else earlier, bytes(found.packed), column, first=earlier is None)
+    return _matched_once(df, Automaton([], window).packed(), column, first=True) if result is None else result
 
 
-def _matched_once(df: DataFrame, automaton: Automaton, column: str, first: bool) -> DataFrame:
-    shipped = df.sparkSession.sparkContext.broadcast(automaton)
+def _matched_once(df: DataFrame, packed: bytes, column: str, first: bool) -> DataFrame:
+    shipped = df.sparkSession.sparkContext.broadcast(packed)
 
     def start():
-        automaton = shipped.value
+        automaton = Matcher(shipped.value)
 
         def work(texts: list[str | None]) -> list:
             counts, spans, items = [], [], []
