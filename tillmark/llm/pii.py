@@ -23,11 +23,11 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.llm.common import SPANS, count_of, joined_spans, shielded, span_rows, text_pass
+from tillmark.llm.common import SPANS, count_of, first_places, joined_spans, shielded, span_rows, text_pass
 from tillmark.llm.neural import Adam, CharClasses, sigmoid
 
 KINDS = ("email", "ip", "card", "phone")
@@ -482,9 +482,8 @@ def training_texts(documents: DataFrame, count: int = SAMPLE_DOCUMENTS, length:
     rows = documents.where("text is not null").select(
         F.xxhash64("text").alias("mixed"), F.col("text").rlike("[0-9@]").alias("signed"), "text"
     )
-    order = Window.partitionBy("signed").orderBy("mixed")
-    hashes = rows.select("signed", "mixed").distinct().withColumn("place", F.row_number().over(order))
-    chosen = F.broadcast(hashes.where(F.col("place") <= count // 2).select("signed", "mixed"))
+    hashes = first_places(rows.select("signed", "mixed").distinct(), ["signed"], ["mixed"], count // 2, "place")
+    chosen = F.broadcast(hashes.select("signed", "mixed"))
     begin = F.pmod("mixed", F.greatest(F.length("text"), F.lit(1))).cast("int") + 1
     sign = F.regexp_instr(F.substr("text", begin), F.lit("[0-9@]"))
     place = F.when(sign > 0, begin + sign - 1).when(F.col("signed"), F.regexp_instr("text", F.lit("[0-9@]"))).otherwise(begin)
