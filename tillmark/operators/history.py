@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.operators.ordered import RANGE, neighbours, ranged
+from tillmark.operators.ordered import RANGE, digests, neighbours, ranged
 
 START, END = "__START_AT", "__END_AT"
+_GRAIN = "__GRAIN"
 
 
 @dataclass(frozen=True)
@@ -37,13 +38,34 @@ class HistorySpec:
 
 def observations(df: DataFrame, spec: HistorySpec, kept: list[str] | None = None) -> DataFrame:
     """One row per key and sequence, pre-aggregated before the shuffle."""
-    grain = [*spec.keys, spec.sequence]
     kept = spec.kept(df.columns) if kept is None else kept
-    rest = [name for name in spec.stored(df.columns) if name not in (*grain, *spec.prefer)]
-    best = Window.partitionBy(*grain).orderBy(*[F.desc(name) for name in (*spec.prefer, *rest)])
+    return _best(df, spec).select(*kept)
+
+
+def _best(df: DataFrame, spec: HistorySpec) -> DataFrame:
+    """The best row per key and sequence, dealt by the digests of both, which are added."""
+    stored = spec.stored(df.columns)
+    rest = [name for name in stored if name not in (*spec.keys, spec.sequence, *spec.prefer)]
+    rows = _with_grain(df.select(*stored), spec)
+    best = Window.partitionBy(*_grains(rows)).orderBy(*[F.desc(name) for name in (*spec.prefer, *rest)])
     # the best of each task's rows is found before the shuffle
-    first = df.select(*spec.stored(df.columns)).withColumn("_place", F.row_number().over(best)).filter("_place = 1")
-    return first.select(*kept)
+    return rows.withColumn("_place", F.row_number().over(best)).filter("_place = 1").drop("_place")
+
+
+def _with_grain(df: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Add what stands for key and sequence, as it follows from the digests of the key."""
+    named = digests(df, list(spec.keys), "__KEY")
+    keyed = df.withColumns(named)
+    return keyed.withColumns(digests(keyed, [*named, spec.sequence], _GRAIN)).drop(*named)
+
+
+def _only_preferred(df: DataFrame, spec: HistorySpec) -> list[str]:
+    """Columns that only tell which row counts."""
+    return [name for name in df.columns if name in spec.leave_out]
+
+
+def _grains(df: DataFrame) -> list[str]:
+    return [name for name in df.columns if name in (f"{_GRAIN}0", f"{_GRAIN}1")]
 
 
 def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None) -> DataFrame:
@@ -53,8 +75,9 @@ def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None) -> Da
     rows where that is known.
 
     A row opens a version if the row before differs, and closes one if the row after
-    differs. Those two kinds of rows alternate, so a closing row finds its start right
-    before itself (or is it) and its end right after. Both looks use the same ranges.
+    differs; the row after a closing one starts the next version. Those two kinds of rows
+    alternate, so a closing row finds its start right before itself (or is it). Both looks use
+    the same ranges.
     """
     keys, order = list(spec.keys), [spec.sequence]
     columns = [name for name in seen.columns if name != start]
@@ -62,18 +85,32 @@ def versions(seen: DataFrame, spec: HistorySpec, start: str | None = None) -> Da
     now = F.struct(*[F.col(name) for name in spec.tracked])
     marked = seen.select(*columns, now.alias("_now"), begin.alias("_begin"))
     marked = ranged(marked, keys, order)
-    near = neighbours(marked, keys, order, {"_was": "_now"}, {"_will_be": "_now"})
+    near = neighbours(marked, keys, order, {"_was": "_now"}, {"_will_be": "_now", "_next": spec.sequence})
     opens, closes = ~_same("_was"), ~_same("_will_be")
-    borders = near.select(*columns, RANGE, "_begin", opens.alias("_opens"), closes.alias("_closes"))
+    borders = near.select(*columns, RANGE, "_begin", "_next", opens.alias("_opens"), closes.alias("_closes"))
     borders = borders.filter(F.col("_opens") | F.col("_closes"))
-    paired = neighbours(borders, keys, order, {"_begin_before": "_begin"}, {"_next_begin": spec.sequence})
+    paired = neighbours(borders, keys, order, {"_begin_before": "_begin"}, {})
     own_begin = F.when(F.col("_opens"), F.col("_begin")).otherwise(F.col("_begin_before"))
-    return paired.filter("_closes").select(*columns, own_begin.alias(START), F.col("_next_begin").alias(END))
+    return paired.filter("_closes").select(*columns, own_begin.alias(START), F.col("_next").alias(END))
+
+
+def whole_versions(seen: DataFrame, spec: HistorySpec, start: str | None = None) -> DataFrame:
+    """The same, found over narrow rows with digests for the key and the tracked columns. Whole
+    rows travel at most once, to meet the closing ones among those."""
+    seen = seen if _grains(seen) else _with_grain(seen, spec)
+    columns = [name for name in seen.columns if name not in (start, *_grains(seen), *_only_preferred(seen, spec))]
+    named, now = digests(seen, list(spec.keys), "__KEY"), digests(seen, list(spec.tracked), "__NOW")
+    known = [F.col(start).alias("__KNOWN")] if start else []
+    narrow = seen.select(*[column.alias(name) for name, column in (named | now).items()], spec.sequence, *known)
+    closing = versions(narrow, HistorySpec(tuple(named), spec.sequence, tuple(now)), "__KNOWN" if start else None)
+    met = digests(closing, [*named, spec.sequence], _GRAIN)
+    closing = closing.select(*[column.alias(name) for name, column in met.items()], START, END)
+    return seen.select(*columns, *met).join(closing, list(met)).select(*columns, START, END)
 
 
 def scd2(df: DataFrame, spec: HistorySpec) -> DataFrame:
     """Full history of a table; the order of its rows does not matter."""
-    return versions(observations(df, spec), spec)
+    return whole_versions(_best(df, spec), spec)
 
 
 def _same(neighbour: str) -> Column:

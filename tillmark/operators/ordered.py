@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RANGE = "_range"
 # Copies of one row that travel as one counted row; only bounds what one task writes at a time.
@@ -78,6 +79,16 @@ def with_neighbours(
     return neighbours(ranged(df, keys, order), keys, order, previous or {}, following or {}).drop(RANGE)
 
 
+def digests(df: DataFrame, columns: list[str], name: str) -> dict[str, Column]:
+    """What stands for some columns where only their equality counts: two hashes of 64 bits, or the
+    values themselves if one of them is nested. Nulls are values like any other; so are NaN and
+    negative zero, which equal themselves and zero."""
+    if any(isinstance(df.schema[column].dataType, (T.ArrayType, T.StructType, T.MapType, T.VariantType)) for column in columns):
+        return {f"{name}0": F.struct(*[F.col(f"`{column}`") for column in columns])}
+    parts = [part for column in columns for part in (F.col(f"`{column}`"), F.col(f"`{column}`").isNull())]
+    return {f"{name}{turn}": F.xxhash64(F.lit(turn), *parts) for turn in range(2)}
+
+
 def with_previous_value(
     df: DataFrame, key: str, sequence: str, value: str, into: str, copies_per_block: int = COPIES_PER_BLOCK
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillmark.operators.history import END, START, HistorySpec, observations, versions
+from tillmark.operators.history import END, START, HistorySpec, observations, whole_versions
 from tillmark.sources import parted
 from tillmark.sources.tables import read_table_stream
 from tillmark.streaming.late import late_keys, of_keys
@@ -71,7 +71,7 @@ def bring_up_to_date(batch: DataFrame, history: str, number: int, spec: HistoryS
         again = of_keys(parted.read(spark, seen, known, number + 1, back), named, keys)
         again = observations(again, spec, kept).withColumn("_start", F.lit(None).cast(known[spec.sequence].dataType))
         rows = of_keys(rows, named, keys, inside=False).unionByName(again)
-    changed = versions(rows, spec, "_start")
+    changed = whole_versions(rows, spec, "_start")
     if back:
         closed = parted.read(spark, stored, schema, number, [f"{name}-closed" for name in back])
         changed = changed.unionByName(of_keys(closed, named, keys, inside=False))
