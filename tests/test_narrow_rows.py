@@ -1,4 +1,4 @@
-"""What travels: whole rows once for a history."""
+"""What travels: whole rows once for a history, rows of a key together for look-backs."""
 
 import datetime as dt
 import re
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_plans import plan_of
 
 from tillmark.operators.history import END, START, HistorySpec, scd2
-from tillmark.operators.ordered import digests
+from tillmark.operators.ordered import digests, with_previous_value
 
 DAY = dt.date(2021, 4, 23)
 SPEC = HistorySpec(keys=("k",), sequence="day", tracked=("a", "x"), leave_out=("file",), prefer=("file",))
@@ -25,6 +25,13 @@ def test_whole_rows_of_a_history_are_dealt_one_way(spark):
     assert len(found) == 8 and len(wide) == 2 and len(set(wide)) == 1
 
 
+def test_rows_are_sorted_before_they_are_dealt_again(spark):
+    df = spark.createDataFrame([], "k string, day date, price double")
+    plan = plan_of(with_previous_value(df, "k", "day", "price", "was"))
+    nodes = re.findall(r"^\(\d+\) (Exchange|Sort|Window)\b", plan, re.M)  # from the scan upwards
+    assert nodes == ["Exchange", "Exchange", "Sort", "Exchange", "Sort", "Window", "Exchange", "Sort", "Window"]
+
+
 def test_history_with_nulls_zeros_and_no_numbers(spark):
     """Digests tell null from empty and zero from nothing, and take -0.0 for 0.0."""
     nan, days = float("nan"), [DAY + dt.timedelta(n) for n in range(9)]

@@ -28,10 +28,10 @@ def same_key(keys: list[str]) -> Column:
 
 
 def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Rows dealt by ranges of (key, order), with the number of their range."""
+    """Rows dealt by ranges of (key, order), in order, with the number of their range."""
     if RANGE in df.columns:
         raise ValueError(f"a column named {RANGE} is in the way")
-    return df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id())
+    return df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn(RANGE, F.spark_partition_id())
 
 
 def neighbours(
@@ -48,7 +48,7 @@ def neighbours(
     near = df.select("*", F.lag(before).over(inside).alias(near_before), F.lead(after).over(inside).alias(near_after))
     at_border = F.col(near_before).isNull() | F.col(near_after).isNull()
     across = Window.partitionBy(*keys, slot).orderBy(*order)
-    met = near.withColumn(slot, F.when(~at_border, F.xxhash64(RANGE, *keys, *order))).select(
+    met = near.withColumn(slot, F.when(~at_border, F.col(RANGE))).select(
         "*", F.lag(before).over(across).alias(far_before), F.lead(after).over(across).alias(far_after)
     )
     return met.select(
