@@ -7,24 +7,28 @@ surrounding context and scores it; a long candidate is read in overlapping windo
 score is that of its best one. Candidates over the threshold are added whole under the kind
 ``model``.
 
-The network is trained in numpy on labelled findings: base findings of a bounded sample of
-documents and generated secrets of other forms put into them, against all other candidates. On
-a held-out part scores are calibrated, and the threshold is the highest that still finds the
-required share of the labelled findings.
+The network is trained on labelled findings: base findings of all documents and generated
+secrets of other forms put into them, against all other candidates. Tasks train it in numpy, each
+on its part of the documents, and their weights are averaged after every round. On a held-out
+fifth of the documents scores are calibrated, and the threshold is the highest that still finds
+the required share of the labelled findings. ``trained`` does the same with texts at hand.
 """
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.llm.common import SPANS, count_of, joined_spans, span_rows, text_pass
+from tillmark.llm.common import SPANS, checkpointed, count_of, joined_spans, small_batches, span_rows, text_pass
 from tillmark.llm.neural import Adam, CharClasses, sigmoid
 
 KINDS = ("assign", "access", "hex", "model")
@@ -34,6 +38,11 @@ KERNEL, FILTERS, DENSE = 5, 16, 16
 # The training sample (smallest by a hash) and the rounds over it.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 600, 4_000
 TRAIN_CANDIDATES, ROUNDS, BATCH, RATE = 6_000, 6, 64, 0.01
+# Rounds of training in tasks, the views that a trainer shall have at least, and the views that are
+# wanted in all rounds together: small tables are gone through several times, large ones once.
+MEETINGS, TRAINER_VIEWS, TRAINERS, WANTED_VIEWS = 6, 6_000, 64, 36_000
+# Steps of the raw score in which the held-out views are counted, and its bounds.
+SCORE_STEP, SCORE_BOUND = 0.01, 100.0
 # Share of the held-out labelled findings that the threshold must keep.
 RECALL = 0.98
 CHARACTERS = CharClasses(
@@ -204,8 +213,8 @@ def _run_of_words(made: random.Random) -> str:
     return made.choice("/._-=").join(words)
 
 
-def labelled_candidates(texts: list[str], seed: int = 13) -> tuple[np.ndarray, np.ndarray]:
-    """Views of candidates and whether they are secrets."""
+def labelled_candidates(texts: list[str], seed: int = 13, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Views of candidates and whether they are secrets: some of each text, or ``every`` one."""
     made, views, labels = random.Random(seed), [], []
 
     def keep(text: str, start: int, end: int, label: int) -> None:
@@ -215,18 +224,18 @@ def labelled_candidates(texts: list[str], seed: int = 13) -> tuple[np.ndarray, n
 
     def keep_others(text: str, start: int, end: int) -> None:
         parts = windows(start, end)
-        for part in made.sample(parts, min(3, len(parts))):
+        for part in parts if every else made.sample(parts, min(3, len(parts))):
             keep(text, *part, 0)
 
     for text in texts:
         spans, others = scan(text)
-        for _, start, end in spans[:5]:
+        for _, start, end in spans if every else spans[:5]:
             inner = list(CANDIDATE.finditer(text, start, end))
             if inner:
                 keep(text, *windows(*inner[-1].span())[-1], 1)
-        for start, end in made.sample(others, min(6, len(others))):
+        for start, end in others if every else made.sample(others, min(6, len(others))):
             keep_others(text, start, end)
-        blanks = [match.start() for match in re.finditer(" ", text[:2_000])]
+        blanks = [match.start() for match in re.finditer(" ", text if every else text[:2_000])]
         for place in made.sample(blanks, min(3, len(blanks))):
             window, after = text[max(0, place - LEFT) : place] + " ", text[place + 1 : place + 40]
             lead, value = _generated(made)
@@ -264,15 +273,9 @@ def trained(texts: list[str], kept: int = TRAIN_CANDIDATES, rounds: int = ROUNDS
         order_now = mixed.permutation(split)
         for at in range(0, split - BATCH + 1, BATCH):
             some = order_now[at : at + BATCH]
-            weights = np.where(labels[some] == 1, 0.5 / share, 0.5 / (1 - share))
-            steps.step(network.slopes(views[some], labels[some], weights))
+            _step(network, steps, views[some], labels[some], share)
     raw, truth = network.forward(views[split:])[0].astype(float), labels[split:]
-    slope, shift = 1.0, 0.0
-    for _ in range(200):  # logistic calibration of the raw score
-        wrong = sigmoid(slope * raw + shift) - truth
-        slope -= 0.1 * float((wrong * raw).mean()) / max(1.0, float((raw * raw).mean()) / 4)
-        shift -= 0.5 * float(wrong.mean())
-    model = Model(network.values, (slope, shift), float("inf"))
+    model = Model(network.values, _calibration(raw, truth, np.ones(len(raw))), float("inf"))
     scores = model.scores(raw)
     found = np.sort(scores[truth == 1])
     threshold = float(found[int((1 - RECALL) * len(found))])
@@ -280,6 +283,127 @@ def trained(texts: list[str], kept: int = TRAIN_CANDIDATES, rounds: int = ROUNDS
     return replace(model, threshold=threshold, recall=float(over[truth == 1].mean()), precision=float(truth[over].mean()))
 
 
+def _step(network: Network, steps: Adam, views: np.ndarray, labels: np.ndarray, share: float) -> None:
+    weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    steps.step(network.slopes(views, labels, weights))
+
+
+def _calibration(raw: np.ndarray, truth: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
+    """Logistic calibration of raw scores, each of which occurs ``counts`` times."""
+    slope, shift, total = 1.0, 0.0, counts.sum()
+    for _ in range(200):
+        wrong = counts * (sigmoid(slope * raw + shift) - truth)
+        slope -= 0.1 * float((wrong * raw).sum() / total) / max(1.0, float((counts * raw * raw).sum() / total) / 4)
+        shift -= 0.5 * float(wrong.sum() / total)
+    return slope, shift
+
+
+def labelled_views(documents: DataFrame) -> DataFrame:
+    """Views of every labelled candidate of every whole text: ``mixed`` (a hash that tells which
+    document it comes from), ``place`` in it, ``label`` and ``view``."""
+    small_batches(documents.sparkSession)
+    rows = documents.where("text is not null").select(F.xxhash64("doc_id", "text").alias("mixed"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for mixed, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                views, labels = labelled_candidates([text], mixed, every=True)
+                for at in range(0, len(labels), 8_192):
+                    part = slice(at, at + 8_192)
+                    some = [one.tobytes() for one in views[part]]
+                    columns = ([mixed] * len(some), range(at, at + len(some)), labels[part].astype(np.int32), some)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column, kind) for column, kind in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+                        names=["mixed", "place", "label", "view"],
+                    )
+
+    return rows.mapInArrow(run, "mixed long, place int, label int, view binary")
+
+
+def trained_on_all(documents: DataFrame, seed: int = 5) -> Model:
+    """A network trained on every labelled candidate of four fifths of the documents, whole texts;
+    all of the other fifth calibrate it and set the threshold. No view passes through the driver:
+    it sees the weights of the trainers and counts of scores. With too few candidates nothing is
+    learnt and nothing is ever added."""
+    held, network = F.pmod("mixed", F.lit(5)) == 0, Network(seed=seed)
+    views = checkpointed(labelled_views(documents))
+    counts = {(row.held, row.label): row["count"] for row in views.groupBy(held.alias("held"), "label").count().collect()}
+    known, secret = (sum(counts.get((False, label), 0) for label in labels) for labels in ((0, 1), (1,)))
+    if known < 2 * BATCH or not 0 < secret < known or not all(counts.get((True, label)) for label in (0, 1)):
+        return Model(network.values, (1.0, 0.0), float("inf"))
+    trainers = max(1, min(TRAINERS, known // TRAINER_VIEWS))
+    turns = max(1, min(ROUNDS, -(-WANTED_VIEWS // known)))
+    # every meeting takes the views of its own share of the places, so a turn takes each view once
+    dealt = F.pmod(F.xxhash64("mixed", "place"), F.lit(MEETINGS))
+    train = checkpointed(
+        views.where(~held).withColumn("meeting", dealt).repartition(trainers, "mixed", "place").sortWithinPartitions("meeting", F.xxhash64("place", "mixed"), "mixed", "place")
+    )
+    steps_done, values = 0, network.values
+    for turn in range(turns):
+        for meeting in range(MEETINGS):
+            rate = RATE * (1 - steps_done / (turns * MEETINGS))
+            values = _met(train.where(F.col("meeting") == meeting), values, rate, secret / known)
+            steps_done += 1
+    return _with_threshold(values, views.where(held))
+
+
+def _met(views: DataFrame, values: dict[str, np.ndarray], rate: float, share: float) -> dict[str, np.ndarray]:
+    """The weights after each task has trained on its views, averaged by how many those were."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, count = Network({name: value.copy() for name, value in values.items()}), 0
+        steps, views, labels = Adam(network.values, rate), [], []
+        for batch in batches:
+            views += batch.column(1).to_pylist()
+            labels += batch.column(0).to_pylist()
+            full = len(views) // BATCH * BATCH
+            for at in range(0, full, BATCH):
+                some = slice(at, at + BATCH)
+                _step(network, steps, _stacked(views[some]), np.array(labels[some], np.float32), share)
+            count, views, labels = count + full, views[full:], labels[full:]
+        if views:
+            _step(network, steps, _stacked(views), np.array(labels, np.float32), share)
+        if count + len(views):
+            yield pa.RecordBatch.from_arrays([pa.array([count + len(views)], pa.int64()), pa.array([pickle.dumps(network.values)], pa.binary())], names=["n", "values"])
+
+    made = views.select("label", "view").mapInArrow(run, "n long, values binary").collect()
+    if not made:
+        return values
+    made = sorted((row.n, bytes(row["values"])) for row in made)
+    total, parts = sum(n for n, _ in made), [(n, pickle.loads(packed)) for n, packed in made]
+    return {name: sum(n * part[name].astype(float) for n, part in parts).astype(np.float32) / np.float32(total) for name in values}
+
+
+def _with_threshold(values: dict[str, np.ndarray], views: DataFrame) -> Model:
+    """Calibration and threshold from all views, counted by label and step of the raw score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = Network(values)
+        for batch in batches:
+            if batch.num_rows:
+                raw = np.clip(network.forward(_stacked(batch.column(1).to_pylist()))[0], -SCORE_BOUND, SCORE_BOUND)
+                steps = np.floor(raw.astype(float) / SCORE_STEP).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(steps)], names=["label", "step"])
+
+    counted = views.select("label", "view").mapInArrow(run, "label int, step int").groupBy("label", "step").count().orderBy("step", "label").collect()
+    truth, step, count = (np.array([row[name] for row in counted], float) for name in ("label", "step", "count"))
+    slope, shift = _calibration((step + 0.5) * SCORE_STEP, truth, count)
+    model = Model(values, (slope, shift), float("inf"))
+    if slope <= 0:
+        return model
+    secrets = np.where(truth == 1, count, 0)
+    missed = np.cumsum(secrets) - secrets  # findings below each step
+    lowest = step[np.flatnonzero((missed <= (1 - RECALL) * secrets.sum()) & (truth == 1))[-1]]
+    over = step >= lowest
+    # half a millionth of a step lower, so that no score on the border falls below by rounding
+    threshold = float(model.scores(np.array([(lowest - 1e-6) * SCORE_STEP]))[0])
+    return replace(model, threshold=threshold, recall=float(secrets[over].sum() / secrets.sum()), precision=float(secrets[over].sum() / count[over].sum()))
+
+
+def _stacked(views: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(views), np.uint8).reshape(-1, WIDTH)
+
+
 def training_texts(documents: DataFrame, count: int = SAMPLE_DOCUMENTS, length: int = SAMPLE_CHARACTERS) -> list[str]:
     """A bounded sample: half documents with a digit run of some length, half others, up to
     ``length`` characters of each around the first such place."""
@@ -346,6 +470,6 @@ def found(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
 
 def secret_findings(documents: DataFrame) -> DataFrame:
     """Counts and digest of the base findings and all findings of every document."""
-    rows = found(documents.select("doc_id", "text"), trained(training_texts(documents)))
+    rows = found(documents.select("doc_id", "text"), trained_on_all(documents))
     counts = [count_of("base_spans", kind).alias(f"n_{kind}") for kind in KINDS[:3]]
     return rows.select("doc_id", *counts, F.sha2(joined_spans("base_spans"), 256).alias("base_sha256"), joined_spans("all_spans").alias("spans"))
