@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillmark.functions.text import strip
+from tillmark.functions.text import strip_plain
 
 
 def hash_key(*parts: Column | str) -> Column:
@@ -15,7 +15,7 @@ def hash_key(*parts: Column | str) -> Column:
 
 def surrogate_sku(retailer: Column, name: Column, url: Column) -> Column:
     """Stable 16-character product key for a feed that has none."""
-    parts = [F.coalesce(F.lower(strip(part)), F.lit("")) for part in (retailer, name, url)]
+    parts = [F.coalesce(F.lower(strip_plain(part)), F.lit("")) for part in (retailer, name, url)]
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 16)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
 from tillmark.functions.staged import Steps, staged
-from tillmark.functions.text import is_empty, strip
+from tillmark.functions.text import is_empty, strip, strip_plain
 
 # Marks that no cell holds: after an item, before a number, for a backslash.
 _SEP, _NUMBER, _BACKSLASH = "\u0001", "\u0002", "\u0003"
@@ -41,13 +41,14 @@ def item_steps(cell: Column, into: str) -> Steps:
 
     A cell that is no list is cut at its quoted commas.
     """
-    text, joined = F.col(f"_{into}_text"), F.col(f"_{into}_joined")
+    text, found = F.col(f"_{into}_text"), F.col(f"_{into}_found")
+    joined = _joined(found)
     loose = F.regexp_replace(F.trim(text, F.lit("[]")), _QUOTED_COMMA, _SEP)
     loose = F.regexp_replace(F.trim(loose, F.lit(_QUOTES)), f"[{_charset(_QUOTES)}]*{_SEP}[{_charset(_QUOTES)}]*", _SEP)
     blank = is_empty(text) | text.isin(*fixed.EMPTY_LISTS)
     return [
-        {f"_{into}_text": strip(cell)},
-        {f"_{into}_joined": _joined(text)},
+        {f"_{into}_text": strip_plain(cell)},
+        {f"_{into}_found": _found(text)},
         {into: F.when(blank, "").when(_complete(joined), _unescaped(joined)).otherwise(loose)},
     ]
 
@@ -57,20 +58,22 @@ def department_steps(cell: Column, into: str) -> Steps:
 
     A cell that is no list is one department.
     """
-    text, joined = F.col(f"_{into}_text"), F.col(f"_{into}_joined")
+    text, found = F.col(f"_{into}_text"), F.col(f"_{into}_found")
+    joined = _joined(found)
     commas = fixed.COMMA_DEPARTMENTS.items()
     named = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), commas, strip(cell))
     listed = F.replace(_unescaped(joined), F.lit("'"), F.lit(""))
     return [
         {f"_{into}_text": F.coalesce(named, F.lit(""))},
-        {f"_{into}_joined": _joined(text)},
+        {f"_{into}_found": _found(text)},
         {into: F.when(_complete(joined), listed).otherwise(F.trim(text, F.lit("[]'\" ")))},
     ]
 
 
 def first_item(separated: Column, default: str = "unknown") -> Column:
     """First non-blank item, stripped."""
-    return F.coalesce(F.nullif(F.regexp_extract(separated, _FIRST, 1), F.lit("")), F.lit(default))
+    first, later = strip_plain(F.substring_index(separated, _SEP, 1)), F.regexp_extract(separated, _FIRST, 1)
+    return F.coalesce(*[F.when(item != "", item) for item in (first, later)], F.lit(default))
 
 
 def items(separated: Column) -> Column:
@@ -94,12 +97,17 @@ def with_items(df: DataFrame, cell: Column, into: str) -> DataFrame:
     )
 
 
-def _joined(text: Column) -> Column:
-    """Items with separators; NULL when the cell has no brackets."""
+def _found(text: Column) -> Column:
+    """Items with separators, numbers marked; NULL when the cell has no brackets."""
     bracketed = (text.startswith("[") & text.endswith("]")) | (text.startswith("(") & text.endswith(")"))
     inner = F.substring(text, F.lit(2), F.length(text) - 2)
     found = F.regexp_replace(inner, _ITEM, f"$1$2{_NUMBER}$3{_SEP}")
-    return F.when(bracketed, F.when(found.rlike(f"{_NUMBER}[^{_SEP}]"), _plain_numbers(found)).otherwise(F.replace(found, F.lit(_NUMBER), F.lit(""))))
+    return F.when(bracketed, F.replace(found, F.lit(_NUMBER + _SEP), F.lit(_SEP)))
+
+
+def _joined(found: Column) -> Column:
+    """The same with the numbers as they are printed."""
+    return F.when(found.contains(_NUMBER), _plain_numbers(found)).otherwise(found)
 
 
 def _plain_numbers(found: Column) -> Column:
@@ -118,7 +126,8 @@ def _plain_numbers(found: Column) -> Column:
 
 def _complete(joined: Column) -> Column:
     """True when nothing but items was found."""
-    return strip(F.substring_index(joined, _SEP, -1)) == ""
+    rest = F.substring_index(joined, _SEP, -1)
+    return (rest == "") | (strip(rest) == "")
 
 
 def _unescaped(joined: Column) -> Column:

@@ -6,22 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillmark.functions.staged import Steps
-from tillmark.functions.text import strip
+from tillmark.functions.text import strip, strip_plain
 
-_DIGITS = r"\d(?:_?\d)*"
-_DECIMAL = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$|^[+-]?(?i:inf(?:inity)?)$"
+_DIGITS = r"\d++(?:_\d++)*+"
+_DECIMAL = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$|^[+-]?(?i:inf(?:inity)?)$"
 _LARGEST_FRACTION = float(2**52)
 _SPLITTER = float(2**27 + 1)
 
 
 def to_double(plain: Column) -> Column:
     """Number of a stripped text, NULL when it is none; hex, suffixes and NaN are no numbers."""
-    return F.when(plain.rlike(_DECIMAL), F.translate(plain, "_", "").try_cast("double"))
+    return F.when(plain.rlike(_DECIMAL), F.replace(plain, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def price_text(cell: Column) -> Column:
     """Price cell without dollar signs and thousands commas."""
-    return strip(F.translate(cell, "$,", ""))
+    return strip(without_signs(cell))
+
+
+def without_signs(cell: Column) -> Column:
+    return F.replace(F.replace(cell, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
 
 
 def price_amount(cell: Column) -> Column:
@@ -29,7 +33,8 @@ def price_amount(cell: Column) -> Column:
 
 
 def price_steps(cell: Column, into: str) -> Steps:
-    return [{f"_{into}_text": price_text(cell)}, {into: to_double(F.col(f"_{into}_text"))}]
+    signless, plain = F.col(f"_{into}_signless"), F.col(f"_{into}_text")
+    return [{f"_{into}_signless": without_signs(cell)}, {f"_{into}_text": strip_plain(signless)}, {into: to_double(plain)}]
 
 
 def round_exact(value: Column, digits: int) -> Column:

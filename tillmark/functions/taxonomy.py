@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
 from tillmark.functions.staged import Steps, staged
-from tillmark.functions.text import quoted, strip, title_case
+from tillmark.functions.text import quoted, strip_plain, title_case
 
 _CORRUPT = r"""^\p{Nd}|["'\[\]/]"""
 
@@ -20,15 +20,13 @@ def category_steps(main: Column, sub: Column | None = None, prefix: str = "canon
     another field and counts as ``Other``.
     """
     plain, pair = F.col(f"_{prefix}_main"), F.col(f"_{prefix}_pair")
-    texts = {f"_{prefix}_main": strip(main)} | ({} if sub is None else {f"_{prefix}_sub": strip(sub)})
+    texts = {f"_{prefix}_main": strip_plain(main)} | ({} if sub is None else {f"_{prefix}_sub": strip_plain(sub)})
     tried = [f"_{prefix}_main"] if sub is None else [f"_{prefix}_sub", f"_{prefix}_main"]
-    keys = {f"{name}_key": F.lower(F.col(name)) for name in tried}
-    known = [found for name in tried for found in _lookups(F.col(f"{name}_key"))]
+    known = [found for name in tried for found in _lookups(F.lower(F.col(name)))]
     title = F.when((plain != "") & ~plain.rlike(_CORRUPT), title_case(plain)).otherwise(fixed.OTHER_CATEGORY)
     own = F.struct(title.alias("l1"), F.lit(None).cast("string").alias("l2"))
     return [
         texts,
-        keys,
         {f"_{prefix}_pair": F.coalesce(*known, own)},
         {f"{prefix}_l1": pair["l1"], f"{prefix}_l2": F.coalesce(pair["l2"], pair["l1"])},
     ]

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
+from tillmark.functions.staged import Steps
 
 _CASED = r"a-z\p{Lu}\p{Ll}\p{Lt}"
 _INNER_START = rf"([^ {_CASED}])(?=[{_CASED}])"
@@ -16,6 +17,14 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(fixed.WHITESPACE))
 
 
+def strip_plain(text: Column) -> Column:
+    """``strip`` for a plain column, which it mentions often: a text whose first and last characters
+    are visible ASCII ones is left as it is, without the search of both ends."""
+    last = F.substring(text.cast("binary"), -1, 1)
+    clean = (text >= "!") & (text < "\x7f") & (last >= F.lit(b"!")) & (last < F.lit(b"\x7f"))
+    return F.when(clean, text).otherwise(strip(text))
+
+
 def is_empty(text: Column) -> Column:
     """True for NULL and for the empty text; never NULL."""
     return F.coalesce(text == "", F.lit(True))
@@ -27,8 +36,10 @@ def title_case(text: Column) -> Column:
     ``initcap`` starts words at spaces only, so a start after any other character first
     gets a marked space, which is taken out again afterwards.
     """
-    marked = F.regexp_replace(F.lower(text), _INNER_START, f"$1{_MARK}")
-    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    lower = F.lower(text)
+    marked = F.regexp_replace(lower, _INNER_START, f"$1{_MARK}")
+    anywhere = F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    return F.when(lower.rlike("[^ a-z]"), anywhere).otherwise(F.initcap(lower))
 
 
 def lookup(pairs: dict[str, str], key: Column) -> Column:
@@ -48,7 +59,7 @@ def package_size_label(size: Column) -> Column:
 
 
 def unit_size_label(size: Column) -> Column:
-    single = F.replace(strip(size), F.lit("1 each"), F.lit("each"))
+    single = F.replace(strip_plain(size), F.lit("1 each"), F.lit("each"))
     return _or_blank(size, _capital_litre(F.lower(single)))
 
 
@@ -65,8 +76,20 @@ def barcode(sku: Column) -> Column:
 
 
 def category_label(category: Column) -> Column:
-    spaced = F.replace(F.replace(category, F.lit("--"), F.lit(" ")), F.lit("-"), F.lit(" "))
-    return F.when(is_empty(category), fixed.OTHER_CATEGORY).otherwise(strip(title_case(spaced)))
+    return label_of_spaced(_spaced(category))
+
+
+def spaced_steps(category: Column, into: str) -> Steps:
+    """What ``label_of_spaced`` makes a label of."""
+    return [{into: _spaced(category)}]
+
+
+def label_of_spaced(spaced: Column) -> Column:
+    return F.when(is_empty(spaced), fixed.OTHER_CATEGORY).otherwise(title_case(strip_plain(spaced)))
+
+
+def _spaced(category: Column) -> Column:
+    return F.replace(F.replace(category, F.lit("--"), F.lit(" ")), F.lit("-"), F.lit(" "))
 
 
 def slug_category(slug: Column) -> Column:
@@ -77,19 +100,29 @@ def slug_category(slug: Column) -> Column:
 
 def leading_brand(name: Column) -> Column:
     """The one or two capitalised all-letter words a name starts with, else its first word."""
-    brand = F.regexp_extract(strip(name), r"^(\p{Lu}\p{L}*(?:\s+\p{Lu}\p{L}*)?(?=\s|$)|\S+)", 1)
-    return F.nullif(F.regexp_replace(brand, r"\s+", " "), F.lit(""))
+    return F.nullif(_brand(strip(name)), F.lit(""))
+
+
+def brand_steps(name: Column, into: str) -> Steps:
+    """The same as steps."""
+    plain, brand = F.col(f"_{into}_name"), F.col(f"_{into}_words")
+    return [{f"_{into}_name": strip_plain(name)}, {f"_{into}_words": _brand(plain)}, {into: F.when(brand != "", brand)}]
+
+
+def _brand(plain: Column) -> Column:
+    brand = F.regexp_extract(plain, r"^(\p{Lu}\p{L}*(?:\s+\p{Lu}\p{L}*)?(?=\s|$)|\S+)", 1)
+    return F.regexp_replace(brand, r"\s+", " ")
 
 
 def availability(status: Column) -> Column:
-    return F.coalesce(lookup(fixed.AVAILABILITY, F.lower(strip(status))), F.lit("unknown"))
+    return F.coalesce(lookup(fixed.AVAILABILITY, F.lower(strip_plain(status))), F.lit("unknown"))
 
 
 def any_special(*fields: Column) -> Column:
     """True when at least one cell says anything but "no"."""
     flag = F.lit(False)
     for field in fields:
-        word = F.lower(strip(field))
+        word = F.lower(strip_plain(field))
         flag = flag | F.coalesce(~word.isin("", *fixed.NOT_SPECIAL_WORDS), F.lit(False))
     return flag
 

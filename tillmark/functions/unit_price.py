@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +12,16 @@ from tillmark.functions.numbers import double_text, round_exact
 from tillmark.functions.staged import Steps, staged
 from tillmark.functions.text import lookup, strip
 
-UNIT_PRICE_TYPE = "struct<value:double,measure:string,norm_value:double,norm_measure:string>"
-
 _UNITS = (
     {word: word for word in fixed.WEIGHT_UNITS}
     | {word: "ml" if millilitres == 1.0 else "l" for word, millilitres in fixed.VOLUME_UNITS.items()}
     | {word: "each" for word in fixed.COUNT_WORDS}
 )
-_PER = r"(?i)[\s\x{a0}]*(?:per|/)[\s\x{a0}]*"
 _AMOUNT = r"[\d.]+"
-_QUANTITY = r"^([\d.]+)?\s*([a-zA-Z]+)"
+_CENTS = r"\dc\b|[cC][\x{85}\x{2028}\x{2029}]?[\s\x{a0}]*\z"
+# digits, white space and a word; what comes before the word
+_QUANTITY = r"^(?:per|/)[\s\x{a0}]*+([\d.]*\s*[a-zA-Z]+)"
+_BEFORE_WORD = "0123456789. \t\n\x0b\f\r"
 
 
 def canonical_unit(word: Column) -> Column:
@@ -27,7 +29,7 @@ def canonical_unit(word: Column) -> Column:
 
 
 def unit_price_steps(raw: Column, into: str) -> Steps:
-    """Struct ``into``: value and measure as shown, and the value per kg, litre or piece.
+    """What ``unit_price`` makes value and measure of: as shown, and per kg, litre or piece.
 
     The cell reads "<amount> per <quantity><unit>", cut at its first "per" or slash.
     """
@@ -35,9 +37,14 @@ def unit_price_steps(raw: Column, into: str) -> Steps:
     def part(name: str) -> Column:
         return F.col(f"_{into}_{name}")
 
-    left, right = F.get(part("halves"), F.lit(0)), F.get(part("halves"), F.lit(1))
-    amount, cents, count, word = part("amount"), part("cents"), part("count"), part("word")
-    value, qty, unit, base = part("value"), part("qty"), part("unit"), part("base")
+    # "per" in any case, and nothing else, is lower case here; texts keep their length
+    lower = reduce(lambda text, letter: F.replace(text, F.lit(letter.upper()), F.lit(letter)), "per", raw)
+    left = F.substring_index(F.replace(part("lower"), F.lit("per"), F.lit("/")), "/", 1)
+    right = F.substring(part("lower"), F.length(left) + 1, F.length(part("lower")))  # from "per" or slash on, else empty
+    amount, cents, quantity = part("amount"), part("cents"), part("quantity")
+    word = F.ltrim(quantity, F.lit(_BEFORE_WORD))
+    count = F.replace(quantity, word, F.lit(""))  # may end in white space, which a cast does not mind
+    value, qty, unit = part("value"), part("qty"), part("unit")
 
     dollars = F.when(cents, round_exact(amount / 100.0, 4)).otherwise(amount)
     # a quantity such as "1.2.3" makes the whole cell unreadable
@@ -53,33 +60,34 @@ def unit_price_steps(raw: Column, into: str) -> Steps:
     )
     base_name = F.when(unit == "each", "per_each").when(unit.isin("ml", "l"), "per_l").otherwise("per_kg")
     return [
-        {f"_{into}_halves": F.split(strip(raw), _PER, 2)},
+        {f"_{into}_lower": lower},
         {
-            f"_{into}_amount": F.when(right.isNotNull(), F.regexp_extract(left, _AMOUNT, 0)).try_cast("double"),
-            f"_{into}_cents": ~left.contains("$") & left.rlike(r"\dc\b|[cC]$"),
-            f"_{into}_count": F.regexp_extract(right, _QUANTITY, 1),
-            f"_{into}_word": F.regexp_extract(right, _QUANTITY, 2),
+            f"_{into}_amount": F.when(right != "", F.regexp_extract(left, _AMOUNT, 0)).try_cast("double"),
+            f"_{into}_cents": ~left.contains("$") & left.rlike(_CENTS),
+            f"_{into}_quantity": F.regexp_extract(right, _QUANTITY, 1),
         },
         {
             f"_{into}_value": F.when(readable, dollars),
             f"_{into}_qty": F.when(count == "", 1.0).otherwise(count.try_cast("double")),
-            f"_{into}_unit": canonical_unit(word),
+            f"_{into}_unit": lookup(_UNITS, F.lower(word)),
         },
         {
             f"_{into}_measure": F.when(priced, F.concat(F.lit("per_"), shown_qty, unit)),
             f"_{into}_base": F.when(comparable, per_base),
             f"_{into}_base_name": F.when(comparable, base_name),
         },
-        {
-            into: F.struct(
-                value.alias("value"),
-                part("measure").alias("measure"),
-                round_exact(base, 4).alias("norm_value"),
-                part("base_name").alias("norm_measure"),
-            )
-        },
     ]
 
 
+def unit_price(into: str) -> dict[str, Column]:
+    """Value, measure, comparable value and its measure, after the steps."""
+    found = {"value": "value", "measure": "measure", "norm_value": "base", "norm_measure": "base_name"}
+    columns = {name: F.col(f"_{into}_{step}") for name, step in found.items()}
+    return columns | {"norm_value": round_exact(columns["norm_value"], 4)}
+
+
 def with_unit_price(df: DataFrame, raw: str, into: str) -> DataFrame:
-    return staged(df, unit_price_steps(F.col(raw), into)).select(*[F.col(f"`{name}`") for name in df.columns], into)
+    parts = F.struct(*[column.alias(name) for name, column in unit_price(into).items()])
+    return staged(df, unit_price_steps(F.col(raw), into)).select(
+        *[F.col(f"`{name}`") for name in df.columns], parts.alias(into)
+    )

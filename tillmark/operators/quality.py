@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions import fixed_values as fixed
 from tillmark.functions.numbers import double_text, round_exact
-from tillmark.functions.text import strip
+from tillmark.functions.text import strip_plain
 
 PASS, QUARANTINE, DROP = "pass", "quarantine", "drop"
 
@@ -37,7 +37,7 @@ def retailer_rule(retailer: Column) -> Rule:
 
 
 def product_name_rule(name: Column) -> Rule:
-    return Rule(DROP, F.coalesce(strip(name) == "", F.lit(True)), F.lit("missing_product_name"))
+    return Rule(DROP, F.coalesce(strip_plain(name) == "", F.lit(True)), F.lit("missing_product_name"))
 
 
 def price_present_rules(price: Column, availability: Column) -> list[Rule]:

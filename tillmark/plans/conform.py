@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tillmark.functions import keys, lists, text
 from tillmark.functions.numbers import price_steps
-from tillmark.functions.staged import staged
+from tillmark.functions.staged import Steps, staged
 from tillmark.functions.taxonomy import category_steps
-from tillmark.functions.unit_price import UNIT_PRICE_TYPE, unit_price_steps
+from tillmark.functions.unit_price import unit_price, unit_price_steps
 from tillmark.sources.feeds import LINEAGE, FeedSpec, From, column_or_null
 
 _FIELDS = (
@@ -22,33 +22,38 @@ _FIELDS = (
 
 def conform(df: DataFrame, feed: FeedSpec) -> DataFrame:
     """Project a raw feed, batch or stream, onto the 24 columns of the common model."""
-    fields = _cleaned_fields(df, feed)
     has = feed.columns.__contains__
-
     retailer, name, url = F.lit(feed.retailer), F.col("product_name"), F.col("product_url")
+    cleaned = {field: _cleaning(source, field) for field, source in feed.columns.items()}
     parsers = [
+        *cleaned.values(),
+        [{"on_special": text.any_special(*[F.col(f"_special_{place}") for place in range(len(feed.specials))])}],
         price_steps(F.col("price"), "price_aud"),
         price_steps(F.col("previous_price"), "previous_price_aud"),
-        category_steps(F.col("main_category"), F.col("sub_category") if has("sub_category") else None),
-        unit_price_steps(F.col("unit_price"), "unit") if has("unit_price") else [{"unit": _null(UNIT_PRICE_TYPE)}],
-        [{"brand_text": F.col("brand") if has("brand") else text.leading_brand(name)}],
+        _after(cleaned, ("main_category", "sub_category"), category_steps(F.col("main_category"), F.col("sub_category") if has("sub_category") else None)),
     ]
+    if has("unit_price"):
+        parsers.append(unit_price_steps(F.col("unit_price"), "unit"))
+    if not has("brand"):
+        parsers.append(_after(cleaned, ("product_name",), text.brand_steps(name, "brand")))
     if has("suppliers"):
         parsers.append(lists.item_steps(F.col("suppliers"), "supplier_items"))
+    unit = unit_price("unit") if has("unit_price") else {"value": _null("double"), "measure": _null("string"), "norm_value": _null("double"), "norm_measure": _null("string")}
     supplier = lists.first_item(F.col("supplier_items")) if has("suppliers") else _null("string")
     sku = F.col("source_sku") if has("source_sku") else keys.surrogate_sku(retailer, name, url)
     size = F.col("package_size") if has("package_size") else F.lit("")
-    return staged(fields, *parsers).select(
+    found = staged(_read(df, feed), *parsers)
+    return (found if feed.keep is None else found.filter(feed.keep())).select(
         retailer.alias("retailer"),
         sku.alias("source_sku"),
         "product_name",
-        F.col("brand_text").alias("brand"),
+        "brand",
         "price_aud",
         "previous_price_aud",
-        F.col("unit.value").alias("unit_price_value"),
-        F.col("unit.measure").alias("unit_price_measure"),
-        F.col("unit.norm_value").alias("norm_unit_price"),
-        F.col("unit.norm_measure").alias("norm_unit_measure"),
+        unit["value"].alias("unit_price_value"),
+        unit["measure"].alias("unit_price_measure"),
+        unit["norm_value"].alias("norm_unit_price"),
+        unit["norm_measure"].alias("norm_unit_measure"),
         F.col("package_size").alias("package_size_raw"),
         "on_special",
         text.availability(F.col("availability")).alias("availability"),
@@ -59,7 +64,7 @@ def conform(df: DataFrame, feed: FeedSpec) -> DataFrame:
         "canonical_l1",
         "canonical_l2",
         "product_url",
-        text.match_key(F.col("brand_text"), name, size).alias("brand_product_size"),
+        text.match_key(F.col("brand"), name, size).alias("brand_product_size"),
         F.col("_snapshot_date").alias("snapshot_date"),
         "_source_file",
         "_ingest_ts",
@@ -72,24 +77,23 @@ def conform_all(raw: dict[FeedSpec, DataFrame] | list[tuple[FeedSpec, DataFrame]
     return reduce(DataFrame.unionByName, [conform(df, feed) for feed, df in pairs])
 
 
-def _cleaned_fields(df: DataFrame, feed: FeedSpec) -> DataFrame:
-    """One column per field of the model, cleaned; rows the feed does not keep are gone."""
+def _read(df: DataFrame, feed: FeedSpec) -> DataFrame:
+    """One column per field of the model, as the feed has it, and its cells that tell specials."""
     headers = {name: column_or_null(df, source.header) for name, source in feed.columns.items()}
-    special = text.any_special(*[column_or_null(df, header) for header in feed.specials])
-    read = df.select(
-        *[headers.get(name, _null("string")).alias(name) for name in _FIELDS], special.alias("on_special"), *LINEAGE
-    )
-    parsed = staged(read, *[source.parse(F.col(name), f"_{name}") for name, source in feed.columns.items() if source.parse])
-    cleaned = parsed.select(
-        *[_clean(feed.columns.get(name), name).alias(name) for name in _FIELDS], "on_special", *LINEAGE
-    )
-    return cleaned if feed.keep is None else cleaned.filter(feed.keep())
+    headers |= {f"_special_{place}": column_or_null(df, header) for place, header in enumerate(feed.specials)}
+    missing = {name: _null("string") for name in _FIELDS}
+    return df.select(*[column.alias(name) for name, column in (missing | headers).items()], *LINEAGE)
+
+
+def _cleaning(source: From, name: str) -> Steps:
+    """A field's parse, if any, and its clean-up, which takes the field's name."""
+    steps = source.parse(F.col(name), f"_{name}") if source.parse else []
+    return steps if source.clean is None else [*steps, {name: source.clean(F.col(f"_{name}" if source.parse else name))}]
 
 
-def _clean(source: From | None, name: str) -> Column:
-    if source is None or source.clean is None:
-        return F.col(name)
-    return source.clean(F.col(f"_{name}" if source.parse else name))
+def _after(cleaned: dict[str, Steps], fields: tuple[str, ...], steps: Steps) -> Steps:
+    """Steps that begin when the fields are cleaned."""
+    return [{}] * max(len(cleaned.get(field, [])) for field in fields) + steps
 
 
 def _null(kind: str) -> Column:

@@ -113,7 +113,7 @@ COLES = FeedSpec(
         "package_size": From("Unit Size", text.unit_size_label),
         "availability": From("Availability"),
         "suppliers": From("Suppliers"),
-        "main_category": From("Category", text.category_label),
+        "main_category": From("Category", text.label_of_spaced, text.spaced_steps),
         "product_url": From("URL"),
     },
     specials=("On Special",),
@@ -131,7 +131,7 @@ IGA = FeedSpec(
         "source_sku": From("SKU", text.barcode),
         "price": From("Price"),
         "unit_price": From("Price per unit"),
-        "main_category": From("Main Category", text.category_label),
+        "main_category": From("Main Category", text.label_of_spaced, text.spaced_steps),
         "sub_category": From("Sub Category"),
         "product_url": From("Product URL"),
     },
