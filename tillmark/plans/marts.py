@@ -17,6 +17,8 @@ DAILY_COLUMNS = (
     "canonical_l1", "canonical_l2", "product_url", "snapshot_date",
 )
 _DERIVED = ("retailer_sk", "date_sk", "prev_day_price", "price_change_pct")
+# What the daily fact takes over; the source file only settles the order of rows that are otherwise alike.
+DAILY_INPUTS = (*[name for name in DAILY_COLUMNS if name not in _DERIVED], "_source_file")
 
 
 def fact_price_daily(fact: DataFrame) -> DataFrame:
@@ -25,9 +27,7 @@ def fact_price_daily(fact: DataFrame) -> DataFrame:
 
 
 def daily_inputs(fact: DataFrame) -> DataFrame:
-    """What the daily fact takes over; the source file only settles the order of rows that are
-    otherwise alike."""
-    return fact.select(*[name for name in DAILY_COLUMNS if name not in _DERIVED], "_source_file")
+    return fact.select(*DAILY_INPUTS)
 
 
 def looked_back(rows: DataFrame) -> DataFrame:

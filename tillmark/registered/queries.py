@@ -398,7 +398,7 @@ def _daily_streamed(rows: Callable[[SparkSession, str], DataFrame]):
     """The daily fact kept up over two runs."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        work, facts = work_folder(spark, "daily"), rows(spark, sf_dir)
+        work, facts = work_folder(spark, "daily"), rows(spark, sf_dir).select(*daily.INPUTS)
         where = (facts.schema, f"{work}/daily", f"{work}/checkpoint")
         _in_two_runs(facts, LATER, work, lambda table: daily.run_daily(spark, table, *where, buckets=BUCKETS))
         return daily.current(spark, f"{work}/daily", facts.schema)

@@ -3,8 +3,8 @@
 ``last`` holds the last trusted observation of every product, ``rows`` the daily fact. Rows
 that come after their product's last observation look back to it, and are added to their bucket. A
 product with a row at or before its last observation is late: the row that follows it must look
-back to it now, so the product's stored rows are ordered anew with the fresh ones and their
-bucket is replaced.
+back to it now, so the stored rows of its bucket are ordered anew with the fresh ones and the
+bucket is replaced. Whole rows travel once, to the task that writes them (``operators/pieces.py``).
 """
 
 from __future__ import annotations
@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillmark.operators.pieces import CARRIED, PIECE_ROWS, cuts, with_value_before
 from tillmark.operators.quality import trusted
-from tillmark.plans.marts import DAILY_COLUMNS, daily_inputs, looked_back, with_daily_columns
+from tillmark.plans.marts import DAILY_COLUMNS, DAILY_INPUTS, daily_inputs, with_daily_columns
 from tillmark.sources import parted
 from tillmark.sources.tables import read_table_stream
-from tillmark.streaming.late import late_keys, of_keys
+from tillmark.streaming.late import late_keys
 from tillmark.streaming.runs import run_batches
 
 KEY, DAY, PRICE = "product_sk", "snapshot_date", "price_aud"
+# What is read of the price fact.
+INPUTS = (*DAILY_INPUTS, "is_quarantined")
 BUCKETS = 64
 
 
@@ -42,34 +45,29 @@ def run_daily(
     return run_batches(read_table_stream(spark, fact, schema, files_per_batch), update, checkpoint)
 
 
-def bring_up_to_date(batch: DataFrame, daily: str, number: int, buckets: int = BUCKETS) -> None:
+def bring_up_to_date(batch: DataFrame, daily: str, number: int, buckets: int = BUCKETS, piece_rows: int = PIECE_ROWS) -> None:
     spark, part = batch.sparkSession, parted.bucket([KEY], buckets)
-    rows, lasts, late = (f"{daily}/{name}" for name in ("rows", "last", "late"))
+    rows, lasts, cut = (f"{daily}/{name}" for name in ("rows", "last", "cuts"))
     fresh = daily_inputs(trusted(batch))
     schema = stored_schema(batch.schema)
     last_schema = T.StructType([schema[name] for name in (KEY, DAY, PRICE)])
     touched = parted.parts_of(fresh, part)
 
     last = parted.read(spark, lasts, last_schema, number, touched)
-    back = parted.store(late_keys(fresh, last, [KEY], DAY), late, number, part)
-    named = parted.read_version(spark, late, T.StructType([schema[KEY]]), number)
-
-    forward, others = fresh, None
-    if back:
-        forward = of_keys(fresh, named, [KEY], inside=False)
-        stored = parted.read(spark, rows, schema, number, back)
-        again = of_keys(stored, named, [KEY]).select(*fresh.columns).unionByName(of_keys(fresh, named, [KEY]))
-        others = of_keys(stored, named, [KEY], inside=False).unionByName(with_daily_columns(looked_back(again)))
-    # the last observation stands before its product's fresh rows, then goes
-    before = last.select(*[F.col(name) if name in last.columns else F.lit(None).cast(fresh.schema[name].dataType).alias(name) for name in fresh.columns])
-    ordered = looked_back(forward.withColumn("_carried", F.lit(False)).unionByName(before.withColumn("_carried", F.lit(True))))
-    changed = with_daily_columns(ordered.where(~F.col("_carried")).drop("_carried")).select(*schema.names)
-    changed = changed.unionByName(others.select(*schema.names)) if others is not None else changed
-    parted.store(changed, rows, number, F.concat(part, F.when(part.isin(back), "").otherwise(parted.MORE)))
+    back = parted.parts_of(late_keys(fresh, last, [KEY], DAY), part)
+    # the last observation stands before its product's fresh rows, or all stored ones do
+    stored = parted.read(spark, rows, schema, number, back).select(*fresh.columns)
+    before = last.where(~part.isin(back)).withColumn(CARRIED, F.lit(True))
+    seen = fresh.unionByName(stored).withColumn(CARRIED, F.lit(False)).unionByName(before, allowMissingColumns=True)
+    seen = seen.withColumn(parted.PART, part)
+    cuts(seen, [KEY, DAY, PRICE], piece_rows).write.mode("overwrite").parquet(cut)
+    found = spark.read.parquet(cut)
+    changed = with_daily_columns(with_value_before(seen, found, touched, KEY, DAY, PRICE, "prev_day_price")).select(*schema.names)
+    parted.store(changed, rows, number, F.concat(part, F.when(part.isin(back), "").otherwise(parted.MORE)), together=True)
 
     newest = last.unionByName(fresh.select(KEY, DAY, PRICE)).groupBy(KEY).agg(F.max(F.struct(DAY, PRICE)).alias("_newest"))
     parted.store(newest.select(KEY, f"_newest.{DAY}", f"_newest.{PRICE}"), lasts, number, part)
-    for path in (rows, lasts, late):
+    for path in (rows, lasts):
         parted.tidy(spark, path, number)
 
 
