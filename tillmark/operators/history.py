@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.operators.ordered import RANGE, digests, neighbours, ranged
+from tillmark.operators.ordered import RANGE, busy_keys, digests, free_names, neighbours, ranged
 
 START, END = "__START_AT", "__END_AT"
 _GRAIN = "__GRAIN"
+_LOOKS = ("now", "begin", "was", "will_be", "next", "opens", "closes", "begin_before")
 
 
 @dataclass(frozen=True)
@@ -108,9 +109,46 @@ def whole_versions(seen: DataFrame, spec: HistorySpec, start: str | None = None)
     return seen.select(*columns, *met).join(closing, list(met)).select(*columns, START, END)
 
 
+def best_together(rows: DataFrame, spec: HistorySpec, group: list[str]) -> DataFrame:
+    """The best row per key and sequence, found in the task in which the rows of a ``group`` lie."""
+    stored = spec.stored(rows.columns)
+    rest = [name for name in stored if name not in (*spec.keys, *group, spec.sequence, *spec.prefer)]
+    order = [F.col(spec.sequence), *[F.desc(name) for name in (*spec.prefer, *rest)]]
+    when, (before,) = F.struct(spec.sequence), free_names(rows, "_before")
+    found = rows.withColumn(before, F.lag(when).over(Window.partitionBy(*group).orderBy(*order)))
+    return found.where(~when.eqNullSafe(F.col(before))).drop(before)
+
+
+def versions_together(rows: DataFrame, spec: HistorySpec, group: list[str], columns: list[str], begin: Column | None = None) -> DataFrame:
+    """``versions`` with ``columns``, found in the task in which the rows of a ``group`` lie."""
+    order = Window.partitionBy(*group).orderBy(spec.sequence)
+    now, since, was, will_be, following, opens, closes, since_before = free_names(rows, *(f"_{name}" for name in _LOOKS))
+    marked = rows.withColumns(
+        {now: F.struct(*digests(rows, list(spec.tracked), "__NOW").values()), since: F.col(spec.sequence) if begin is None else begin}
+    )
+    looks = {was: F.lag(now), will_be: F.lead(now), following: F.lead(spec.sequence)}
+    near = marked.withColumns({name: look.over(order) for name, look in looks.items()})
+    differs = {opens: ~F.col(now).eqNullSafe(F.col(was)), closes: ~F.col(now).eqNullSafe(F.col(will_be))}
+    borders = near.select(*rows.columns, since, following, *[column.alias(name) for name, column in differs.items()])
+    borders = borders.filter(F.col(opens) | F.col(closes)).withColumn(since_before, F.lag(since).over(order))
+    own_begin = F.when(F.col(opens), F.col(since)).otherwise(F.col(since_before))
+    return borders.filter(F.col(closes)).select(*columns, own_begin.alias(START), F.col(following).alias(END))
+
+
 def scd2(df: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Full history of a table; the order of its rows does not matter."""
-    return whole_versions(_best(df, spec), spec)
+    """Full history of a table; the order of its rows does not matter.
+
+    Whole rows are dealt once, by key, and all else is found in the task that a key's rows meet in. Rows
+    of busy keys, and all rows if a sample tells nothing of the keys, are dealt by ranges instead.
+    """
+    keys = list(spec.keys)
+    busy = busy_keys(df, keys)
+    if busy is None:
+        return whole_versions(_best(df, spec), spec)
+    usual = busy.without(df.select(*spec.stored(df.columns)))
+    found = versions_together(best_together(usual, spec, keys), spec, keys, spec.kept(usual.columns))
+    rest = busy.among(df)
+    return found if rest is None else found.unionByName(whole_versions(_best(rest, spec), spec))
 
 
 def _same(neighbour: str) -> Column:

@@ -12,15 +12,22 @@ and nothing runs while the query is built.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.session import shuffles_released
+
 RANGE = "_range"
 # Copies of one row that travel as one counted row; only bounds what one task writes at a time.
 COPIES_PER_BLOCK = 1_000_000
+# The share of all rows that is looked at for busy keys, and how many of those rows make a key busy.
+SEEN_SHARE, BUSY_SEEN = 0.01, 100
+# Keys beyond the busiest ones hold less than a thousandth of the rows each.
+MOST_BUSY = 1_000
 
 
 def same_key(keys: list[str]) -> Column:
@@ -89,6 +96,42 @@ def digests(df: DataFrame, columns: list[str], name: str) -> dict[str, Column]:
     return {f"{name}{turn}": F.xxhash64(F.lit(turn), *parts) for turn in range(2)}
 
 
+@dataclass(frozen=True)
+class BusyKeys:
+    """Keys with so many rows that no single task should take one; ``found`` holds their digests."""
+
+    keys: list[str]
+    found: DataFrame | None
+
+    def without(self, df: DataFrame) -> DataFrame:
+        """Rows of all other keys."""
+        return df if self.found is None else self._met(df, "left_anti")
+
+    def among(self, df: DataFrame) -> DataFrame | None:
+        """Rows of the busy keys; None if there are no such keys."""
+        return None if self.found is None else self._met(df, "left_semi")
+
+    def _met(self, df: DataFrame, how: str) -> DataFrame:
+        named = digests(df, self.keys, "__KEY")
+        return df.withColumns(named).join(F.broadcast(self.found), list(named), how).drop(*named)
+
+
+def busy_keys(df: DataFrame, keys: list[str], share: float = SEEN_SHARE, busy_seen: int = BUSY_SEEN) -> BusyKeys | None:
+    """The keys that a sample of the rows shows to be busy, ``MOST_BUSY`` at most; None if it shows no rows.
+
+    Runs a job over the key columns. Which keys are found decides where rows go, not what comes out.
+    """
+    named = digests(df, keys, "__KEY")
+    picked = df.select(*[column.alias(name) for name, column in named.items()]).sample(share, 1)
+    counted = picked.groupBy(*named).agg(F.count(F.lit(1)).alias("_seen")).orderBy(F.desc("_seen")).limit(MOST_BUSY)
+    with shuffles_released(df.sparkSession):
+        seen = counted.collect()
+    busy = [tuple(row)[:-1] for row in seen if row["_seen"] >= busy_seen]
+    if not seen:
+        return None
+    return BusyKeys(keys, df.sparkSession.createDataFrame(busy, picked.schema) if busy else None)
+
+
 def with_previous_value(
     df: DataFrame, key: str, sequence: str, value: str, into: str, copies_per_block: int = COPIES_PER_BLOCK
 ) -> DataFrame:
