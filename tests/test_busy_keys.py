@@ -12,6 +12,10 @@ from test_plans import plan_of
 
 from tillmark.operators import history, ordered
 from tillmark.operators.history import END, START, HistorySpec, scd2
+from tillmark.session import RELEASE_SETTING
+from tillmark.streaming import history as streamed
+from tillmark.streaming.late import maybe_of_keys, of_keys
+from tillmark.streaming.runs import run_batches
 
 
 def looking(monkeypatch, module, busy_seen):
@@ -51,3 +55,49 @@ def test_columns_named_like_those_of_a_look(spark, monkeypatch):
     df = spark.createDataFrame(rows, "k string, day date, _now int, _was string, _Begin string")
     want = Counter({(*rows[1], rows[0][1], rows[2][1]): 1, (*rows[3], rows[2][1], None): 1})
     assert multiset(scd2(df.unionByName(df.where(F.col("day") > DAY)), spec)) == want
+
+
+@pytest.mark.parametrize("busy_seen", [1, 20, 60, 1_000])
+def test_streamed_history_with_and_without_busy_keys(spark, tmp_path, monkeypatch, busy_seen):
+    """Most keys come late in some batch, some keep to their order, and null keys and days are there."""
+    looking(monkeypatch, streamed, busy_seen)
+    rows = [(None if key == "hot" else key, *rest) for key, *rest in history_rows(seed=8)]
+    rows = sorted(rows[:350], key=lambda row: row[1]) + rows[350:]
+    for number, some in enumerate((rows[:200], rows[200:350], rows[350:380], rows[380:])):
+        batch = spark.createDataFrame(some, HISTORY_SCHEMA)
+        streamed.bring_up_to_date(batch, f"{tmp_path}/h", number, SPEC, buckets=3, piece_rows=40)
+        got = streamed.current(spark, f"{tmp_path}/h", batch.schema, SPEC)
+        assert multiset(got) == brute_history(rows[: (200, 350, 380, 500)[number]])
+
+
+def test_a_streamed_history_deals_whole_rows_once_per_table(spark, tmp_path, monkeypatch):
+    looking(monkeypatch, streamed, 1_000)
+    plans, store = [], streamed.parted.store
+    monkeypatch.setattr(streamed.parted, "store", lambda df, *rest, **more: plans.append(plan_of(df)) or store(df, *rest, **more))
+    rows = history_rows()
+    for number, some in enumerate((rows[:300], rows[300:])):
+        streamed.bring_up_to_date(spark.createDataFrame(some, HISTORY_SCHEMA), f"{tmp_path}/h", number, SPEC, buckets=3)
+    for seen, _, versions in (plans[:3], plans[3:]):
+        wide = [[columns for columns, _ in exchanges(plan) if "other#" in columns] for plan in (seen, versions)]
+        assert [len(found) for found in wide] == [1, 1]
+        assert versions.count(") Sort\n") == 1 and "SortMergeJoin" not in versions
+
+
+def test_shuffles_of_a_batch_are_released(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    found = []
+
+    def note(batch, number):
+        found.append(batch.sparkSession.conf.get(RELEASE_SETTING))
+
+    run_batches(spark.readStream.schema("id long").parquet(f"{tmp_path}/in"), note, f"{tmp_path}/c")
+    assert found == ["true"] and spark.conf.get(RELEASE_SETTING) == "false"
+
+
+@pytest.mark.parametrize("bits", [1 << 6, 1 << 9, 1 << 24])
+def test_rows_that_may_be_of_some_keys(spark, bits):
+    rows = spark.range(3_000).selectExpr("case when id % 500 > 0 then id % 1000 end as k", "cast(id % 7 as string) as m")
+    some = rows.where("k % 50 = 3 or k is null and m = '2'").distinct()
+    got, exact = maybe_of_keys(rows, some, ["k", "m"], bits), of_keys(rows, some, ["k", "m"])
+    assert got.columns == ["k", "m"] and exact.exceptAll(got).count() == 0 and got.exceptAll(rows).count() == 0
+    assert got.count() == exact.count() if bits > 1 << 9 else got.count() <= 3_000

@@ -11,7 +11,7 @@ from tillmark.operators.ordered import RANGE, busy_keys, digests, free_names, ne
 
 START, END = "__START_AT", "__END_AT"
 _GRAIN = "__GRAIN"
-_LOOKS = ("now", "begin", "was", "will_be", "next", "opens", "closes", "begin_before")
+_LOOKS = ("now", "begin", "was", "will_be", "next", "opens", "closes", "begin_before", "end")
 
 
 @dataclass(frozen=True)
@@ -109,30 +109,42 @@ def whole_versions(seen: DataFrame, spec: HistorySpec, start: str | None = None)
     return seen.select(*columns, *met).join(closing, list(met)).select(*columns, START, END)
 
 
-def best_together(rows: DataFrame, spec: HistorySpec, group: list[str]) -> DataFrame:
+def best_order(spec: HistorySpec, stored: list[str]) -> list[Column]:
+    """The order in which the best row of a key and sequence comes first among those of both."""
+    rest = [name for name in stored if name not in (*spec.keys, spec.sequence, *spec.prefer)]
+    return [F.col(spec.sequence), *[F.desc(name) for name in (*spec.prefer, *rest)]]
+
+
+def best_together(rows: DataFrame, spec: HistorySpec, group: list[str], stored: list[str]) -> DataFrame:
     """The best row per key and sequence, found in the task in which the rows of a ``group`` lie."""
-    stored = spec.stored(rows.columns)
-    rest = [name for name in stored if name not in (*spec.keys, *group, spec.sequence, *spec.prefer)]
-    order = [F.col(spec.sequence), *[F.desc(name) for name in (*spec.prefer, *rest)]]
     when, (before,) = F.struct(spec.sequence), free_names(rows, "_before")
-    found = rows.withColumn(before, F.lag(when).over(Window.partitionBy(*group).orderBy(*order)))
+    found = rows.withColumn(before, F.lag(when).over(Window.partitionBy(*group).orderBy(*best_order(spec, stored))))
     return found.where(~when.eqNullSafe(F.col(before))).drop(before)
 
 
-def versions_together(rows: DataFrame, spec: HistorySpec, group: list[str], columns: list[str], begin: Column | None = None) -> DataFrame:
-    """``versions`` with ``columns``, found in the task in which the rows of a ``group`` lie."""
+def versions_together(
+    rows: DataFrame, spec: HistorySpec, group: list[str], columns: list[str], begin: Column | None = None, end: Column | None = None
+) -> DataFrame:
+    """``versions`` with ``columns``, found in the task in which the rows of a ``group`` lie. ``begin`` is the
+    start of a row's version if the row opens it. A row with an ``end`` is a whole version already."""
     order = Window.partitionBy(*group).orderBy(spec.sequence)
-    now, since, was, will_be, following, opens, closes, since_before = free_names(rows, *(f"_{name}" for name in _LOOKS))
+    now, since, was, will_be, following, opens, closes, since_before, ended = free_names(rows, *(f"_{name}" for name in _LOOKS))
     marked = rows.withColumns(
-        {now: F.struct(*digests(rows, list(spec.tracked), "__NOW").values()), since: F.col(spec.sequence) if begin is None else begin}
+        {
+            now: F.struct(*digests(rows, list(spec.tracked), "__NOW").values()),
+            since: F.col(spec.sequence) if begin is None else begin,
+            ended: F.lit(None).cast(rows.schema[spec.sequence].dataType) if end is None else end,
+        }
     )
     looks = {was: F.lag(now), will_be: F.lead(now), following: F.lead(spec.sequence)}
     near = marked.withColumns({name: look.over(order) for name, look in looks.items()})
     differs = {opens: ~F.col(now).eqNullSafe(F.col(was)), closes: ~F.col(now).eqNullSafe(F.col(will_be))}
-    borders = near.select(*rows.columns, since, following, *[column.alias(name) for name, column in differs.items()])
-    borders = borders.filter(F.col(opens) | F.col(closes)).withColumn(since_before, F.lag(since).over(order))
-    own_begin = F.when(F.col(opens), F.col(since)).otherwise(F.col(since_before))
-    return borders.filter(F.col(closes)).select(*columns, own_begin.alias(START), F.col(following).alias(END))
+    borders = near.select(*rows.columns, since, ended, following, *[column.alias(name) for name, column in differs.items()])
+    is_whole = F.col(ended).isNotNull()
+    borders = borders.filter(F.col(opens) | F.col(closes) | is_whole).withColumn(since_before, F.lag(since).over(order))
+    own_begin = F.when(F.col(opens) | is_whole, F.col(since)).otherwise(F.col(since_before))
+    ends = F.coalesce(F.col(ended), F.col(following))
+    return borders.filter(F.col(closes) | is_whole).select(*columns, own_begin.alias(START), ends.alias(END))
 
 
 def scd2(df: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -146,7 +158,7 @@ def scd2(df: DataFrame, spec: HistorySpec) -> DataFrame:
     if busy is None:
         return whole_versions(_best(df, spec), spec)
     usual = busy.without(df.select(*spec.stored(df.columns)))
-    found = versions_together(best_together(usual, spec, keys), spec, keys, spec.kept(usual.columns))
+    found = versions_together(best_together(usual, spec, keys, usual.columns), spec, keys, spec.kept(usual.columns))
     rest = busy.among(df)
     return found if rest is None else found.unionByName(whole_versions(_best(rest, spec), spec))
 

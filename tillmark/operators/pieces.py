@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.sources.parted import PART
@@ -34,6 +34,15 @@ def cuts(rows: DataFrame, order: list[str], piece_rows: int = PIECE_ROWS) -> Dat
     return picked.select(PART, *order).distinct().groupBy(PART).agg(F.sort_array(F.collect_list(F.struct(*order))).alias(CUTS))
 
 
+def by_key(rows: DataFrame, keys: list[str], part: Column, parts: Collection[str], n_rows: int, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Rows dealt to pieces (column ``PIECE``) by the hashes of their keys, each piece of one of the
+    ``parts``. About ``n_rows`` rows are expected."""
+    per_part = max(1, -(-n_rows // (max(1, len(parts)) * piece_rows)))
+    place = F.array_position(F.array(*[F.lit(name) for name in sorted(parts)]), part) - 1
+    piece = (place * per_part + F.pmod(F.hash(*keys), F.lit(per_part))).cast("int")
+    return rows.withColumn(PIECE, piece).repartitionById(max(1, len(parts)) * per_part, F.col(PIECE))
+
+
 def with_value_before(
     rows: DataFrame, found: DataFrame, parts: Collection[str], key: str, sequence: str, value: str, into: str
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from tillmark.plans.conform import conform, conform_all
 from tillmark.plans.daily import DESCRIBED, TIER
 from tillmark.plans.fact import fact_price, fact_price_quarantine
 from tillmark.registered import inputs
-from tillmark.session import work_folder
+from tillmark.session import shuffles_released, work_folder
 from tillmark.sources import landing, parted, types
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec, stored_name
 from tillmark.sources.raw_files import list_files, read_feed
@@ -363,7 +363,8 @@ def _in_two_runs(rows: DataFrame, later: str, work: str, run: Callable[[str], ob
     """Store rows in two folders, those for which ``later`` holds in the second, and run a stream
     over the first, then over both: it takes what it has not seen yet."""
     comes_later = F.coalesce(F.expr(later), F.lit(False)).cast("int")
-    rows.withColumn("run", comes_later).write.partitionBy("run").parquet(f"{work}/in")
+    with shuffles_released(rows.sparkSession):
+        rows.withColumn("run", comes_later).write.partitionBy("run").parquet(f"{work}/in")
     for folders in ("run=[0]", "run=[01]"):
         run(f"{work}/in/{folders}")
 

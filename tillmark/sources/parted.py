@@ -37,14 +37,19 @@ def parts_of(df: DataFrame, part: Column) -> list[str]:
     return sorted(row[0] for row in df.select(part.alias(PART)).distinct().collect())
 
 
-def store(df: DataFrame, path: str, version: int, part: Column, together: bool = False) -> list[str]:
+def store(
+    df: DataFrame, path: str, version: int, part: Column, together: bool = False, scattered: DataFrame | None = None
+) -> list[str]:
     """Write the rows as one version, each to its part; returns the parts written.
 
     Rows of one part meet in one task, or in several when they are many, unless they lie
-    ``together`` already.
+    ``together`` already. ``scattered`` are further rows, which do not.
     """
     rows = df.withColumn(PART, part)
-    (rows if together else rows.hint("rebalance", PART)).write.mode("overwrite").partitionBy(PART).parquet(f"{path}/v={version}")
+    rows = rows if together else rows.hint("rebalance", PART)
+    if scattered is not None:
+        rows = rows.unionByName(scattered.withColumn(PART, part).hint("rebalance", PART))
+    rows.write.mode("overwrite").partitionBy(PART).parquet(f"{path}/v={version}")
     return sorted(_parts(df.sparkSession, path, version))
 
 

@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tillmark.session import shuffles_released
+
 
 def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"):
     """Hand every micro-batch and its number to ``each``, which must be repeatable."""
-    writer = stream.writeStream.outputMode(mode).foreachBatch(each)
+
+    def released(batch: DataFrame, number: int) -> None:
+        with shuffles_released(batch.sparkSession):
+            each(batch, number)
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(released)
     return _finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
