@@ -21,7 +21,7 @@ from tillmark.plans.daily import DESCRIBED, TIER
 from tillmark.plans.fact import fact_price, fact_price_quarantine
 from tillmark.registered import inputs
 from tillmark.session import shuffles_released, work_folder
-from tillmark.sources import landing, parted, types
+from tillmark.sources import files, landing, parted, types
 from tillmark.sources.feeds import ALDI, COLES, IGA, WOOLWORTHS, FeedSpec, stored_name
 from tillmark.sources.raw_files import list_files, read_feed
 from tillmark.sources.tables import catalogue_table, described, read_table_stream
@@ -276,7 +276,8 @@ def event_history_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _write_csv(rows: DataFrame, folder: str) -> None:
     """CSV files in date folders, the way they are landed."""
     writer = rows.hint("rebalance", "date").write.partitionBy("date")
-    writer.option("header", "true").option("quote", '"').option("escape", '"').csv(folder)
+    with shuffles_released(rows.sparkSession):
+        writer.option("header", "true").option("quote", '"').option("escape", '"').csv(folder)
 
 
 def ingested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,10 +351,12 @@ def rescued_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_price_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All feeds as files, through ingestion and fact streams."""
-    work = work_folder(spark, "streamed")
+    work, raw = work_folder(spark, "streamed"), {}
     for feed, rows in inputs.by_feed(inputs.observations(spark, sf_dir)):
         _write_csv(inputs.feed_text(rows, feed, "day as date"), f"{work}/in/{feed.folder}")
-    raw = ingest.ingest_all(spark, f"{work}/in", f"{work}/tables", f"{work}/checkpoints")
+        raw = ingest.ingest_all(spark, f"{work}/in", f"{work}/tables", f"{work}/checkpoints")
+        # the raw table holds all cells of the files, so they need not lie beside those of the next feed
+        files.delete_folder(spark, f"{work}/in/{feed.folder}")
     streamed.run_fact(spark, raw, f"{work}/fact", f"{work}/checkpoints/fact")
     fact = streamed.fact_table(spark, f"{work}/fact")
     return fact.drop("_ingest_ts", "_source_file")

@@ -15,12 +15,17 @@ from tillmark.streaming.ingest import raw_stream
 from tillmark.streaming.runs import run_append, run_batches
 
 DAY = "snapshot_date"
+# Stored bytes of each raw table that one micro-batch takes, or one file if that is larger. A batch
+# shuffles its conformed rows, some nine times as many bytes, and releases them when it is stored.
+BYTES_PER_BATCH = 128 << 20
 
 
-def run_fact(spark: SparkSession, raw: dict[str, str], fact: str, checkpoint: str, log: str | None = None) -> StreamingQuery:
-    """Add what is new in the raw tables to the fact; ``log`` (by default beside the fact) takes
-    the counts of dropped rows and missed expectations of every batch."""
-    streams = [(feed, raw_stream(spark, feed, raw[feed.folder])) for feed in FEEDS]
+def run_fact(
+    spark: SparkSession, raw: dict[str, str], fact: str, checkpoint: str, log: str | None = None, bytes_per_batch: int = BYTES_PER_BATCH
+) -> StreamingQuery:
+    """Add what is new in the raw tables to the fact, in as many batches as its size asks for; ``log`` (by
+    default beside the fact) takes the counts of dropped rows and missed expectations of every batch."""
+    streams = [(feed, raw_stream(spark, feed, raw[feed.folder], bytes_per_batch)) for feed in FEEDS]
 
     def store(batch: DataFrame, number: int) -> None:
         store_checked(batch, fact_price, DAY, fact, log or f"{fact}_log", number)

@@ -58,5 +58,8 @@ def raw_table(spark: SparkSession, feed: FeedSpec, table: str) -> DataFrame:
     return spark.read.schema(feed.stored_schema()).option("recursiveFileLookup", "true").parquet(table)
 
 
-def raw_stream(spark: SparkSession, feed: FeedSpec, table: str) -> DataFrame:
-    return spark.readStream.schema(feed.stored_schema()).option("recursiveFileLookup", "true").parquet(table)
+def raw_stream(spark: SparkSession, feed: FeedSpec, table: str, bytes_per_batch: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(feed.stored_schema()).option("recursiveFileLookup", "true")
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", str(bytes_per_batch))
+    return reader.parquet(table)
