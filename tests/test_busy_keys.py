@@ -70,6 +70,21 @@ def test_streamed_history_with_and_without_busy_keys(spark, tmp_path, monkeypatc
         assert multiset(got) == brute_history(rows[: (200, 350, 380, 500)[number]])
 
 
+def test_closed_versions_stay_beside_late_keys(spark, tmp_path, monkeypatch):
+    """Also one that began with a row without a day."""
+    looking(monkeypatch, streamed, 1_000)
+    schema, spec = "k string, day date, a string", HistorySpec(keys=("k",), sequence="day", tracked=("a",))
+    day = [DAY + dt.timedelta(n) for n in range(5)]
+    first = [("a", None, "x"), ("a", day[1], "x"), ("a", day[2], "y"), ("b", day[0], "x"), ("b", day[2], "y"), ("b", day[3], "x")]
+    for number, rows in enumerate((first, [("b", day[1], "z")])):
+        streamed.bring_up_to_date(spark.createDataFrame(rows, schema), f"{tmp_path}/h", number, spec, buckets=1)
+    got = streamed.current(spark, f"{tmp_path}/h", spark.createDataFrame(first, schema).schema, spec)
+    assert multiset(got) == Counter([
+        ("a", day[1], "x", None, day[2]), ("a", day[2], "y", day[2], None), ("b", day[0], "x", day[0], day[1]),
+        ("b", day[1], "z", day[1], day[2]), ("b", day[2], "y", day[2], day[3]), ("b", day[3], "x", day[3], None),
+    ])
+
+
 def test_a_streamed_history_deals_whole_rows_once_per_table(spark, tmp_path, monkeypatch):
     looking(monkeypatch, streamed, 1_000)
     plans, store = [], streamed.parted.store

@@ -163,7 +163,8 @@ def _dealt_once(
         counts = F.when(F.col(is_late), F.col(kind).isin("fresh", "before")).otherwise(F.col(kind).isin("fresh", "open", "closed"))
         rows = rows.withColumn(is_late, F.max(F.col(kind) == "late").over(Window.partitionBy(PIECE, *keys))).where(counts)
         rows = best_together(rows, spec, group, known)
-    begin = F.coalesce(F.col(began), F.col(spec.sequence))
+    # a closed version is as it was, also if it began at no known time
+    begin = F.when(F.col(is_closed), F.col(began)).otherwise(F.coalesce(F.col(began), F.col(spec.sequence)))
     return versions_together(rows, spec, group, kept, begin, F.when(F.col(is_closed), F.col(ended)))
 
 
